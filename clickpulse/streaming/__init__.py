@@ -1,9 +1,11 @@
 from clickpulse.streaming.windows import (
-    with_event_time, window_counts_stream, top_n_sink, interval_join_stream)
+    with_event_time, window_counts_stream, top_n_sink, interval_join_stream,
+    url_counts_with_lateness)
 from clickpulse.streaming.stateful import (
     BlacklistProcessor, LoginBurstProcessor, OrderStateProcessor,
     blacklist_stream, login_burst_stream, order_states_stream)
 
 __all__ = ["with_event_time", "window_counts_stream", "top_n_sink", "interval_join_stream",
+           "url_counts_with_lateness",
            "BlacklistProcessor", "LoginBurstProcessor", "OrderStateProcessor",
            "blacklist_stream", "login_burst_stream", "order_states_stream"]

@@ -79,3 +79,26 @@ def interval_join_stream(left: DataFrame, right: DataFrame, on: str, left_ts: st
         (F.col(right_ts) <= F.col(left_ts) + F.expr(f"INTERVAL {hi} MICROSECONDS"))
     j = lft.join(rgt, cond, how)
     return j.withColumn(on, F.coalesce(F.col("_lk"), F.col(on))).drop("_lk")
+
+
+def url_counts_with_lateness(log: DataFrame, size="10 minutes", slide="5 seconds",
+                             out_of_order="2 seconds", lateness="1 minute",
+                             method: str | None = "GET", ts: str = "ts") -> DataFrame:
+    """Sliding URL counts that are corrected by late rows.
+
+    The reference fires a window when the watermark (max ts - out_of_order)
+    passes its end and re-fires it for each late row up to ``lateness``
+    later. In Spark terms: watermark delay = out_of_order + lateness, output
+    mode ``update`` (every changed (window, url) count is re-emitted), and
+    the consumer upserts on (window_end, url) -- ``sources.sinks.
+    changelog_sink`` + ``read_latest``. Windows the reference has fired are
+    those with ``window_end <= max event time - out_of_order``.
+    """
+    delay = to_micros(out_of_order) + to_micros(lateness)
+    src = log.where(F.col("method") == method) if method else log
+    ev = with_event_time(src.select("url", ts), ts, f"{delay} microseconds")
+    w = ev.groupBy(F.window(ts, interval_str(to_micros(size)),
+                            interval_str(to_micros(slide))).alias("_w"), "url")
+    return w.agg(F.count(F.lit(1)).alias("cnt")).select(
+        "url", F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
+        F.col("cnt").cast("bigint").alias("cnt"))

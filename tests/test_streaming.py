@@ -46,8 +46,11 @@ def _replay(spark, df, build, n_files=4, sentinel=None):
 
 
 def _epochs(df, cols):
-    return df.select(*[epoch_micros(df, c).alias(c) if c.endswith("ts") else F.col(c)
-                       for c in cols])
+    def conv(c):
+        if df.schema[c].dataType.typeName() in ("timestamp", "timestamp_ntz"):
+            return epoch_micros(df, c).alias(c)
+        return F.col(c)
+    return df.select(*[conv(c) for c in cols])
 
 
 def _same(a, b):
@@ -125,3 +128,36 @@ def test_interval_join_stream_equals_batch(spark):
     q.stop()
     cols = ["user_id", "purchase_id", "view_id"]
     assert _same(spark.table("ij_out").select(*cols), batch.select(*cols))
+
+
+def test_late_corrections_upserted(spark):
+    from clickpulse.sources.sinks import changelog_sink, read_latest
+    log = td.access_log(spark, SF_SMALL)
+    root = tempfile.mkdtemp(prefix="clickpulse-late-")
+    src, out = os.path.join(root, "src"), os.path.join(root, "out")
+    os.makedirs(src)
+    pdf = log.orderBy("ts", "seq").toPandas()
+    # the last quarter of rows arrives first, the rest later (out of order)
+    parts = np.array_split(pdf, 4)
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    agg = st.url_counts_with_lateness(stream, "10 minutes", "5 seconds", "2 seconds", "30 days")
+    q = (agg.writeStream.outputMode("update").foreachBatch(changelog_sink(out))
+         .option("checkpointLocation", os.path.join(root, "ck")).start())
+    for part in [parts[1], parts[0], parts[2], parts[3]]:
+        spark.createDataFrame(part, schema=log.schema).coalesce(1).write.mode("append").parquet(src)
+        q.processAllAvailable()
+    q.stop()
+    got = read_latest(spark, out, ["url", "window_start"])
+    exp = op.url_counts(log, "10 minutes", "5 seconds")
+    cols = ["url", "window_start", "window_end", "cnt"]
+    assert _same(_epochs(got.select(*cols), cols), _epochs(exp, cols))
+
+
+def test_tagged_outputs_one_folder_per_tag(spark):
+    from clickpulse.sources.sinks import read_tag, write_tagged
+    orders = read_orders(spark, fixture("OrderLog.csv"))
+    path = os.path.join(tempfile.mkdtemp(prefix="clickpulse-tags-"), "out")
+    write_tagged(op.order_pay_cep(orders, "15 minutes"), path)
+    assert sorted(p for p in os.listdir(path) if p.startswith("tag=")) == ["tag=matched", "tag=timeout"]
+    assert read_tag(spark, path, "matched").count() == 37
+    assert read_tag(spark, path, "timeout").count() == 2
