@@ -210,8 +210,10 @@ def _reachable(nodes: DataFrame, key: str) -> DataFrame:
         jumps.append(cut_lineage(a.join(b, on=[key, "_to"], how="left")
                                  .select(key, "_v", F.col("_to2").alias("_to"))))
     reached = nodes.where("_is_head").select(key, "_v")
-    for j in reversed(jumps[:-1]):
+    for i, j in enumerate(reversed(jumps[:-1])):
         step = (reached.join(j, on=[key, "_v"], how="inner").where(F.col("_to").isNotNull())
                 .select(key, F.col("_to").alias("_v")))
-        reached = cut_lineage(reached.unionByName(step))
+        reached = reached.unionByName(step)
+        if i % 4 == 3:
+            reached = cut_lineage(reached)
     return reached

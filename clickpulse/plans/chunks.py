@@ -72,6 +72,10 @@ def running_by_chunk(df: DataFrame, part: list[str], us: str, order: list, value
     inner = Window.partitionBy(*part, "_rc").orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     d = d.withColumn("_in", agg(value).over(inner))
+    # Chunk totals: a grouped aggregate whose map-side partial aggregation
+    # ships one row per (part, chunk) per task. The row-level data is
+    # shuffled once, for the window; the offsets (one row per chunk) join
+    # back on the same keys, so that side is broadcast or shuffled alone.
     totals = d.groupBy(*part, "_rc").agg(agg(value).alias("_t"))
     prev = Window.partitionBy(*part).orderBy("_rc").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*part, "_rc", agg("_t").over(prev).alias("_off"))

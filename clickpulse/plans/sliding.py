@@ -81,10 +81,14 @@ def _pane_counts(df, ts, keys, size_us, slide_us, agg, out, bucket_us=None):
              .withColumn("_b", F.explode(F.sequence(floor_div(F.col("_klo"), per_b),
                                                     floor_div(F.col("_khi"), per_b)))))
     # Only pane counts cross the network: one shuffle by (key, bucket), then
-    # every window of a bucket is expanded and summed inside its task.
+    # every window of a bucket is expanded and summed inside its task. The
+    # partition count is explicit: the pane shuffle is small, and AQE would
+    # otherwise coalesce it into a few tasks that then carry the whole
+    # overlap-fold expansion.
+    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     kb_lo = F.greatest(F.col("_klo"), F.col("_b") * F.lit(per_b))
     kb_hi = F.least(F.col("_khi"), (F.col("_b") + F.lit(1)) * F.lit(per_b) - F.lit(1))
-    wins = (panes.repartition(*keys, "_b")
+    wins = (panes.repartition(n_parts, *keys, "_b")
             .select(*keys, "_b", "_c", F.explode(F.sequence(kb_lo, kb_hi)).alias("_k"))
             .groupBy(*keys, "_b", "_k").agg(F.sum("_c").alias(out)))
     start = F.col("_k") * F.lit(slide_us)

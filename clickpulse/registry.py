@@ -44,15 +44,15 @@ def _bigint(df: DataFrame, *cols: str) -> DataFrame:
 # ---------------------------------------------------------------- Spark side
 
 def q_sliding_item_counts(spark, d):
-    return op.item_counts(td.user_behavior(spark, d), *ITEM_WINDOW)
+    return op.item_counts(td.user_behavior(spark, d, pv_only=True), *ITEM_WINDOW)
 
 
 def q_hot_items_topn(spark, d):
-    return _bigint(op.hot_items(td.user_behavior(spark, d), 5, *ITEM_WINDOW), "rank")
+    return _bigint(op.hot_items(td.user_behavior(spark, d, pv_only=True), 5, *ITEM_WINDOW), "rank")
 
 
 def q_hot_items_sql(spark, d):
-    return _bigint(op.hot_items_sql(spark, td.user_behavior(spark, d), 5, *ITEM_WINDOW), "rank")
+    return _bigint(op.hot_items_sql(spark, td.user_behavior(spark, d, pv_only=True), 5, *ITEM_WINDOW), "rank")
 
 
 def q_sliding_url_counts(spark, d):
@@ -68,11 +68,11 @@ def q_channel_behavior_counts(spark, d):
 
 
 def q_page_views_hourly(spark, d):
-    return op.page_views(td.user_behavior(spark, d), "1 hour")
+    return op.page_views(td.user_behavior(spark, d, pv_only=True), "1 hour")
 
 
 def q_page_views_salted(spark, d):
-    return op.page_views_salted(td.user_behavior(spark, d), "1 hour", buckets=8)
+    return op.page_views_salted(td.user_behavior(spark, d, pv_only=True), "1 hour", buckets=8)
 
 
 def q_uv_hourly_exact(spark, d):
@@ -80,15 +80,15 @@ def q_uv_hourly_exact(spark, d):
 
 
 def q_uv_hourly_bitmap(spark, d):
-    return op.uv_bitmap(td.user_behavior(spark, d), "1 hour", cap=BITMAP_CAP)
+    return op.uv_bitmap(td.user_behavior(spark, d, pv_only=True), "1 hour", cap=BITMAP_CAP)
 
 
 def q_uv_hourly_running(spark, d):
-    return op.uv_running(td.user_behavior(spark, d), "1 hour")
+    return op.uv_running(td.user_behavior(spark, d, pv_only=True), "1 hour")
 
 
 def q_uv_hourly_hll(spark, d):
-    return op.uv_hll(td.user_behavior(spark, d), "1 hour").drop("sketch")
+    return op.uv_hll(td.user_behavior(spark, d, pv_only=True), "1 hour").drop("sketch")
 
 
 def q_ad_clicks_passed(spark, d):

@@ -26,10 +26,18 @@ def _k():
     return F.expr("try_cast(get_json_object(props, '$.k') AS BIGINT)")
 
 
-def user_behavior(spark, sf_dir) -> DataFrame:
-    """UserBehavior: views are page views (``pv``)."""
+def user_behavior(spark, sf_dir, pv_only: bool = False) -> DataFrame:
+    """UserBehavior: views are page views (``pv``).
+
+    ``pv_only`` filters on the stored ``event_type`` so the predicate reaches
+    the Parquet scan; the operators' ``behavior = 'pv'`` then folds away.
+    """
     ev = table(spark, sf_dir, "events")
-    behavior = F.when(F.col("event_type") == "view", F.lit("pv")).otherwise(F.col("event_type"))
+    if pv_only:
+        ev = ev.where(F.col("event_type") == "view")
+        behavior = F.lit("pv")
+    else:
+        behavior = F.when(F.col("event_type") == "view", F.lit("pv")).otherwise(F.col("event_type"))
     return ev.select("user_id", _k().alias("item_id"), behavior.alias("behavior"), "ts",
                      F.col("event_id").alias("seq"))
 
