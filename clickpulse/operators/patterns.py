@@ -17,7 +17,7 @@ from clickpulse.functions.timefn import micros_to_ts, is_ntz, to_micros
 from clickpulse.plans.chunks import CHUNK, OWN, US, chunk_width, with_halo
 from clickpulse.plans.iterate import cut_lineage
 
-CHUNK_HINT = "1 hour"
+CHUNK_HINT = "1 minute"
 
 
 def _chunk(distance_us: int, chunk) -> int:

@@ -25,17 +25,21 @@ def with_event_time(stream: DataFrame, ts: str = "ts", delay="0 seconds") -> Dat
 
 
 def window_counts_stream(stream: DataFrame, ts: str, keys: list[str], size, slide=None,
-                         delay="0 seconds", panes: bool | None = None, out: str = "cnt") -> DataFrame:
+                         delay="0 seconds", panes: bool | None = None, out: str = "cnt",
+                         processing_time: bool = False) -> DataFrame:
     """Append-mode sliding counts; a window is emitted once the watermark
     passes its end and rows older than the watermark are dropped.
 
     With many overlaps (``panes`` defaults to overlaps > 4) the count is
     chained: tumbling panes of gcd(size, slide) first, then windows over
     the pane counts, so each row enters one state entry instead of one per
-    overlap.
+    overlap. ``processing_time=True`` windows rows by arrival time instead.
     """
     size_us = to_micros(size)
     slide_us = to_micros(slide if slide is not None else size)
+    if processing_time:
+        # T4: windows on arrival time (the channel job sets no event time)
+        stream = stream.withColumn(ts, F.current_timestamp())
     ev = with_event_time(stream, ts, delay)
     if panes is None:
         panes = math.ceil(size_us / slide_us) > 4
