@@ -1,11 +1,14 @@
 from clickpulse.streaming.windows import (
     with_event_time, window_counts_stream, top_n_sink, interval_join_stream,
-    url_counts_with_lateness)
+    url_counts_with_lateness, uv_stream)
 from clickpulse.streaming.stateful import (
     BlacklistProcessor, LoginBurstProcessor, OrderStateProcessor,
-    blacklist_stream, login_burst_stream, order_states_stream)
+    blacklist_stream, login_burst_stream, order_states_stream,
+    FailSequenceProcessor, OrderPayCepProcessor, fail_sequence_stream, order_pay_cep_stream)
 
 __all__ = ["with_event_time", "window_counts_stream", "top_n_sink", "interval_join_stream",
-           "url_counts_with_lateness",
+           "url_counts_with_lateness", "uv_stream",
            "BlacklistProcessor", "LoginBurstProcessor", "OrderStateProcessor",
-           "blacklist_stream", "login_burst_stream", "order_states_stream"]
+           "blacklist_stream", "login_burst_stream", "order_states_stream",
+           "FailSequenceProcessor", "OrderPayCepProcessor", "fail_sequence_stream",
+           "order_pay_cep_stream"]

@@ -227,3 +227,141 @@ def order_states_stream(orders: DataFrame, timeout="15 minutes", delay="0 second
     ev = with_event_time(orders, "ts", delay)
     return ev.groupBy("order_id").transformWithStateInPandas(
         OrderStateProcessor(timeout), ORDER_SCHEMA, "Append", "EventTime")
+
+
+# ------------------------------------------------------------------ F4-F6
+
+PAIRS_SCHEMA = ("user_id long, first_seq long, first_ts timestamp, last_seq long, "
+                "last_ts timestamp, n_fails long")
+
+
+class FailSequenceProcessor(StatefulProcessor):
+    """``begin(fail).times(n).within(t)`` per user.
+
+    State: the last n-1 fails (us, seq). A new fail completes a match with
+    the fail n-1 positions back if it is less than ``within`` later. With
+    ``consecutive=True`` any other event clears the state (strict
+    contiguity; n = 2 is ``begin(fail).next(fail)``). A timer drops the state
+    once no match can complete.
+    """
+
+    def __init__(self, n: int = 2, within="2 seconds", consecutive: bool = False,
+                 fail: str = "fail"):
+        self.n = n
+        self.w_us = to_micros(within)
+        self.consecutive = consecutive
+        self.fail = fail
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getListState("recent_fails", "us long, seq long")
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        df = _sorted(rows)
+        recent = [tuple(x) for x in self.state.get()] if self.state.exists() else []
+        old_last = recent[-1][0] if recent else None
+        out = []
+        for r in df.itertuples(index=False):
+            seq = int(getattr(r, "seq", 0))
+            if r.event_type != self.fail:
+                if self.consecutive:
+                    recent = []
+                continue
+            if len(recent) == self.n - 1 and r.t_us - recent[0][0] < self.w_us:
+                out.append((key[0], recent[0][1], _ts(recent[0][0]), seq, _ts(r.t_us), self.n))
+            recent = (recent + [(r.t_us, seq)])[-(self.n - 1):]
+        if old_last is not None:
+            self.handle.deleteTimer(old_last // 1000 + self.w_us // 1000 + 1)
+        if recent:
+            self.state.put([(int(u), int(s)) for u, s in recent])
+            self.handle.registerTimer(recent[-1][0] // 1000 + self.w_us // 1000 + 1)
+        else:
+            self.state.clear()
+        if out:
+            yield pd.DataFrame(out, columns=["user_id", "first_seq", "first_ts", "last_seq",
+                                             "last_ts", "n_fails"])
+
+    def handleExpiredTimer(self, key, timerValues: TimerValues,
+                           expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.state.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+def fail_sequence_stream(logins: DataFrame, n: int = 2, within="2 seconds",
+                         consecutive: bool = False, delay="5 seconds") -> DataFrame:
+    ev = with_event_time(logins, "ts", delay)
+    return ev.groupBy("user_id").transformWithStateInPandas(
+        FailSequenceProcessor(n, within, consecutive), PAIRS_SCHEMA, "Append", "EventTime")
+
+
+# ------------------------------------------------------------------ F7 / F8
+
+CEP_SCHEMA = "order_id long, tag string, create_ts timestamp, pay_ts timestamp"
+
+
+class OrderPayCepProcessor(StatefulProcessor):
+    """``begin(create).followedBy(pay).within(t)`` with timeout output.
+
+    Every open create is matched by the first pay after it if the pay comes
+    less than ``within`` later; otherwise its timer reports ``timeout``.
+    """
+
+    def __init__(self, within="15 minutes"):
+        self.w_us = to_micros(within)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getListState("open_creates", "us long")
+
+    def _deadline_ms(self, c_us: int) -> int:
+        return (c_us + self.w_us) // 1000 + 1
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        df = _sorted(rows)
+        open_ = [x[0] for x in self.state.get()] if self.state.exists() else []
+        before = set(open_)
+        out = []
+        for r in df.itertuples(index=False):
+            if r.event_type == "create":
+                open_.append(r.t_us)
+            elif r.event_type == "pay":
+                for c in open_:
+                    tag = "matched" if r.t_us - c < self.w_us else "timeout"
+                    out.append((key[0], tag, _ts(c), _ts(r.t_us) if tag == "matched" else None))
+                open_ = []
+        for c in before - set(open_):
+            self.handle.deleteTimer(self._deadline_ms(c))
+        for c in set(open_) - before:
+            self.handle.registerTimer(self._deadline_ms(c))
+        if open_:
+            self.state.put([(int(c),) for c in open_])
+        else:
+            self.state.clear()
+        if out:
+            yield pd.DataFrame(out, columns=["order_id", "tag", "create_ts", "pay_ts"])
+
+    def handleExpiredTimer(self, key, timerValues: TimerValues,
+                           expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        fired = expiredTimerInfo.getExpiryTimeInMs()
+        open_ = [x[0] for x in self.state.get()] if self.state.exists() else []
+        done = [c for c in open_ if self._deadline_ms(c) <= fired]
+        keep = [c for c in open_ if self._deadline_ms(c) > fired]
+        if keep:
+            self.state.put([(int(c),) for c in keep])
+        else:
+            self.state.clear()
+        if done:
+            yield pd.DataFrame([(key[0], "timeout", _ts(c), None) for c in done],
+                               columns=["order_id", "tag", "create_ts", "pay_ts"])
+
+    def close(self) -> None:
+        pass
+
+
+def order_pay_cep_stream(orders: DataFrame, within="15 minutes", delay="0 seconds") -> DataFrame:
+    ev = with_event_time(orders, "ts", delay)
+    return ev.groupBy("order_id").transformWithStateInPandas(
+        OrderPayCepProcessor(within), CEP_SCHEMA, "Append", "EventTime")

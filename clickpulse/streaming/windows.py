@@ -106,3 +106,24 @@ def url_counts_with_lateness(log: DataFrame, size="10 minutes", slide="5 seconds
     return w.agg(F.count(F.lit(1)).alias("cnt")).select(
         "url", F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
         F.col("cnt").cast("bigint").alias("cnt"))
+
+
+def uv_stream(stream: DataFrame, size="1 hour", user: str = "user_id", ts: str = "ts",
+              delay="0 seconds", approx: bool = False, out: str = "uv") -> DataFrame:
+    """A6 / A9 streaming: distinct users per tumbling window, append mode.
+
+    Exact: chained aggregations -- (window, user) first, then a count per
+    window -- since ``count_distinct`` is not a streaming aggregate.
+    ``approx=True`` keeps one HLL sketch per window instead of one state row
+    per (window, user).
+    """
+    ev = with_event_time(stream, ts, delay)
+    w = F.window(ts, interval_str(to_micros(size)))
+    if approx:
+        agg = ev.groupBy(w.alias("_w")).agg(F.approx_count_distinct(user).alias(out))
+    else:
+        per_user = ev.groupBy(w.alias("_w"), user).agg(F.count(F.lit(1)).alias("_n"))
+        agg = (per_user.groupBy(F.window(F.window_time("_w"), interval_str(to_micros(size)))
+                                .alias("_w")).agg(F.count(F.lit(1)).alias(out)))
+    return agg.select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
+                      F.col(out).cast("bigint").alias(out))

@@ -161,3 +161,35 @@ def test_tagged_outputs_one_folder_per_tag(spark):
     assert sorted(p for p in os.listdir(path) if p.startswith("tag=")) == ["tag=matched", "tag=timeout"]
     assert read_tag(spark, path, "matched").count() == 37
     assert read_tag(spark, path, "timeout").count() == 2
+
+
+def test_fail_sequences_stream_equal_batch(spark):
+    lg = td.logins(spark, SF_SMALL)
+    cols = ["user_id", "first_seq", "first_ts", "last_seq", "last_ts"]
+    cases = [(2, "6 hours", True, op.consecutive_fails(lg, "6 hours")),
+             (2, "2 hours", False, op.fails_times_n(lg, 2, "2 hours")),
+             (3, "1 day", False, op.fails_times_n(lg, 3, "1 day"))]
+    for n, within, consecutive, batch in cases:
+        out = _replay(spark, lg, lambda s: st.fail_sequence_stream(s, n, within, consecutive,
+                                                                   delay="0 seconds"))
+        assert _same(_epochs(out, cols), _epochs(batch, cols)), (n, within, consecutive)
+        assert batch.count() > 0
+
+
+def test_order_pay_cep_stream_equals_batch(spark):
+    orders = read_orders(spark, fixture("OrderLog.csv"))
+    cols = ["order_id", "tag", "create_ts", "pay_ts"]
+    batch = _epochs(op.order_pay_cep(orders, "15 minutes"), cols)
+    sentinel = orders.limit(1).toPandas().assign(order_id=-1, ts=FAR, event_type="pay")
+    out = _replay(spark, orders, lambda s: st.order_pay_cep_stream(s, "15 minutes"),
+                  sentinel=sentinel).where("order_id <> -1")
+    assert _same(_epochs(out, cols), batch)
+
+
+def test_uv_stream_equals_batch(spark):
+    ev = td.user_behavior(spark, SF_SMALL)
+    cols = ["window_start", "window_end", "uv"]
+    sentinel = ev.limit(1).toPandas().assign(user_id=-1, ts=FAR)
+    batch = _epochs(op.uv_exact(ev, "1 hour"), cols)
+    out = _replay(spark, ev, lambda s: st.uv_stream(s, "1 hour"), sentinel=sentinel)
+    assert _same(_epochs(out.where(F.year("window_start") < 2100), cols), batch)
