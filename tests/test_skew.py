@@ -1,0 +1,63 @@
+"""A key holding a third of the rows is split across tasks, with unchanged results."""
+
+from pyspark.sql import functions as F
+
+from clickpulse import operators as op
+from clickpulse.functions.timefn import to_micros
+from clickpulse.plans.chunks import CHUNK, with_halo
+from clickpulse.sources import testdata as td
+from tests.conftest import SF_SMALL
+
+HOT = 999_999
+
+
+def _hot_logins(spark):
+    """Driver logins with every third event re-keyed to one user."""
+    lg = td.logins(spark, SF_SMALL)
+    return lg.withColumn("user_id", F.when(F.col("seq") % 3 == 0, F.lit(HOT))
+                         .otherwise(F.col("user_id")))
+
+
+def _tasks_for_hot_key(df, key_cols):
+    parts = (df.repartition(32, *key_cols).where(F.col("user_id") == HOT)
+             .select(F.spark_partition_id().alias("p")).distinct())
+    return parts.count()
+
+
+def test_halo_chunks_split_hot_user(spark):
+    lg = _hot_logins(spark)
+    w = to_micros("6 hours")
+    h = with_halo(lg, "ts", 4 * w, lookahead_us=w)
+    assert _tasks_for_hot_key(h, ["user_id", CHUNK]) > 16
+    assert _tasks_for_hot_key(lg, ["user_id"]) == 1
+
+
+def test_results_unchanged_under_skew(spark):
+    lg = _hot_logins(spark)
+    from pyspark.sql import Window
+    w = Window.partitionBy("user_id").orderBy("ts", "seq")
+    nxt = lg.withColumn("_nt", F.lead("event_type").over(w)).withColumn("_nts", F.lead("ts").over(w))
+    us = lambda c: F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(c))
+    brute = nxt.where((F.col("event_type") == "fail") & (F.col("_nt") == "fail")
+                      & (us("_nts") - us("ts") < to_micros("6 hours")))
+    got = op.consecutive_fails(lg, "6 hours")
+    assert got.count() == brute.count() > 0
+    assert got.where(F.col("user_id") == HOT).count() > 0
+
+
+def test_interval_join_buckets_split_hot_key(spark):
+    ev = td.table(spark, SF_SMALL, "events").withColumn(
+        "user_id", F.when(F.col("event_id") % 3 == 0, F.lit(HOT)).otherwise(F.col("user_id")))
+    buys = ev.where("event_type = 'purchase'").select(
+        "user_id", F.col("event_id").alias("purchase_id"), F.col("ts").alias("purchase_ts"))
+    views = ev.where("event_type = 'view'").select(
+        "user_id", F.col("event_id").alias("view_id"), F.col("ts").alias("view_ts"))
+    got = op.interval_join(buys, views, ["user_id"], "purchase_ts", "view_ts", "-3 hours", "5 hours")
+    lo, hi = to_micros("-3 hours"), to_micros("5 hours")
+    us = lambda c: F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(c))
+    brute = buys.join(views, "user_id").where(
+        (us("view_ts") >= us("purchase_ts") + lo) & (us("view_ts") <= us("purchase_ts") + hi))
+    assert got.count() == brute.count() > 0
+    # the bucketed join keys spread the hot user's purchases over many tasks
+    b = buys.withColumn("_b", F.floor(us("purchase_ts") / (hi - lo)))
+    assert _tasks_for_hot_key(b, ["user_id", "_b"]) > 16
