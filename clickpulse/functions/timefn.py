@@ -14,8 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-def epoch_ntz() -> Column:
-    return F.lit(_dt.datetime(1970, 1, 1)).cast(T.TimestampNTZType())
 
 _UNITS = {
     "us": 1, "microsecond": 1, "microseconds": 1,
@@ -52,17 +50,35 @@ def is_ntz(df: DataFrame, col: str) -> bool:
 
 
 def epoch_micros(df: DataFrame, col: str) -> Column:
-    """Epoch microseconds of a timestamp or timestamp_ntz column."""
+    """Epoch microseconds of a timestamp or timestamp_ntz column.
+
+    For timestamp_ntz the value is assembled from its wall-clock fields
+    (date, hour, minute, fractional second): ``timestamp_diff`` would cast
+    through the session time zone and shift by its offset and DST.
+    """
+    c = F.col(col)
     if is_ntz(df, col):
-        return F.timestamp_diff("MICROSECOND", epoch_ntz(), F.col(col))
-    return F.unix_micros(F.col(col))
+        days = F.unix_date(F.to_date(c)).cast("bigint")
+        secs = F.date_part(F.lit("SECOND"), c)
+        return (days * F.lit(86_400_000_000) + F.hour(c).cast("bigint") * F.lit(3_600_000_000)
+                + F.minute(c).cast("bigint") * F.lit(60_000_000)
+                + (secs * F.lit(1_000_000)).cast("bigint"))
+    return F.unix_micros(c)
 
 
 def micros_to_ts(us: Column, ntz: bool = True) -> Column:
-    """Inverse of :func:`epoch_micros` for the chosen timestamp flavour."""
-    if ntz:
-        return F.timestamp_add("MICROSECOND", us, epoch_ntz())
-    return F.timestamp_micros(us)
+    """Inverse of :func:`epoch_micros` for the chosen timestamp flavour
+    (timestamp_ntz built from wall-clock fields, independent of the zone)."""
+    if not ntz:
+        return F.timestamp_micros(us)
+    day_us = F.lit(86_400_000_000)
+    tod = F.pmod(us, day_us)
+    days = ((us - tod) / day_us).cast("int")
+    d = F.date_from_unix_date(days)
+    hours = (tod / F.lit(3_600_000_000)).cast("int")
+    mins = (F.pmod(tod, F.lit(3_600_000_000)) / F.lit(60_000_000)).cast("int")
+    secs = (F.pmod(tod, F.lit(60_000_000)) / F.lit(1_000_000)).cast("decimal(8,6)")
+    return F.make_timestamp_ntz(F.year(d), F.month(d), F.dayofmonth(d), hours, mins, secs)
 
 
 def seconds_to_ts(c: Column) -> Column:
