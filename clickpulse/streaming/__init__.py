@@ -1,6 +1,6 @@
 from clickpulse.streaming.windows import (
     with_event_time, window_counts_stream, top_n_sink, interval_join_stream,
-    url_counts_with_lateness, uv_stream)
+    url_counts_with_lateness, uv_stream, reconcile_stream, rows_dropped_by_watermark)
 from clickpulse.streaming.stateful import (
     BlacklistProcessor, LoginBurstProcessor, OrderStateProcessor,
     blacklist_stream, login_burst_stream, order_states_stream,
@@ -8,6 +8,7 @@ from clickpulse.streaming.stateful import (
 
 __all__ = ["with_event_time", "window_counts_stream", "top_n_sink", "interval_join_stream",
            "url_counts_with_lateness", "uv_stream",
+           "reconcile_stream", "rows_dropped_by_watermark",
            "BlacklistProcessor", "LoginBurstProcessor", "OrderStateProcessor",
            "blacklist_stream", "login_burst_stream", "order_states_stream",
            "FailSequenceProcessor", "OrderPayCepProcessor", "fail_sequence_stream",

@@ -127,3 +127,28 @@ def uv_stream(stream: DataFrame, size="1 hour", user: str = "user_id", ts: str =
                                 .alias("_w")).agg(F.count(F.lit(1)).alias(out)))
     return agg.select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
                       F.col(out).cast("bigint").alias(out))
+
+
+def reconcile_stream(pays: DataFrame, receipts: DataFrame, on: str = "tx_id",
+                     pay_ts: str = "pay_ts", receipt_ts: str = "receipt_ts",
+                     lower="-3 seconds", upper="5 seconds", pay_delay="0 seconds",
+                     receipt_delay="0 seconds") -> DataFrame:
+    """J2 streaming: full outer interval join, tagged like the batch ``reconcile``.
+
+    Unmatched pays / receipts are emitted once the watermark passes the end
+    of their match range (the reference's timers).
+    """
+    j = interval_join_stream(pays.select(on, pay_ts), receipts.select(on, receipt_ts), on,
+                             pay_ts, receipt_ts, lower, upper, "full_outer",
+                             pay_delay, receipt_delay)
+    status = (F.when(F.col(pay_ts).isNotNull() & F.col(receipt_ts).isNotNull(), F.lit("matched"))
+              .when(F.col(pay_ts).isNotNull(), F.lit("paid_no_receipt"))
+              .otherwise(F.lit("receipt_no_pay")))
+    return j.select(on, status.alias("status"), pay_ts, receipt_ts)
+
+
+def rows_dropped_by_watermark(query) -> int:
+    """T5: late rows dropped by the stateful operators in the last progress."""
+    progress = query.lastProgress or {}
+    return sum(int(op.get("numRowsDroppedByWatermark", 0))
+               for op in progress.get("stateOperators", []))

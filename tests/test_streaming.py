@@ -193,3 +193,70 @@ def test_uv_stream_equals_batch(spark):
     batch = _epochs(op.uv_exact(ev, "1 hour"), cols)
     out = _replay(spark, ev, lambda s: st.uv_stream(s, "1 hour"), sentinel=sentinel)
     assert _same(_epochs(out.where(F.year("window_start") < 2100), cols), batch)
+
+
+def test_topn_sink_equals_batch(spark):
+    ub = td.user_behavior(spark, SF_SMALL, pv_only=True)
+    root = tempfile.mkdtemp(prefix="clickpulse-topn-")
+    src, out = os.path.join(root, "src"), os.path.join(root, "out")
+    os.makedirs(src)
+    pdf = ub.orderBy("ts", "seq").toPandas()
+    parts = np.array_split(pdf, 3) + [ub.limit(1).toPandas().assign(item_id=-1, ts=FAR)]
+    stream = spark.readStream.schema(ub.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    counts = st.window_counts_stream(stream, "ts", ["item_id"], "1 hour", "5 minutes")
+
+    def sink(df, epoch_id):
+        df.write.mode("append").parquet(out)
+    q = (counts.writeStream.outputMode("append").foreachBatch(st.top_n_sink(["item_id"], 5, sink))
+         .option("checkpointLocation", os.path.join(root, "ck")).start())
+    for part in parts:
+        spark.createDataFrame(part, schema=ub.schema).coalesce(1).write.mode("append").parquet(src)
+        q.processAllAvailable()
+    q.stop()
+    cols = ["item_id", "window_start", "window_end", "cnt", "rank"]
+    got = spark.read.parquet(out).where("item_id <> -1")
+    exp = op.hot_items(ub, 5, "1 hour", "5 minutes")
+    assert _same(_epochs(got, cols), _epochs(exp, cols))
+
+
+def test_reconcile_stream_equals_batch(spark):
+    orders = read_orders(spark, fixture("OrderLog.csv")).where("event_type = 'pay'")
+    pays = orders.select("tx_id", F.col("ts").alias("pay_ts"))
+    from clickpulse.sources import read_receipts
+    rec = read_receipts(spark, fixture("ReceiptLog.csv")).select("tx_id", F.col("ts").alias("receipt_ts"))
+    batch = op.reconcile(pays, rec, "tx_id", "pay_ts", "receipt_ts", "-3 seconds", "5 seconds")
+    root = tempfile.mkdtemp(prefix="clickpulse-rec-")
+    far = spark.createDataFrame([("zz_sentinel", FAR)], "tx_id string, ts timestamp_ntz")
+    pays.unionByName(far.withColumnRenamed("ts", "pay_ts")).coalesce(1).write.parquet(f"{root}/p")
+    rec.unionByName(far.withColumnRenamed("ts", "receipt_ts")).coalesce(1).write.parquet(f"{root}/r")
+    sp = spark.readStream.schema(pays.schema).parquet(f"{root}/p")
+    sr = spark.readStream.schema(rec.schema).parquet(f"{root}/r")
+    q = (st.reconcile_stream(sp, sr, lower="-3 seconds", upper="5 seconds")
+         .writeStream.format("memory").queryName("rec_out").outputMode("append")
+         .option("checkpointLocation", f"{root}/ck").start())
+    q.processAllAvailable()
+    q.processAllAvailable()
+    q.stop()
+    got = spark.table("rec_out").where("tx_id <> 'zz_sentinel'")
+    cols = ["tx_id", "status", "pay_ts", "receipt_ts"]
+    assert _same(_epochs(got, cols), _epochs(batch, cols))
+
+
+def test_late_rows_are_counted(spark):
+    ub = td.user_behavior(spark, SF_SMALL, pv_only=True)
+    root = tempfile.mkdtemp(prefix="clickpulse-drop-")
+    src = os.path.join(root, "src")
+    os.makedirs(src)
+    pdf = ub.orderBy("ts", "seq").toPandas()
+    early, late = pdf.iloc[: len(pdf) // 2], pdf.iloc[len(pdf) // 2:]
+    stream = spark.readStream.schema(ub.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q = (st.window_counts_stream(stream, "ts", ["item_id"], "1 hour", "20 minutes")
+         .writeStream.format("memory").queryName("drop_out").outputMode("append")
+         .option("checkpointLocation", f"{root}/ck").start())
+    dropped = 0
+    for part in [late, early]:
+        spark.createDataFrame(part, schema=ub.schema).coalesce(1).write.mode("append").parquet(src)
+        q.processAllAvailable()
+        dropped += st.rows_dropped_by_watermark(q)
+    q.stop()
+    assert dropped > 0
