@@ -21,7 +21,6 @@ def _q(spark, name):
 def test_topn_limits_before_shuffle(spark):
     for name in ["hot_items_topn", "hot_urls_topn", "hot_items_sql", "ad_clicks_passed"]:
         p = _q(spark, name)
-        partial = p.index("WindowGroupLimit")
         assert "Partial" in p, name
         # the partial limit sits below (after, in the text) the final exchange
         assert p.rfind("Partial") > p.find("Exchange hashpartitioning"), name
