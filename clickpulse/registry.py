@@ -96,7 +96,9 @@ def q_ad_clicks_passed(spark, d):
 
 
 def q_ad_blacklist_warnings(spark, d):
-    return op.blacklist_warnings(td.ad_clicks(spark, d), AD_MAX_CLICKS)
+    # the day as ISO text: DATE converts to different pandas types on each side
+    w = op.blacklist_warnings(td.ad_clicks(spark, d), AD_MAX_CLICKS)
+    return w.withColumn("day", F.col("day").cast("string"))
 
 
 def q_ad_counts_by_province(spark, d):
@@ -399,7 +401,7 @@ SELECT seq, ts, make_timestamp(ws) AS window_start, make_timestamp(ws + {H}) AS
 FROM f""",
         "ad_clicks_passed": PASSED,
         "ad_blacklist_warnings": f"""
-SELECT user_id, ad_id, day, ts AS warn_ts, 'blacklisted' AS warning
+SELECT user_id, ad_id, CAST(day AS VARCHAR) AS day, ts AS warn_ts, 'blacklisted' AS warning
 FROM ({RANKED_CLICKS}) WHERE click_no = {max(AD_MAX_CLICKS, 2)}""",
         "ad_counts_by_province": _sliding_sql(
             f"SELECT province, ts FROM ({PASSED})", ["province"], *AD_WINDOW),
