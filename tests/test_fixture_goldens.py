@@ -18,7 +18,7 @@ def _secs(rows, *cols):
 
 
 def test_login_consecutive_strict(spark):
-    lg = read_logins(spark, fixture("LoginLog.csv"))
+    lg = read_logins(spark, fixture("logins.csv"))
     assert lg.count() == 50
     rows = op.consecutive_fails(lg, "2 seconds").collect()
     assert {r.user_id for r in rows} == {1035}
@@ -26,7 +26,7 @@ def test_login_consecutive_strict(spark):
 
 
 def test_login_times_relaxed(spark):
-    lg = read_logins(spark, fixture("LoginLog.csv"))
+    lg = read_logins(spark, fixture("logins.csv"))
     two = op.fails_times_n(lg, 2, "2 seconds").collect()
     assert _secs(two, "first_ts", "last_ts") == [(842, 843), (843, 844)]
     wide = op.fails_times_n(lg, 2, "3 seconds").collect()
@@ -36,7 +36,7 @@ def test_login_times_relaxed(spark):
 
 
 def test_login_fail_burst(spark):
-    lg = read_logins(spark, fixture("LoginLog.csv"))
+    lg = read_logins(spark, fixture("logins.csv"))
     rows = op.login_fail_bursts(lg, "2 seconds").collect()
     assert len(rows) == 1
     r = rows[0]
@@ -45,7 +45,7 @@ def test_login_fail_burst(spark):
 
 
 def test_order_pay_cep(spark):
-    orders = read_orders(spark, fixture("OrderLog.csv"))
+    orders = read_orders(spark, fixture("order_events.csv"))
     assert orders.count() == 79
     r = op.order_pay_cep(orders, "15 minutes")
     assert r.where("tag = 'matched'").count() == 37
@@ -53,7 +53,7 @@ def test_order_pay_cep(spark):
 
 
 def test_order_pay_states(spark):
-    orders = read_orders(spark, fixture("OrderLog.csv"))
+    orders = read_orders(spark, fixture("order_events.csv"))
     r = op.order_pay_states(orders, "15 minutes")
     by = {s: sorted(x.order_id for x in r.where(F.col("state") == s).collect())
           for s in ["paid", "not_paid", "pay_without_open_order"]}
@@ -63,9 +63,9 @@ def test_order_pay_states(spark):
 
 
 def _pays_receipts(spark):
-    pays = (read_orders(spark, fixture("OrderLog.csv")).where("event_type = 'pay'")
+    pays = (read_orders(spark, fixture("order_events.csv")).where("event_type = 'pay'")
             .select("tx_id", F.col("ts").alias("pay_ts")))
-    rec = (read_receipts(spark, fixture("ReceiptLog.csv"))
+    rec = (read_receipts(spark, fixture("receipts.csv"))
            .select("tx_id", "pay_channel", F.col("ts").alias("receipt_ts")))
     return pays, rec
 
@@ -87,7 +87,7 @@ def test_reconcile(spark):
 
 
 def test_blacklist_and_province_counts(spark):
-    clicks = read_ad_clicks(spark, fixture("AdClickLog.csv"))
+    clicks = read_ad_clicks(spark, fixture("ad_clicks.csv"))
     assert clicks.count() == 143
     passed = op.clicks_passed(clicks, 100)
     assert passed.count() == 121

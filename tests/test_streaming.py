@@ -69,7 +69,7 @@ def test_login_burst_stream_equals_batch(spark):
 
 
 def test_login_burst_stream_fixture(spark):
-    lg = read_logins(spark, fixture("LoginLog.csv"))
+    lg = read_logins(spark, fixture("logins.csv"))
     sentinel = lg.limit(1).toPandas().assign(user_id=-1, ts=FAR, event_type="success")
     out = _replay(spark, lg, lambda s: st.login_burst_stream(s, "2 seconds", delay="5 seconds"),
                   sentinel=sentinel).collect()
@@ -77,7 +77,7 @@ def test_login_burst_stream_fixture(spark):
 
 
 def test_order_states_stream_equals_batch(spark):
-    orders = read_orders(spark, fixture("OrderLog.csv"))
+    orders = read_orders(spark, fixture("order_events.csv"))
     cols = ["order_id", "state", "create_ts", "pay_ts"]
     batch = _epochs(op.order_pay_states(orders, "15 minutes"), cols)
     sentinel = orders.limit(1).toPandas().assign(order_id=-1, ts=FAR, event_type="create")
@@ -88,7 +88,7 @@ def test_order_states_stream_equals_batch(spark):
 
 
 def test_blacklist_stream_equals_batch(spark):
-    clicks = read_ad_clicks(spark, fixture("AdClickLog.csv")).drop("city")
+    clicks = read_ad_clicks(spark, fixture("ad_clicks.csv")).drop("city")
     ranked = op.rank_clicks(clicks, 100)
     cols = ["user_id", "ad_id", "ts", "tag"]
     batch = _epochs(ranked, cols)
@@ -155,7 +155,7 @@ def test_late_corrections_upserted(spark):
 
 def test_tagged_outputs_one_folder_per_tag(spark):
     from clickpulse.sources.sinks import read_tag, write_tagged
-    orders = read_orders(spark, fixture("OrderLog.csv"))
+    orders = read_orders(spark, fixture("order_events.csv"))
     path = os.path.join(tempfile.mkdtemp(prefix="clickpulse-tags-"), "out")
     write_tagged(op.order_pay_cep(orders, "15 minutes"), path)
     assert sorted(p for p in os.listdir(path) if p.startswith("tag=")) == ["tag=matched", "tag=timeout"]
@@ -177,7 +177,7 @@ def test_fail_sequences_stream_equal_batch(spark):
 
 
 def test_order_pay_cep_stream_equals_batch(spark):
-    orders = read_orders(spark, fixture("OrderLog.csv"))
+    orders = read_orders(spark, fixture("order_events.csv"))
     cols = ["order_id", "tag", "create_ts", "pay_ts"]
     batch = _epochs(op.order_pay_cep(orders, "15 minutes"), cols)
     sentinel = orders.limit(1).toPandas().assign(order_id=-1, ts=FAR, event_type="pay")
@@ -220,10 +220,10 @@ def test_topn_sink_equals_batch(spark):
 
 
 def test_reconcile_stream_equals_batch(spark):
-    orders = read_orders(spark, fixture("OrderLog.csv")).where("event_type = 'pay'")
+    orders = read_orders(spark, fixture("order_events.csv")).where("event_type = 'pay'")
     pays = orders.select("tx_id", F.col("ts").alias("pay_ts"))
     from clickpulse.sources import read_receipts
-    rec = read_receipts(spark, fixture("ReceiptLog.csv")).select("tx_id", F.col("ts").alias("receipt_ts"))
+    rec = read_receipts(spark, fixture("receipts.csv")).select("tx_id", F.col("ts").alias("receipt_ts"))
     batch = op.reconcile(pays, rec, "tx_id", "pay_ts", "receipt_ts", "-3 seconds", "5 seconds")
     root = tempfile.mkdtemp(prefix="clickpulse-rec-")
     far = spark.createDataFrame([("zz_sentinel", FAR)], "tx_id string, ts timestamp_ntz")
