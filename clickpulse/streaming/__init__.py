@@ -1,6 +1,7 @@
 from clickpulse.streaming.windows import (
     with_event_time, window_counts_stream, top_n_sink, interval_join_stream,
-    url_counts_with_lateness, uv_stream, reconcile_stream, rows_dropped_by_watermark)
+    url_counts_with_lateness, uv_stream, reconcile_stream, rows_dropped_by_watermark,
+    top_n_from_changelog)
 from clickpulse.streaming.stateful import (
     BlacklistProcessor, LoginBurstProcessor, OrderStateProcessor,
     blacklist_stream, login_burst_stream, order_states_stream,
@@ -8,7 +9,7 @@ from clickpulse.streaming.stateful import (
 
 __all__ = ["with_event_time", "window_counts_stream", "top_n_sink", "interval_join_stream",
            "url_counts_with_lateness", "uv_stream",
-           "reconcile_stream", "rows_dropped_by_watermark",
+           "reconcile_stream", "rows_dropped_by_watermark", "top_n_from_changelog",
            "BlacklistProcessor", "LoginBurstProcessor", "OrderStateProcessor",
            "blacklist_stream", "login_burst_stream", "order_states_stream",
            "FailSequenceProcessor", "OrderPayCepProcessor", "fail_sequence_stream",

@@ -152,3 +152,14 @@ def rows_dropped_by_watermark(query) -> int:
     progress = query.lastProgress or {}
     return sum(int(op.get("numRowsDroppedByWatermark", 0))
                for op in progress.get("stateOperators", []))
+
+
+def top_n_from_changelog(spark, path: str, key_cols: list[str], n: int = 5) -> DataFrame:
+    """R2 with late corrections: rank the newest count of every (window, key).
+
+    Reads the update-mode changelog written by ``sources.sinks.changelog_sink``;
+    a window touched by a late row is re-ranked with its corrected counts.
+    """
+    from clickpulse.sources.sinks import read_latest
+    latest = read_latest(spark, path, [*key_cols, "window_start", "window_end"])
+    return top_n(latest, key_cols, n)

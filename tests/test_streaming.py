@@ -151,6 +151,9 @@ def test_late_corrections_upserted(spark):
     exp = op.url_counts(log, "10 minutes", "5 seconds")
     cols = ["url", "window_start", "window_end", "cnt"]
     assert _same(_epochs(got.select(*cols), cols), _epochs(exp, cols))
+    top = st.top_n_from_changelog(spark, out, ["url"], 5)
+    top_exp = op.hot_urls(log, 5, "10 minutes", "5 seconds")
+    assert _same(_epochs(top, cols + ["rank"]), _epochs(top_exp, cols + ["rank"]))
 
 
 def test_tagged_outputs_one_folder_per_tag(spark):
