@@ -56,12 +56,15 @@ def read_access_log(spark, path, stream=False, keep_malformed=False) -> DataFram
     if not stream:
         raw = raw.withColumn("seq", F.monotonically_increasing_id())
     parts = F.split(F.col("value"), " ")
-    # try_to_timestamp reads the wall clock in the session zone and the cast to
-    # timestamp_ntz maps it back, so the result is the written wall clock.
-    ts = F.try_to_timestamp(F.try_element_at(parts, F.lit(4)), F.lit("dd/MM/yyyy:HH:mm:ss"))
+    fmt = F.lit("dd/MM/yyyy:HH:mm:ss")
+    text = F.try_element_at(parts, F.lit(4))
+    # try_to_timestamp only validates (it never raises); the wall clock itself is
+    # parsed as timestamp_ntz, which involves no time zone. CASE evaluates the
+    # strict parser only for valid text.
+    ts = F.when(F.try_to_timestamp(text, fmt).isNotNull(), F.to_timestamp_ntz(text, fmt))
     df = raw.select(F.try_element_at(parts, F.lit(1)).alias("ip"),
                     F.try_element_at(parts, F.lit(2)).alias("user"),
-                    ts.cast("timestamp_ntz").alias("ts"),
+                    ts.alias("ts"),
                     F.try_element_at(parts, F.lit(6)).alias("method"),
                     F.try_element_at(parts, F.lit(7)).alias("url"),
                     *([] if stream else ["seq"]))
