@@ -170,15 +170,24 @@ def login_fail_bursts(logins: DataFrame, within="2 seconds", min_fails: int = 2,
     fw = Window.partitionBy(key, CHUNK).orderBy(US, seq)
     fl = (fl.withColumn("_fi", F.row_number().over(fw))
           .withColumn("_nx", F.lead(F.struct(F.col(seq).alias("s"), F.col("_hc").alias("hc"))).over(fw)))
-    targets = fl.select(key, CHUNK, US, seq, F.lit(1).alias("_p"),
-                        F.struct("_fi", F.col(US).alias("u"), "_nx").alias("_t"))
+    # Each fail becomes a target row (at its own time) and, if owned by the
+    # chunk, a probe row at time + within; a running "last target" at each
+    # probe is the last fail up to its deadline. One explode instead of a
+    # union keeps a single scan and shuffle.
+    tgt = F.struct("_fi", F.col(US).alias("u"), "_nx")
     src = F.struct(F.col(seq).alias("s"), F.col(ts).alias("t"), "_fi", "_hc", "_head", "_ns",
                    F.col(US).alias("u"))
-    probes = fl.where(OWN).select(key, CHUNK, (F.col(US) + F.lit(w_us)).alias(US), seq,
-                                  F.lit(2).alias("_p"), src.alias("_src"))
-    pw = (Window.partitionBy(key, CHUNK).orderBy(US, "_p", seq)
+    no_tgt, no_src = F.when(F.lit(False), tgt), F.when(F.lit(False), src)
+    rows = F.array(
+        F.struct(F.col(US).alias("pos"), F.lit(1).alias("p"), F.col(seq).alias("q"),
+                 tgt.alias("t"), no_src.alias("src")),
+        F.when(F.col(OWN), F.struct((F.col(US) + F.lit(w_us)).alias("pos"), F.lit(2).alias("p"),
+                                    F.col(seq).alias("q"), no_tgt.alias("t"), src.alias("src"))))
+    u = (fl.select(key, CHUNK, F.explode(F.filter(rows, lambda x: x.isNotNull())).alias("_e"))
+         .select(key, CHUNK, F.col("_e.pos").alias("_pos"), F.col("_e.p").alias("_p"),
+                 F.col("_e.q").alias("_q"), F.col("_e.t").alias("_t"), F.col("_e.src").alias("_src")))
+    pw = (Window.partitionBy(key, CHUNK).orderBy("_pos", "_p", "_q")
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    u = targets.unionByName(probes, allowMissingColumns=True)
     u = u.withColumn("_last", F.last("_t", ignorenulls=True).over(pw)).where(F.col("_p") == 2)
     same_run = F.col("_last._nx").isNotNull() & (F.col("_last._nx.hc") == F.col("_src._hc"))
     nodes = u.select(
@@ -199,19 +208,20 @@ def login_fail_bursts(logins: DataFrame, within="2 seconds", min_fails: int = 2,
 def _reachable(nodes: DataFrame, key: str) -> DataFrame:
     """Nodes reachable from heads along ``_to`` (pointer doubling).
 
-    J_0 = jump, J_{k+1} = J_k o J_k until every J_k pointer is null; then,
-    top-down, P_k = P_{k+1} + J_k(P_{k+1}) starting from the heads yields
-    every node at a multiple of 2^k steps from a head, down to k = 0.
+    J_0 = jump, J_{k+1} = J_k o J_k, keeping only nodes whose 2^k-step
+    successor exists (so the tables shrink every round) until none is left;
+    then, top-down, P_k = P_{k+1} + J_k(P_{k+1}) starting from the heads
+    yields every node at a multiple of 2^k steps from a head, down to k = 0.
     """
-    jumps = [nodes.select(key, "_v", "_to")]
-    while jumps[-1].where(F.col("_to").isNotNull()).limit(1).count() > 0:
+    jumps = [nodes.where(F.col("_to").isNotNull()).select(key, "_v", "_to")]
+    while jumps[-1].limit(1).count() > 0:
         a = jumps[-1]
         b = a.select(key, F.col("_v").alias("_to"), F.col("_to").alias("_to2"))
-        jumps.append(cut_lineage(a.join(b, on=[key, "_to"], how="left")
+        jumps.append(cut_lineage(a.join(b, on=[key, "_to"], how="inner")
                                  .select(key, "_v", F.col("_to2").alias("_to"))))
     reached = nodes.where("_is_head").select(key, "_v")
     for i, j in enumerate(reversed(jumps[:-1])):
-        step = (reached.join(j, on=[key, "_v"], how="inner").where(F.col("_to").isNotNull())
+        step = (reached.join(j, on=[key, "_v"], how="inner")
                 .select(key, F.col("_to").alias("_v")))
         reached = reached.unionByName(step)
         if i % 4 == 3:
