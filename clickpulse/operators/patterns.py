@@ -24,6 +24,11 @@ def _chunk(distance_us: int, chunk) -> int:
     return chunk_width(4 * distance_us, to_micros(chunk if chunk is not None else CHUNK_HINT))
 
 
+def _within(delta, bound_us: int, inclusive: bool):
+    """Pattern ``within``: strict (<) by default, ``inclusive`` gives <=."""
+    return delta <= F.lit(bound_us) if inclusive else delta < F.lit(bound_us)
+
+
 def _pairs_out(h: DataFrame, key: str, ts: str, seq: str, last) -> DataFrame:
     return h.select(key, F.col(seq).alias("first_seq"), F.col(ts).alias("first_ts"),
                     last[seq].alias("last_seq"), last[ts].alias("last_ts"))
@@ -31,7 +36,7 @@ def _pairs_out(h: DataFrame, key: str, ts: str, seq: str, last) -> DataFrame:
 
 def consecutive_fails(logins: DataFrame, within="2 seconds", key: str = "user_id",
                       ts: str = "ts", seq: str = "seq", type_col: str = "event_type",
-                      fail: str = "fail", chunk=None) -> DataFrame:
+                      fail: str = "fail", chunk=None, inclusive: bool = False) -> DataFrame:
     """``begin(fail).next(fail).within(t)``: two strictly consecutive fails
     of a key with last - first < t. Overlapping matches are all reported."""
     w_us = to_micros(within)
@@ -42,13 +47,14 @@ def consecutive_fails(logins: DataFrame, within="2 seconds", key: str = "user_id
                           F.col("_fail").alias("f"))).over(w)
     h = h.withColumn("_n", nxt)
     h = h.where(F.col(OWN) & F.col("_fail") & F.col("_n.f")
-                & (F.col("_n.u") - F.col(US) < F.lit(w_us)))
+                & _within(F.col("_n.u") - F.col(US), w_us, inclusive))
     return _pairs_out(h, key, ts, seq, F.col("_n"))
 
 
 def fails_times_n(logins: DataFrame, n: int = 2, within="2 seconds", consecutive: bool = False,
                   key: str = "user_id", ts: str = "ts", seq: str = "seq",
-                  type_col: str = "event_type", fail: str = "fail", chunk=None) -> DataFrame:
+                  type_col: str = "event_type", fail: str = "fail", chunk=None,
+                  inclusive: bool = False) -> DataFrame:
     """``begin(fail).times(n).within(t)``.
 
     Relaxed contiguity (default): other events may come between the n fails,
@@ -69,13 +75,13 @@ def fails_times_n(logins: DataFrame, n: int = 2, within="2 seconds", consecutive
         cond = cond & F.col(f"_f{i}")
     last = F.lead(F.struct(F.col(US).alias("u"), F.col(ts).alias(ts), F.col(seq).alias(seq)),
                   n - 1).over(w)
-    h = h.withColumn("_l", last).where(cond & (F.col("_l.u") - F.col(US) < F.lit(w_us)))
+    h = h.withColumn("_l", last).where(cond & _within(F.col("_l.u") - F.col(US), w_us, inclusive))
     return _pairs_out(h, key, ts, seq, F.col("_l")).withColumn("n_fails", F.lit(n))
 
 
 def order_pay_cep(orders: DataFrame, within="15 minutes", key: str = "order_id",
                   ts: str = "ts", seq: str = "seq", type_col: str = "event_type",
-                  chunk=None) -> DataFrame:
+                  chunk=None, inclusive: bool = False) -> DataFrame:
     """``begin(create).followedBy(pay).within(t)`` with timeouts.
 
     Each create is matched with the first pay after it (other creates
@@ -92,14 +98,14 @@ def order_pay_cep(orders: DataFrame, within="15 minutes", key: str = "order_id",
     h = (h.where(F.col(OWN) | F.col("_pay"))
          .withColumn("_np", F.last(pay, ignorenulls=True).over(after))
          .where(F.col(OWN) & ~F.col("_pay")))
-    ok = F.col("_np").isNotNull() & (F.col("_np.u") - F.col(US) < F.lit(w_us))
+    ok = F.col("_np").isNotNull() & _within(F.col("_np.u") - F.col(US), w_us, inclusive)
     return h.select(key, F.when(ok, F.lit("matched")).otherwise(F.lit("timeout")).alias("tag"),
                     F.col(ts).alias("create_ts"), F.when(ok, F.col(f"_np.{ts}")).alias("pay_ts"))
 
 
 def order_pay_states(orders: DataFrame, timeout="15 minutes", key: str = "order_id",
                      ts: str = "ts", seq: str = "seq", type_col: str = "event_type",
-                     chunk=None) -> DataFrame:
+                     chunk=None, inclusive: bool = True) -> DataFrame:
     """keyed-state classification of creates and pays.
 
     A create opens the order (a later create re-anchors it) until a pay at
@@ -116,8 +122,8 @@ def order_pay_states(orders: DataFrame, timeout="15 minutes", key: str = "order_
     nb = F.struct(F.col(US).alias("u"), F.col(ts).alias(ts), F.col("_pay").alias("p"))
     h = (h.withColumn("_nx", F.lead(nb).over(w)).withColumn("_pv", F.lag(nb).over(w))
          .where(OWN))
-    nx_close = F.col("_nx").isNotNull() & (F.col("_nx.u") - F.col(US) <= F.lit(t_us))
-    pv_close = F.col("_pv").isNotNull() & (F.col(US) - F.col("_pv.u") <= F.lit(t_us))
+    nx_close = F.col("_nx").isNotNull() & _within(F.col("_nx.u") - F.col(US), t_us, inclusive)
+    pv_close = F.col("_pv").isNotNull() & _within(F.col(US) - F.col("_pv.u"), t_us, inclusive)
     null_ts = F.lit(None).cast(orders.schema[ts].dataType)
     state = (F.when(~F.col("_pay") & nx_close & F.col("_nx.p"), F.lit("paid"))
              .when(~F.col("_pay") & nx_close & ~F.col("_nx.p"), F.lit(None))

@@ -122,3 +122,15 @@ def test_null_timestamps_are_ignored(spark):
     for plan in ["pane", "direct"]:
         c = op.item_counts(df, "1 hour", "5 minutes", plan=plan)
         assert c.agg(F.sum("cnt")).first()[0] == 12
+
+
+def test_inclusive_switch(spark):
+    o = _orders(spark, [(1, "create", 0), (1, "pay", 900)])
+    assert op.order_pay_cep(o, "15 minutes").first().tag == "timeout"
+    assert op.order_pay_cep(o, "15 minutes", inclusive=True).first().tag == "matched"
+    assert sorted(r.state for r in op.order_pay_states(o, "15 minutes", inclusive=False).collect()) \
+        == ["not_paid", "pay_without_open_order"]
+    lg = _logins(spark, [(1, "fail", 0), (1, "fail", 2)])
+    assert op.consecutive_fails(lg, "2 seconds").count() == 0
+    assert op.consecutive_fails(lg, "2 seconds", inclusive=True).count() == 1
+    assert op.fails_times_n(lg, 2, "2 seconds", inclusive=True).count() == 1
