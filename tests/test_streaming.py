@@ -263,3 +263,12 @@ def test_late_rows_are_counted(spark):
         dropped += st.rows_dropped_by_watermark(q)
     q.stop()
     assert dropped > 0
+
+
+def test_blacklist_stream_resets_daily(spark):
+    clicks = td.ad_clicks(spark, SF_SMALL)
+    cols = ["user_id", "ad_id", "ts", "tag"]
+    batch = _epochs(op.rank_clicks(clicks, 2), cols)
+    out = _replay(spark, clicks, lambda s: st.blacklist_stream(s, 2), n_files=5)
+    assert _same(_epochs(out, cols), batch)
+    assert batch.where("tag = 'blacklist'").count() > 0
