@@ -1,5 +1,5 @@
 from clickpulse.streaming.windows import (
-    with_event_time, window_counts_stream, top_n_sink, interval_join_stream,
+    ASCENDING, with_event_time, window_counts_stream, top_n_sink, interval_join_stream,
     url_counts_with_lateness, uv_stream, reconcile_stream, rows_dropped_by_watermark,
     top_n_from_changelog)
 from clickpulse.streaming.stateful import (
@@ -7,7 +7,7 @@ from clickpulse.streaming.stateful import (
     blacklist_stream, login_burst_stream, order_states_stream,
     FailSequenceProcessor, OrderPayCepProcessor, fail_sequence_stream, order_pay_cep_stream)
 
-__all__ = ["with_event_time", "window_counts_stream", "top_n_sink", "interval_join_stream",
+__all__ = ["ASCENDING", "with_event_time", "window_counts_stream", "top_n_sink", "interval_join_stream",
            "url_counts_with_lateness", "uv_stream",
            "reconcile_stream", "rows_dropped_by_watermark", "top_n_from_changelog",
            "BlacklistProcessor", "LoginBurstProcessor", "OrderStateProcessor",

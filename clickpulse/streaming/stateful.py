@@ -19,7 +19,7 @@ from pyspark.sql.streaming.stateful_processor import (
     ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues)
 
 from clickpulse.functions.timefn import to_micros
-from clickpulse.streaming.windows import with_event_time
+from clickpulse.streaming.windows import ASCENDING, with_event_time
 
 DAY_US = 86_400_000_000
 
@@ -85,7 +85,7 @@ class BlacklistProcessor(StatefulProcessor):
         pass
 
 
-def blacklist_stream(clicks: DataFrame, max_clicks: int = 100, delay="0 seconds",
+def blacklist_stream(clicks: DataFrame, max_clicks: int = 100, delay=ASCENDING,
                      utc_offset_hours: int = 8) -> DataFrame:
     ev = with_event_time(clicks, "ts", delay)
     return ev.groupBy("user_id", "ad_id").transformWithStateInPandas(
@@ -225,7 +225,7 @@ class OrderStateProcessor(StatefulProcessor):
         pass
 
 
-def order_states_stream(orders: DataFrame, timeout="15 minutes", delay="0 seconds") -> DataFrame:
+def order_states_stream(orders: DataFrame, timeout="15 minutes", delay=ASCENDING) -> DataFrame:
     ev = with_event_time(orders, "ts", delay)
     return ev.groupBy("order_id").transformWithStateInPandas(
         OrderStateProcessor(timeout), ORDER_SCHEMA, "Append", "EventTime")
@@ -363,7 +363,7 @@ class OrderPayCepProcessor(StatefulProcessor):
         pass
 
 
-def order_pay_cep_stream(orders: DataFrame, within="15 minutes", delay="0 seconds") -> DataFrame:
+def order_pay_cep_stream(orders: DataFrame, within="15 minutes", delay=ASCENDING) -> DataFrame:
     ev = with_event_time(orders, "ts", delay)
     return ev.groupBy("order_id").transformWithStateInPandas(
         OrderPayCepProcessor(within), CEP_SCHEMA, "Append", "EventTime")

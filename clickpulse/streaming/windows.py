@@ -17,15 +17,21 @@ from clickpulse.functions.timefn import as_event_time, interval_str, to_micros
 from clickpulse.operators.topn import top_n
 
 
-def with_event_time(stream: DataFrame, ts: str = "ts", delay="0 seconds") -> DataFrame:
+# Watermark delay for ascending timestamps: watermark = max event time - 1 ms.
+# Spark drops rows at or below the watermark, so a zero delay would drop rows
+# tied with the previous micro-batch's latest row; 1 ms keeps them.
+ASCENDING = "1 millisecond"
+
+
+def with_event_time(stream: DataFrame, ts: str = "ts", delay=ASCENDING) -> DataFrame:
     """Event time + watermark: ``delay`` is the bounded out-of-orderness
-    (0 for ascending timestamps; 2 s / 5 s in the log and login jobs)."""
+    (``ASCENDING`` for ordered timestamps; 2 s / 5 s in the log and login jobs)."""
     return (stream.withColumn(ts, as_event_time(stream, ts))
             .withWatermark(ts, interval_str(to_micros(delay))))
 
 
 def window_counts_stream(stream: DataFrame, ts: str, keys: list[str], size, slide=None,
-                         delay="0 seconds", panes: bool | None = None, out: str = "cnt",
+                         delay=ASCENDING, panes: bool | None = None, out: str = "cnt",
                          processing_time: bool = False) -> DataFrame:
     """Append-mode sliding counts; a window is emitted once the watermark
     passes its end and rows older than the watermark are dropped.
@@ -68,8 +74,8 @@ def top_n_sink(key_cols: list[str], n: int, sink: Callable[[DataFrame, int], Non
 
 def interval_join_stream(left: DataFrame, right: DataFrame, on: str, left_ts: str,
                          right_ts: str, lower="-3 seconds", upper="5 seconds",
-                         how: str = "inner", left_delay="0 seconds",
-                         right_delay="0 seconds") -> DataFrame:
+                         how: str = "inner", left_delay=ASCENDING,
+                         right_delay=ASCENDING) -> DataFrame:
     """Stream-stream interval join; watermarks bound the buffered state.
 
     ``how='full_outer'`` emits unmatched rows once the watermark passes their
@@ -109,7 +115,7 @@ def url_counts_with_lateness(log: DataFrame, size="10 minutes", slide="5 seconds
 
 
 def uv_stream(stream: DataFrame, size="1 hour", user: str = "user_id", ts: str = "ts",
-              delay="0 seconds", approx: bool = False, out: str = "uv") -> DataFrame:
+              delay=ASCENDING, approx: bool = False, out: str = "uv") -> DataFrame:
     """A6 / A9 streaming: distinct users per tumbling window, append mode.
 
     Exact: chained aggregations -- (window, user) first, then a count per
@@ -131,8 +137,8 @@ def uv_stream(stream: DataFrame, size="1 hour", user: str = "user_id", ts: str =
 
 def reconcile_stream(pays: DataFrame, receipts: DataFrame, on: str = "tx_id",
                      pay_ts: str = "pay_ts", receipt_ts: str = "receipt_ts",
-                     lower="-3 seconds", upper="5 seconds", pay_delay="0 seconds",
-                     receipt_delay="0 seconds") -> DataFrame:
+                     lower="-3 seconds", upper="5 seconds", pay_delay=ASCENDING,
+                     receipt_delay=ASCENDING) -> DataFrame:
     """J2 streaming: full outer interval join, tagged like the batch ``reconcile``.
 
     Unmatched pays / receipts are emitted once the watermark passes the end

@@ -62,7 +62,7 @@ def test_login_burst_stream_equals_batch(spark):
     cols = ["user_id", "first_ts", "last_ts", "n_fails"]
     batch = _epochs(op.login_fail_bursts(lg, "12 hours"), cols)
     sentinel = lg.limit(1).toPandas().assign(user_id=-1, ts=FAR, event_type="success")
-    out = _replay(spark, lg, lambda s: st.login_burst_stream(s, "12 hours", delay="0 seconds"),
+    out = _replay(spark, lg, lambda s: st.login_burst_stream(s, "12 hours", delay=st.ASCENDING),
                   sentinel=sentinel)
     assert _same(_epochs(out, cols), batch)
     assert batch.count() > 0
@@ -174,7 +174,7 @@ def test_fail_sequences_stream_equal_batch(spark):
              (3, "1 day", False, op.fails_times_n(lg, 3, "1 day"))]
     for n, within, consecutive, batch in cases:
         out = _replay(spark, lg, lambda s: st.fail_sequence_stream(s, n, within, consecutive,
-                                                                   delay="0 seconds"))
+                                                                   delay=st.ASCENDING))
         assert _same(_epochs(out, cols), _epochs(batch, cols)), (n, within, consecutive)
         assert batch.count() > 0
 
@@ -272,3 +272,17 @@ def test_blacklist_stream_resets_daily(spark):
     out = _replay(spark, clicks, lambda s: st.blacklist_stream(s, 2), n_files=5)
     assert _same(_epochs(out, cols), batch)
     assert batch.where("tag = 'blacklist'").count() > 0
+
+
+def test_micro_batch_split_invariance(spark):
+    orders = td.order_events(spark, SF_SMALL)
+    cols = ["order_id", "state", "create_ts", "pay_ts"]
+    sentinel = orders.limit(1).toPandas().assign(order_id=-1, ts=FAR, event_type="create")
+    results = []
+    for n in [1, 7]:
+        out = _replay(spark, orders, lambda s: st.order_states_stream(s, "150 days"),
+                      n_files=n, sentinel=sentinel).where("order_id <> -1")
+        results.append(_epochs(out, cols))
+    batch = _epochs(op.order_pay_states(orders, "150 days"), cols)
+    assert _same(results[0], results[1])
+    assert _same(results[0], batch)
