@@ -156,7 +156,8 @@ def login_fail_bursts(logins: DataFrame, within="2 seconds", min_fails: int = 2,
     it, and ``jump`` = the first fail after its deadline in the same run.
     The anchors (everything reachable from a head through ``jump``) are then
     found by pointer doubling: O(log chain) distributed join rounds, no key
-    ever gathered in one task.
+    ever gathered in one task. ``seq`` must be unique within a key (it names
+    the chain nodes).
     """
     w_us = to_micros(within)
     ntz = is_ntz(logins, ts)

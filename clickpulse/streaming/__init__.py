@@ -4,13 +4,13 @@ from clickpulse.streaming.windows import (
     top_n_from_changelog)
 from clickpulse.streaming.stateful import (
     BlacklistProcessor, LoginBurstProcessor, OrderStateProcessor,
-    blacklist_stream, login_burst_stream, order_states_stream,
+    blacklist_stream, ad_counts_by_province_stream, login_burst_stream, order_states_stream,
     FailSequenceProcessor, OrderPayCepProcessor, fail_sequence_stream, order_pay_cep_stream)
 
 __all__ = ["ASCENDING", "with_event_time", "window_counts_stream", "top_n_sink", "interval_join_stream",
            "url_counts_with_lateness", "uv_stream",
            "reconcile_stream", "rows_dropped_by_watermark", "top_n_from_changelog",
            "BlacklistProcessor", "LoginBurstProcessor", "OrderStateProcessor",
-           "blacklist_stream", "login_burst_stream", "order_states_stream",
+           "blacklist_stream", "ad_counts_by_province_stream", "login_burst_stream", "order_states_stream",
            "FailSequenceProcessor", "OrderPayCepProcessor", "fail_sequence_stream",
            "order_pay_cep_stream"]

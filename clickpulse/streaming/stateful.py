@@ -11,14 +11,16 @@ by the trigger size (``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import (
     ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues)
 
-from clickpulse.functions.timefn import to_micros
+from clickpulse.functions.timefn import interval_str, to_micros
 from clickpulse.streaming.windows import ASCENDING, with_event_time
 
 DAY_US = 86_400_000_000
@@ -87,9 +89,26 @@ class BlacklistProcessor(StatefulProcessor):
 
 def blacklist_stream(clicks: DataFrame, max_clicks: int = 100, delay=ASCENDING,
                      utc_offset_hours: int = 8) -> DataFrame:
+    """Tagged clicks (``passed`` / ``blacklist``); ``ts`` keeps its watermark
+    so windowed aggregations can follow in the same query."""
     ev = with_event_time(clicks, "ts", delay)
     return ev.groupBy("user_id", "ad_id").transformWithStateInPandas(
-        BlacklistProcessor(max_clicks, utc_offset_hours), BLACKLIST_SCHEMA, "Append", "EventTime")
+        BlacklistProcessor(max_clicks, utc_offset_hours), BLACKLIST_SCHEMA, "Append", "EventTime",
+        eventTimeColumnName="ts")
+
+
+def ad_counts_by_province_stream(clicks: DataFrame, max_clicks: int = 100, size="1 hour",
+                                 slide="5 seconds", delay=ASCENDING) -> DataFrame:
+    """A4 streaming: blacklist state, then sliding province counts, one query."""
+    passed = blacklist_stream(clicks, max_clicks, delay).where(F.col("tag") == "passed")
+    size_us, slide_us = to_micros(size), to_micros(slide)
+    g = interval_str(math.gcd(size_us, slide_us))
+    panes = (passed.groupBy(F.window("ts", g).alias("_p"), "province")
+             .agg(F.count(F.lit(1)).alias("_c")))
+    w = F.window(F.window_time("_p"), interval_str(size_us), interval_str(slide_us))
+    return (panes.groupBy(w.alias("_w"), "province").agg(F.sum("_c").alias("cnt"))
+            .select("province", F.col("_w.start").alias("window_start"),
+                    F.col("_w.end").alias("window_end"), F.col("cnt").cast("bigint").alias("cnt")))
 
 
 # ---------------------------------------------------------------------- F3

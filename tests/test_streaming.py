@@ -286,3 +286,14 @@ def test_micro_batch_split_invariance(spark):
     batch = _epochs(op.order_pay_states(orders, "150 days"), cols)
     assert _same(results[0], results[1])
     assert _same(results[0], batch)
+
+
+def test_ad_counts_stream_equals_batch(spark):
+    clicks = read_ad_clicks(spark, fixture("ad_clicks.csv")).drop("city")
+    cols = ["province", "window_start", "window_end", "cnt"]
+    batch = _epochs(op.ad_counts_by_province(clicks, 100, "1 hour", "5 minutes"), cols)
+    sentinel = clicks.limit(1).toPandas().assign(user_id=-1, province="zz", ts=FAR)
+    out = _replay(spark, clicks, lambda s: st.ad_counts_by_province_stream(s, 100, "1 hour",
+                                                                          "5 minutes"),
+                  sentinel=sentinel).where("province <> 'zz'")
+    assert _same(_epochs(out, cols), batch)
