@@ -32,14 +32,14 @@ def hot_urls(log: DataFrame, n: int = 5, size="10 minutes", slide="5 seconds", *
 
 
 def hot_items_sql(spark: SparkSession, ub: DataFrame, n: int = 5, size="1 hour",
-                  slide="5 minutes", view: str = "user_behavior") -> DataFrame:
-    """The same report written in SQL over a temp view."""
-    ub.createOrReplaceTempView(view)
+                  slide="5 minutes") -> DataFrame:
+    """The same report written in SQL (the DataFrame is bound into the
+    query text, so no session-global temp view is registered)."""
     size_s, slide_s = interval_str(to_micros(size)), interval_str(to_micros(slide))
     return spark.sql(f"""
         WITH counts AS (
           SELECT item_id, window.start AS window_start, window.end AS window_end, count(*) AS cnt
-          FROM {view}
+          FROM {{ub}}
           WHERE behavior = 'pv'
           GROUP BY window(ts, '{size_s}', '{slide_s}'), item_id
         ), ranked AS (
@@ -48,7 +48,7 @@ def hot_items_sql(spark: SparkSession, ub: DataFrame, n: int = 5, size="1 hour",
           FROM counts
         )
         SELECT item_id, window_start, window_end, cnt, rank FROM ranked WHERE rank <= {int(n)}
-    """)
+    """, ub=ub)
 
 
 def render_topn(topn: DataFrame, key_col: str, label: str, count_col: str = "cnt",
