@@ -62,15 +62,25 @@ def window_counts(df: DataFrame, ts: str, keys: list[str], size, slide=None, *,
 
 def _pane_counts(df, ts, keys, size_us, slide_us, agg, out, bucket_us=None):
     g = math.gcd(size_us, slide_us)
-    # time bucket of a window = bucket of its start; width >= size, so a pane
-    # feeds windows of at most two buckets
-    b_us = max(size_us, bucket_us or 0)
-    b_us = (b_us + slide_us - 1) // slide_us * slide_us
-    ntz = is_ntz(df, ts)
     us = epoch_micros(df, ts)
     panes = (df.where(F.col(ts).isNotNull())
              .groupBy(*keys, floor_div(us, g).alias("_pane"))
              .agg(agg.alias("_c")))
+    return expand_panes(panes, keys, size_us, slide_us, is_ntz(df, ts), out, bucket_us)
+
+
+def expand_panes(panes: DataFrame, keys: list[str], size_us: int, slide_us: int, ntz: bool = True,
+                 out: str = "cnt", bucket_us: int | None = None) -> DataFrame:
+    """Sum pane counts (``keys``, ``_pane`` index of width gcd(size, slide), ``_c``)
+    into sliding windows -> ``keys + [window_start, window_end, out]``.
+
+    Shared by the batch pane plan and the streaming pane sink.
+    """
+    g = math.gcd(size_us, slide_us)
+    # time bucket of a window = bucket of its start; width >= size, so a pane
+    # feeds windows of at most two buckets
+    b_us = max(size_us, bucket_us or 0)
+    b_us = (b_us + slide_us - 1) // slide_us * slide_us
     q = F.col("_pane")
     # window k = [k*slide, k*slide + size) contains pane [q*g, (q+1)*g)
     # iff k*slide <= q*g and (q+1)*g <= k*slide + size
@@ -85,7 +95,7 @@ def _pane_counts(df, ts, keys, size_us, slide_us, agg, out, bucket_us=None):
     # partition count is explicit: the pane shuffle is small, and AQE would
     # otherwise coalesce it into a few tasks that then carry the whole
     # overlap-fold expansion.
-    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_parts = int(panes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     kb_lo = F.greatest(F.col("_klo"), F.col("_b") * F.lit(per_b))
     kb_hi = F.least(F.col("_khi"), (F.col("_b") + F.lit(1)) * F.lit(per_b) - F.lit(1))
     wins = (panes.repartition(n_parts, *keys, "_b")

@@ -169,3 +169,41 @@ def top_n_from_changelog(spark, path: str, key_cols: list[str], n: int = 5) -> D
     from clickpulse.sources.sinks import read_latest
     latest = read_latest(spark, path, [*key_cols, "window_start", "window_end"])
     return top_n(latest, key_cols, n)
+
+
+def pane_counts_stream(stream: DataFrame, ts: str, keys: list[str], size, slide,
+                       delay=ASCENDING) -> DataFrame:
+    """Finalized pane counts (``keys``, ``_pane``, ``_c``) of width gcd(size, slide).
+
+    Append mode emits a pane once the watermark passes its end. Pair with
+    :func:`pane_window_sink` for sliding windows with many overlaps: the
+    stream keeps one state row per (key, pane), and the windows are expanded
+    per micro-batch by the batch pane plan. ``delay=None`` keeps a watermark
+    the stream already carries (e.g. the blacklist output).
+    """
+    g = math.gcd(to_micros(size), to_micros(slide))
+    ev = with_event_time(stream, ts, delay) if delay is not None else stream
+    agg = ev.groupBy(F.window(ts, interval_str(g)).alias("_p"), *keys).agg(
+        F.count(F.lit(1)).alias("_c"))
+    return agg.select(*keys, (F.unix_micros(F.col("_p.start")) / F.lit(g)).cast("bigint")
+                      .alias("_pane"), "_c")
+
+
+def pane_window_sink(path: str, keys: list[str], size, slide, ntz: bool = True):
+    """``foreachBatch`` function: expand a micro-batch of finalized panes into
+    window count deltas, written to ``epoch=<id>`` (overwrite: exactly once).
+    :func:`read_window_counts` sums the deltas."""
+    from clickpulse.plans.sliding import expand_panes
+    size_us, slide_us = to_micros(size), to_micros(slide)
+
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        (expand_panes(batch, keys, size_us, slide_us, ntz)
+         .write.mode("overwrite").parquet(f"{path}/epoch={epoch_id}"))
+    return run
+
+
+def read_window_counts(spark, path: str, keys: list[str], out: str = "cnt") -> DataFrame:
+    """Window counts so far: the sum of the per-epoch deltas. A window is
+    final once the stream's watermark has passed its end."""
+    return (spark.read.parquet(path).groupBy(*keys, "window_start", "window_end")
+            .agg(F.sum(out).cast("bigint").alias(out)))

@@ -297,3 +297,30 @@ def test_ad_counts_stream_equals_batch(spark):
                                                                           "5 minutes"),
                   sentinel=sentinel).where("province <> 'zz'")
     assert _same(_epochs(out, cols), batch)
+
+
+def test_pane_sink_720_overlaps(spark):
+    clicks = read_ad_clicks(spark, fixture("ad_clicks.csv")).drop("city")
+    root = tempfile.mkdtemp(prefix="clickpulse-panes-")
+    src, out = os.path.join(root, "src"), os.path.join(root, "out")
+    os.makedirs(src)
+    pdf = clicks.orderBy("ts", "seq").toPandas()
+    parts = np.array_split(pdf, 3) + [clicks.limit(1).toPandas().assign(user_id=-1, province="zz",
+                                                                         ts=FAR)]
+    stream = spark.readStream.schema(clicks.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    passed = st.blacklist_stream(stream, 100).where("tag = 'passed'")
+    panes = st.pane_counts_stream(passed, "ts", ["province"], "1 hour", "5 seconds", delay=None)
+    q = (panes.writeStream.outputMode("append")
+         .foreachBatch(st.pane_window_sink(out, ["province"], "1 hour", "5 seconds", ntz=False))
+         .option("checkpointLocation", os.path.join(root, "ck")).start())
+    for part in parts:
+        spark.createDataFrame(part, schema=clicks.schema).coalesce(1).write.mode("append").parquet(src)
+        q.processAllAvailable()
+    q.processAllAvailable()
+    q.stop()
+    got = st.read_window_counts(spark, out, ["province"]).where("province <> 'zz'")
+    agg = got.agg(F.count("*").alias("n"), F.sum("cnt").alias("s")).first()
+    assert (agg.n, agg.s) == (5987, 87120)
+    cols = ["province", "window_start", "window_end", "cnt"]
+    exp = op.ad_counts_by_province(clicks, 100, "1 hour", "5 seconds")
+    assert _same(_epochs(got, cols), _epochs(exp, cols))
