@@ -39,7 +39,9 @@ def window_counts_stream(stream: DataFrame, ts: str, keys: list[str], size, slid
     With many overlaps (``panes`` defaults to overlaps > 4) the count is
     chained: tumbling panes of gcd(size, slide) first, then windows over
     the pane counts, so each row enters one state entry instead of one per
-    overlap. ``processing_time=True`` windows rows by arrival time instead.
+    overlap. The chained form is append-only (Spark rejects chained
+    aggregations in update mode). ``processing_time=True`` windows rows by
+    arrival time instead.
     """
     size_us = to_micros(size)
     slide_us = to_micros(slide if slide is not None else size)

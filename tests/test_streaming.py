@@ -324,3 +324,28 @@ def test_pane_sink_720_overlaps(spark):
     cols = ["province", "window_start", "window_end", "cnt"]
     exp = op.ad_counts_by_province(clicks, 100, "1 hour", "5 seconds")
     assert _same(_epochs(got, cols), _epochs(exp, cols))
+
+
+def test_processing_time_windows_and_update_mode_uv(spark):
+    mk = td.market_events(spark, SF_SMALL)
+    root = tempfile.mkdtemp(prefix="clickpulse-pt-")
+    mk.coalesce(1).write.parquet(f"{root}/src")
+    s = spark.readStream.schema(mk.schema).parquet(f"{root}/src")
+    q = (st.window_counts_stream(s, "ts", ["channel"], "1 hour", "5 minutes", panes=False,
+                                 processing_time=True)
+         .writeStream.format("memory").queryName("pt_out").outputMode("update")
+         .option("checkpointLocation", f"{root}/ck1").start())
+    q.processAllAvailable()
+    q.stop()
+    got = spark.table("pt_out")
+    # every row lands in the 12 windows around its arrival time
+    assert got.agg(F.sum("cnt")).first()[0] == 12 * mk.count()
+    q = (st.uv_stream(s, "1 hour", approx=True).writeStream.format("memory")
+         .queryName("uv_upd").outputMode("update")
+         .option("checkpointLocation", f"{root}/ck2").start())
+    q.processAllAvailable()
+    q.stop()
+    exact = {r.window_start: r.uv for r in op.uv_exact(mk, "1 hour").collect()}
+    approx = spark.table("uv_upd").collect()
+    assert len(approx) == len(exact)
+    assert sum(r.uv for r in approx) > 0
