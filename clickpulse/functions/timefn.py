@@ -66,19 +66,20 @@ def epoch_micros(df: DataFrame, col: str) -> Column:
     return F.unix_micros(c)
 
 
+def _epoch_ntz() -> Column:
+    # built from text: a Python datetime literal would pass through the session zone
+    return F.lit("1970-01-01 00:00:00").cast(T.TimestampNTZType())
+
+
 def micros_to_ts(us: Column, ntz: bool = True) -> Column:
-    """Inverse of :func:`epoch_micros` for the chosen timestamp flavour
-    (timestamp_ntz built from wall-clock fields, independent of the zone)."""
+    """Inverse of :func:`epoch_micros` for the chosen timestamp flavour.
+
+    ``timestamp_add`` on a timestamp_ntz operand works in UTC internally, so
+    the result does not depend on the session zone (checked across a DST gap).
+    """
     if not ntz:
         return F.timestamp_micros(us)
-    day_us = F.lit(86_400_000_000)
-    tod = F.pmod(us, day_us)
-    days = ((us - tod) / day_us).cast("int")
-    d = F.date_from_unix_date(days)
-    hours = (tod / F.lit(3_600_000_000)).cast("int")
-    mins = (F.pmod(tod, F.lit(3_600_000_000)) / F.lit(60_000_000)).cast("int")
-    secs = (F.pmod(tod, F.lit(60_000_000)) / F.lit(1_000_000)).cast("decimal(8,6)")
-    return F.make_timestamp_ntz(F.year(d), F.month(d), F.dayofmonth(d), hours, mins, secs)
+    return F.timestamp_add("MICROSECOND", us, _epoch_ntz())
 
 
 def seconds_to_ts(c: Column) -> Column:
