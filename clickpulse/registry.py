@@ -17,22 +17,24 @@ from clickpulse import operators as op
 from clickpulse.sources import testdata as td
 
 H = 3_600_000_000          # one hour in microseconds
-D = 24 * H                 # one day in microseconds
-
-# Scaled parameters of the registered queries.
-ITEM_WINDOW = ("1 hour", "5 minutes")
-URL_WINDOW = ("10 minutes", "5 seconds")
-CHANNEL_WINDOW = ("1 hour", "5 minutes")
-AD_WINDOW = ("1 hour", "5 seconds")
-AD_MAX_CLICKS = 2
-BITMAP_CAP = 1 << 8
-LOGIN_STRICT = "6 hours"
-LOGIN_RELAXED = "2 hours"
-LOGIN_RELAXED_WIDE = "3 hours"
-LOGIN_BURST = "12 hours"
-ORDER_WITHIN = "150 days"
-RECEIPT_BOUNDS = ("-300 days", "500 days")
-EVENT_JOIN_BOUNDS = ("-3 hours", "5 hours")
+
+# Parameters of the registered queries. Windows keep the reference's sizes
+# except the channel job (1 h / 5 s over every event would expand each row
+# 720-fold); pattern and join bounds are scaled from seconds to hours or
+# days because one user's events are hours apart in ``events``.
+ITEM_WINDOW = ("1 hour", "5 minutes")          # reference value
+URL_WINDOW = ("10 minutes", "5 seconds")       # reference value
+CHANNEL_WINDOW = ("1 hour", "5 minutes")       # reference: 1 hour / 5 seconds
+AD_WINDOW = ("1 hour", "5 seconds")            # reference value (720 overlaps)
+AD_MAX_CLICKS = 2                              # reference: 100
+BITMAP_CAP = 1 << 8                            # reference: 2^30; small so collisions show
+LOGIN_STRICT = "6 hours"                       # reference: 2 seconds
+LOGIN_RELAXED = "2 hours"                      # reference: 2 seconds
+LOGIN_RELAXED_WIDE = "3 hours"                 # reference: 3 seconds
+LOGIN_BURST = "12 hours"                       # reference: 2 seconds
+ORDER_WITHIN = "150 days"                      # reference: 15 minutes
+RECEIPT_BOUNDS = ("-300 days", "500 days")     # reference: -3 s / +5 s
+EVENT_JOIN_BOUNDS = ("-3 hours", "5 hours")    # reference shape in hours
 
 
 def _bigint(df: DataFrame, *cols: str) -> DataFrame:
