@@ -14,6 +14,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -278,29 +279,45 @@ class FailSequenceProcessor(StatefulProcessor):
         self.state = handle.getListState("recent_fails", "us long, seq long")
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        # vectorized: matches are index pairs (i, i + n - 1) among the fails,
+        # inside one run of fails when other events break runs
         df = _sorted(rows)
         recent = [tuple(x) for x in self.state.get()] if self.state.exists() else []
         old_last = recent[-1][0] if recent else None
-        out = []
-        for r in df.itertuples(index=False):
-            seq = int(getattr(r, "seq", 0))
-            if r.event_type != self.fail:
-                if self.consecutive:
-                    recent = []
-                continue
-            if len(recent) == self.n - 1 and r.t_us - recent[0][0] < self.w_us:
-                out.append((key[0], recent[0][1], _ts(recent[0][0]), seq, _ts(r.t_us), self.n))
-            recent = (recent + [(r.t_us, seq)])[-(self.n - 1):]
+        is_fail = (df["event_type"] == self.fail).to_numpy()
+        seqs = df["seq"].to_numpy(dtype="int64") if "seq" in df.columns else np.zeros(len(df), "int64")
+        us = df["t_us"].to_numpy(dtype="int64")
+        # run id: events that break contiguity (non-fails, in consecutive mode) start a new run
+        breaks = np.cumsum(~is_fail) if self.consecutive else np.zeros(len(df), "int64")
+        f_us = np.concatenate([np.array([u for u, _ in recent], "int64"), us[is_fail]])
+        f_seq = np.concatenate([np.array([q for _, q in recent], "int64"), seqs[is_fail]])
+        f_run = np.concatenate([np.zeros(len(recent), "int64"), breaks[is_fail]])
+        k = self.n - 1
+        out = None
+        if len(f_us) > k:
+            j = np.arange(max(k, len(recent)), len(f_us))   # matches end at a new fail
+            i = j - k
+            ok = (f_run[i] == f_run[j]) & (f_us[j] - f_us[i] < self.w_us)
+            i, j = i[ok], j[ok]
+            if len(j):
+                out = pd.DataFrame({"user_id": key[0], "first_seq": f_seq[i],
+                                    "first_ts": pd.to_datetime(f_us[i], unit="us"),
+                                    "last_seq": f_seq[j],
+                                    "last_ts": pd.to_datetime(f_us[j], unit="us"),
+                                    "n_fails": self.n})
+        # keep the last n-1 fails of the current run
+        last_run = breaks[-1] if len(breaks) else 0
+        keep = f_run == last_run
+        recent = list(zip(f_us[keep][-k:].tolist(), f_seq[keep][-k:].tolist()))
         if old_last is not None:
             self.handle.deleteTimer(old_last // 1000 + self.w_us // 1000 + 1)
         if recent:
-            self.state.put([(int(u), int(s)) for u, s in recent])
+            self.state.put([(int(u), int(q)) for u, q in recent])
             self.handle.registerTimer(recent[-1][0] // 1000 + self.w_us // 1000 + 1)
         else:
             self.state.clear()
-        if out:
-            yield pd.DataFrame(out, columns=["user_id", "first_seq", "first_ts", "last_seq",
-                                             "last_ts", "n_fails"])
+        if out is not None:
+            yield out
 
     def handleExpiredTimer(self, key, timerValues: TimerValues,
                            expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
