@@ -358,28 +358,37 @@ class OrderPayCepProcessor(StatefulProcessor):
         return (c_us + self.w_us) // 1000 + 1
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        # vectorized: each create takes the first pay after it (searchsorted)
         df = _sorted(rows)
-        open_ = [x[0] for x in self.state.get()] if self.state.exists() else []
-        before = set(open_)
-        out = []
-        for r in df.itertuples(index=False):
-            if r.event_type == "create":
-                open_.append(r.t_us)
-            elif r.event_type == "pay":
-                for c in open_:
-                    tag = "matched" if r.t_us - c < self.w_us else "timeout"
-                    out.append((key[0], tag, _ts(c), _ts(r.t_us) if tag == "matched" else None))
-                open_ = []
-        for c in before - set(open_):
+        before = [x[0] for x in self.state.get()] if self.state.exists() else []
+        kind = df["event_type"].to_numpy()
+        us = df["t_us"].to_numpy(dtype="int64")
+        pos = np.arange(len(df))
+        pay_pos = pos[kind == "pay"]
+        c_us = np.concatenate([np.array(before, "int64"), us[kind == "create"]])
+        c_pos = np.concatenate([np.full(len(before), -1, "int64"), pos[kind == "create"]])
+        nxt = np.searchsorted(pay_pos, c_pos, side="right")
+        has_pay = nxt < len(pay_pos)
+        p_us = np.where(has_pay, us[pay_pos[np.minimum(nxt, len(pay_pos) - 1)]]
+                        if len(pay_pos) else 0, 0)
+        matched = has_pay & (p_us - c_us < self.w_us)
+        done = c_us[has_pay]
+        open_ = c_us[~has_pay].tolist()
+        for c in set(before) - set(open_):
             self.handle.deleteTimer(self._deadline_ms(c))
-        for c in set(open_) - before:
+        for c in set(open_) - set(before):
             self.handle.registerTimer(self._deadline_ms(c))
         if open_:
             self.state.put([(int(c),) for c in open_])
         else:
             self.state.clear()
-        if out:
-            yield pd.DataFrame(out, columns=["order_id", "tag", "create_ts", "pay_ts"])
+        if len(done):
+            m = matched[has_pay]
+            yield pd.DataFrame({
+                "order_id": key[0],
+                "tag": np.where(m, "matched", "timeout"),
+                "create_ts": pd.to_datetime(done, unit="us"),
+                "pay_ts": pd.to_datetime(np.where(m, p_us[has_pay], 0), unit="us").where(m)})
 
     def handleExpiredTimer(self, key, timerValues: TimerValues,
                            expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:

@@ -349,3 +349,13 @@ def test_processing_time_windows_and_update_mode_uv(spark):
     approx = spark.table("uv_upd").collect()
     assert len(approx) == len(exact)
     assert sum(r.uv for r in approx) > 0
+
+
+def test_order_pay_cep_stream_equals_batch_driver_tables(spark):
+    orders = td.order_events(spark, SF_SMALL)
+    cols = ["order_id", "tag", "create_ts", "pay_ts"]
+    batch = _epochs(op.order_pay_cep(orders, "150 days"), cols)
+    sentinel = orders.limit(1).toPandas().assign(order_id=-1, ts=FAR, event_type="pay")
+    out = _replay(spark, orders, lambda s: st.order_pay_cep_stream(s, "150 days"), n_files=7,
+                  sentinel=sentinel).where("order_id <> -1")
+    assert _same(_epochs(out, cols), batch)
