@@ -206,32 +206,54 @@ class OrderStateProcessor(StatefulProcessor):
         return (c_us + self.t_us) // 1000 + 1
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        # vectorized: in (ts, seq) order each event only needs its neighbour
+        # among the key's creates and pays (the batch operator's rule)
         df = _sorted(rows)
-        c = self.state.get()[0] if self.state.exists() else None
-        out = []
-        for r in df.itertuples(index=False):
-            if c is not None and r.t_us > c + self.t_us:
-                out.append((key[0], "not_paid", _ts(c), None))
-                self.handle.deleteTimer(self._deadline_ms(c))
-                c = None
-            if r.event_type == "create":
-                if c is not None:
-                    self.handle.deleteTimer(self._deadline_ms(c))
-                c = r.t_us
-                self.handle.registerTimer(self._deadline_ms(c))
-            elif r.event_type == "pay":
-                if c is not None:
-                    out.append((key[0], "paid", _ts(c), _ts(r.t_us)))
-                    self.handle.deleteTimer(self._deadline_ms(c))
-                    c = None
-                else:
-                    out.append((key[0], "pay_without_open_order", None, _ts(r.t_us)))
-        if c is None:
-            self.state.clear()
+        df = df[df["event_type"].isin(["create", "pay"])]
+        c0 = self.state.get()[0] if self.state.exists() else None
+        us = df["t_us"].to_numpy(dtype="int64")
+        pay = (df["event_type"] == "pay").to_numpy()
+        if c0 is not None:
+            us = np.concatenate([[c0], us])
+            pay = np.concatenate([[False], pay])
+        n = len(us)
+        if n == 0:
+            return
+        nxt_us = np.append(us[1:], 0)
+        has_nxt = np.arange(n) < n - 1
+        close = has_nxt & (nxt_us - us <= self.t_us)
+        nxt_pay = np.append(pay[1:], False)
+        prv_us = np.insert(us[:-1], 0, 0)
+        prv_create = np.insert(~pay[:-1], 0, False)
+        prv_close = (np.arange(n) > 0) & prv_create & (us - prv_us <= self.t_us)
+        create = ~pay
+        paid = create & close & nxt_pay
+        not_paid = create & has_nxt & ~close            # a later event passed the deadline
+        lone_pay = pay & ~prv_close
+        still_open = create & ~has_nxt
+        rows_out = []
+        for mask, state, c_col, p_col in [(paid, "paid", us, nxt_us),
+                                          (not_paid, "not_paid", us, None),
+                                          (lone_pay, "pay_without_open_order", None, us)]:
+            if mask.any():
+                k = int(mask.sum())
+                rows_out.append(pd.DataFrame({
+                    "order_id": key[0], "state": state,
+                    "create_ts": pd.to_datetime(c_col[mask], unit="us") if c_col is not None
+                    else pd.Series([pd.NaT] * k, dtype="datetime64[ns]"),
+                    "pay_ts": pd.to_datetime(p_col[mask], unit="us") if p_col is not None
+                    else pd.Series([pd.NaT] * k, dtype="datetime64[ns]")}))
+        c1 = int(us[still_open][0]) if still_open.any() else None
+        if c0 is not None and c0 != c1:
+            self.handle.deleteTimer(self._deadline_ms(c0))
+        if c1 is not None:
+            if c1 != c0:
+                self.handle.registerTimer(self._deadline_ms(c1))
+            self.state.update((c1,))
         else:
-            self.state.update((int(c),))
-        if out:
-            yield pd.DataFrame(out, columns=["order_id", "state", "create_ts", "pay_ts"])
+            self.state.clear()
+        if rows_out:
+            yield pd.concat(rows_out, ignore_index=True)
 
     def handleExpiredTimer(self, key, timerValues: TimerValues,
                            expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
