@@ -141,26 +141,49 @@ class LoginBurstProcessor(StatefulProcessor):
             out.append((key[0], _ts(g[0]), _ts(g[1]), int(g[2])))
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        # one step per group, not per row: a group's end is a searchsorted on
+        # its deadline and a success inside it is a lookup in next_success
         df = _sorted(rows)
-        g = self.state.get() if self.state.exists() else None
+        us = df["t_us"].to_numpy(dtype="int64")
+        fail = (df["event_type"] == self.fail).to_numpy()
+        n = len(us)
+        idx = np.arange(n)
+        # next_success[i] / next_fail[i]: first index >= i of that kind (n if none)
+        next_success = np.minimum.accumulate(np.where(~fail, idx, n)[::-1])[::-1]
+        next_fail = np.minimum.accumulate(np.where(fail, idx, n)[::-1])[::-1]
+        next_success = np.append(next_success, n)
+        next_fail = np.append(next_fail, n)
+        old = self.state.get() if self.state.exists() else None
+        g = old
         out = []
-        for r in df.itertuples(index=False):
-            if g is not None and r.t_us > g[0] + self.w_us:
+        pos = 0
+        while True:
+            if g is None:
+                f = next_fail[pos] if pos < n else n
+                if f >= n:
+                    break
+                g, start = (int(us[f]), int(us[f]), 1), f + 1
+            else:
+                start = pos
+            end = int(np.searchsorted(us, g[0] + self.w_us, side="right"))
+            s_ = next_success[start] if start < n else n
+            if s_ < end:                       # a success before the deadline
+                g, pos = None, s_ + 1
+                continue
+            if end > start:                    # fails up to the deadline join
+                g = (g[0], int(us[end - 1]), g[2] + end - start)
+            if end < n:                        # a later event: the deadline has passed
                 self._emit(key, g, out)
-                self.handle.deleteTimer(self._deadline_ms(g[0]))
-                g = None
-            if r.event_type == self.fail:
-                if g is None:
-                    g = (r.t_us, r.t_us, 1)
-                    self.handle.registerTimer(self._deadline_ms(r.t_us))
-                else:
-                    g = (g[0], r.t_us, g[2] + 1)
-            elif g is not None:
-                self.handle.deleteTimer(self._deadline_ms(g[0]))
-                g = None
+                g, pos = None, end
+                continue
+            break                              # group still open at the end of the batch
+        if old is not None and (g is None or g[0] != old[0]):
+            self.handle.deleteTimer(self._deadline_ms(old[0]))
         if g is None:
             self.state.clear()
         else:
+            if old is None or g[0] != old[0]:
+                self.handle.registerTimer(self._deadline_ms(g[0]))
             self.state.update((int(g[0]), int(g[1]), int(g[2])))
         if out:
             yield pd.DataFrame(out, columns=["user_id", "first_ts", "last_ts", "n_fails"])
