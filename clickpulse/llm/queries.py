@@ -5,14 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickpulse.llm.common import table
+from clickpulse.llm.common import shared_folder, table
 from clickpulse.llm.exact_dedup import exact_dedup
+from clickpulse.llm.simhash import simhash_groups
 from clickpulse.llm.token_counts import token_counts
+from clickpulse.llm.warc import read_archives, write_archives
 
 TOKENIZER = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
 
 
+def op3_simhash(spark, d) -> DataFrame:
+    return (simhash_groups(table(spark, d, "documents").select("doc_id", "text"))
+            .select("doc_id", "fingerprint", "component_id"))
+
+
 def op4_token_counts(spark, d) -> DataFrame:
     import public_tokenizers
     docs = table(spark, d, "documents").select("doc_id", "text")
@@ -25,9 +32,18 @@ def op9_exact_dedup(spark, d) -> DataFrame:
             .select("doc_id", "keep_id", "group_size", "kept", "text_sha256"))
 
 
+def op10_warc(spark, d) -> DataFrame:
+    folder = shared_folder(spark, "warc")
+    write_archives(table(spark, d, "pages").select("page_id", "url", "html"), folder)
+    return (read_archives(spark, folder, payloads=False)
+            .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+
+
 QUERIES = {
+    "op3_simhash": op3_simhash,
     "op4_token_counts": op4_token_counts,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_warc": op10_warc,
 }
 
 _SQL = {
@@ -37,6 +53,14 @@ WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\
 SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = min(doc_id) OVER g AS kept, h AS text_sha256
 FROM d WINDOW g AS (PARTITION BY h)""",
+    "op10_warc": """
+WITH p AS (SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS n,
+                  sha256(coalesce(html, '')) AS h FROM pages),
+r AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY h) ELSE page_id END AS m FROM p)
+SELECT page_id, n AS payload_bytes, h AS payload_digest,
+       CASE WHEN m = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN m = page_id THEN NULL ELSE m END AS refers_to
+FROM r""",
 }
 
 
