@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from clickpulse.llm.common import shared_folder, table
 from clickpulse.llm.exact_dedup import exact_dedup
+from clickpulse.llm.language_id import identify, train as train_language, training_rows
 from clickpulse.llm.simhash import simhash_groups
 from clickpulse.llm.token_counts import token_counts
+from clickpulse.llm.toxicity import toxicity, train_on
 from clickpulse.llm.warc import read_archives, write_archives
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -27,6 +29,27 @@ def op4_token_counts(spark, d) -> DataFrame:
             .select("doc_id", "n_bytes", "n_tokens", "over_limit"))
 
 
+def crc_fold(id_col: str, folds: int):
+    """crc32 of the id's decimal text, modulo ``folds``."""
+    return F.crc32(F.col(id_col).cast("string")) % folds
+
+
+def op6_toxicity(spark, d) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    held_out = F.coalesce(crc_fold("doc_id", 3) == 1, F.lit(False))
+    model = train_on(docs, table(spark, d, "labels"), ~held_out)
+    return (toxicity(docs, model).withColumn("held_out", held_out)
+            .select("doc_id", "held_out", "score", "predicted"))
+
+
+def op7_language(spark, d) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(crc_fold("doc_id", 4) == 2, F.lit(False))
+    model = train_language(*training_rows(docs, "doc_id", "text", "lang", ~held_out))
+    return (identify(docs.drop("lang"), model).withColumn("held_out", held_out)
+            .select("doc_id", "held_out", "lang_pred", "score"))
+
+
 def op9_exact_dedup(spark, d) -> DataFrame:
     return (exact_dedup(table(spark, d, "documents").select("doc_id", "text"))
             .select("doc_id", "keep_id", "group_size", "kept", "text_sha256"))
@@ -42,6 +65,8 @@ def op10_warc(spark, d) -> DataFrame:
 QUERIES = {
     "op3_simhash": op3_simhash,
     "op4_token_counts": op4_token_counts,
+    "op6_toxicity": op6_toxicity,
+    "op7_language": op7_language,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_warc": op10_warc,
 }
