@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickpulse.llm.common import shared_folder, table
+from clickpulse.llm.decontaminate import contaminated_passages
 from clickpulse.llm.exact_dedup import exact_dedup
+from clickpulse.llm.html_text import main_text
 from clickpulse.llm.language_id import identify, train as train_language, training_rows
+from clickpulse.llm.mixing import mix_sources
 from clickpulse.llm.simhash import simhash_groups
 from clickpulse.llm.token_counts import token_counts
 from clickpulse.llm.toxicity import toxicity, train_on
@@ -17,6 +20,21 @@ TOKENIZER = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
 
 
+#: Target weights of the registered mix; ``*`` are all other sources together.
+MIX_WEIGHTS = {"src0": 20.0, "src1": 10.0, "src2": 10.0, "src3": 5.0, "src4": 5.0, "src5": 2.5, "*": 47.5}
+MIX_BLOCK_ROWS = 64
+
+
+def op1_mix(spark, d) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "source")
+    return mix_sources(docs, MIX_WEIGHTS, block_rows=MIX_BLOCK_ROWS)
+
+
+def op2_html_text(spark, d) -> DataFrame:
+    pages = table(spark, d, "pages").select("page_id", "url", "html")
+    return main_text(pages).select("page_id", "url", "text", "n_chars")
+
+
 def op3_simhash(spark, d) -> DataFrame:
     return (simhash_groups(table(spark, d, "documents").select("doc_id", "text"))
             .select("doc_id", "fingerprint", "component_id"))
@@ -34,6 +52,11 @@ def crc_fold(id_col: str, folds: int):
     return F.crc32(F.col(id_col).cast("string")) % folds
 
 
+def op5_decontamination(spark, d) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return contaminated_passages(docs, table(spark, d, "benchmark"))
+
+
 def op6_toxicity(spark, d) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text")
     held_out = F.coalesce(crc_fold("doc_id", 3) == 1, F.lit(False))
@@ -63,8 +86,11 @@ def op10_warc(spark, d) -> DataFrame:
 
 
 QUERIES = {
+    "op1_mix": op1_mix,
+    "op2_html_text": op2_html_text,
     "op3_simhash": op3_simhash,
     "op4_token_counts": op4_token_counts,
+    "op5_decontamination": op5_decontamination,
     "op6_toxicity": op6_toxicity,
     "op7_language": op7_language,
     "op9_exact_dedup": op9_exact_dedup,
