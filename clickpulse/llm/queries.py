@@ -10,6 +10,7 @@ from clickpulse.llm.decontaminate import contaminated_passages
 from clickpulse.llm.exact_dedup import exact_dedup
 from clickpulse.llm.html_text import main_text
 from clickpulse.llm.language_id import identify, train as train_language, training_rows
+from clickpulse.llm.line_dedup import line_dedup
 from clickpulse.llm.mixing import mix_sources
 from clickpulse.llm.simhash import simhash_groups
 from clickpulse.llm.token_counts import token_counts
@@ -73,6 +74,13 @@ def op7_language(spark, d) -> DataFrame:
             .select("doc_id", "held_out", "lang_pred", "score"))
 
 
+def op8_line_dedup(spark, d) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return line_dedup(docs).select(
+        "doc_id", "n_lines", F.size("removed_lines").cast("bigint").alias("n_removed"),
+        F.array_join(F.col("removed_lines").cast("array<string>"), ",").alias("removed"))
+
+
 def op9_exact_dedup(spark, d) -> DataFrame:
     return (exact_dedup(table(spark, d, "documents").select("doc_id", "text"))
             .select("doc_id", "keep_id", "group_size", "kept", "text_sha256"))
@@ -93,11 +101,30 @@ QUERIES = {
     "op5_decontamination": op5_decontamination,
     "op6_toxicity": op6_toxicity,
     "op7_language": op7_language,
+    "op8_line_dedup": op8_line_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_warc": op10_warc,
 }
 
 _SQL = {
+    "op8_line_dedup": r"""
+WITH parts AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
+lines AS (SELECT doc_id, i - 1 AS line_no, ls[i] AS line
+          FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM parts)),
+worded AS (SELECT *, list_distinct(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS w FROM lines),
+firsts AS (SELECT line, min(struct_pack(d := doc_id, l := line_no)) AS pos, any_value(w) AS w,
+                 len(any_value(w)) AS n FROM worded WHERE len(w) > 0 GROUP BY line),
+alike AS (SELECT DISTINCT b.line FROM firsts a JOIN firsts b
+            ON b.n * 5 >= a.n * 4 AND a.n * 5 >= b.n * 4 AND a.pos < b.pos
+            WHERE len(list_intersect(a.w, b.w)) * 9 >= (a.n + b.n) * 4),
+gone AS (SELECT k.doc_id, k.line_no FROM worded k JOIN firsts f ON f.line = k.line
+         WHERE struct_pack(d := k.doc_id, l := k.line_no) > f.pos
+            OR k.line IN (SELECT line FROM alike)),
+per AS (SELECT doc_id, count(*) AS n, string_agg(CAST(line_no AS VARCHAR), ',' ORDER BY line_no) AS r
+        FROM gone GROUP BY doc_id)
+SELECT p.doc_id, CAST(coalesce(len(p.ls), 0) AS BIGINT) AS n_lines,
+       CAST(coalesce(per.n, 0) AS BIGINT) AS n_removed, coalesce(per.r, '') AS removed
+FROM parts p LEFT JOIN per ON per.doc_id = p.doc_id""",
     "op9_exact_dedup": r"""
 WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS h
            FROM documents)
