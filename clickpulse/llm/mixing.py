@@ -134,17 +134,17 @@ def mix_sources(docs: DataFrame, weights: dict[str, float], id_col: str = "doc_i
     spans = spark.createDataFrame(
         [(s, k, p.first[s], plan[k + 1].first[s] if k + 1 < len(plan) else 1 << 62, p.start_slot, p.period, len(at))
          for k, p in enumerate(plan) for s, at in p.slots.items()],
-        "c string, phase int, first bigint, next bigint, start bigint, period bigint, per bigint")
+        "__c string, __phase int, __first bigint, __next bigint, __start bigint, __period bigint, __per bigint")
     places = spark.createDataFrame(
         [(s, k, j, slot) for k, p in enumerate(plan) for s, at in p.slots.items() for j, slot in enumerate(at)],
-        "c2 string, phase2 int, j bigint, at bigint")
+        "__c2 string, __phase2 int, __j bigint, __at bigint")
     ranked = _rank(work, "mix_class", "__order", sum(sizes.values())).withColumn(
         "mix_block", F.expr(f"__rank div {block_rows}"))
-    spanned = ranked.join(F.broadcast(spans), (F.col("mix_class") == F.col("c"))
-                          & (F.col("mix_block") >= F.col("first")) & (F.col("mix_block") < F.col("next")))
-    met = spanned.join(F.broadcast(places), (F.col("c") == F.col("c2")) & (F.col("phase") == F.col("phase2"))
-                       & ((F.col("mix_block") - F.col("first")) % F.col("per") == F.col("j")))
-    slot = F.expr("start + ((mix_block - first) div per) * period + at")
-    return (met.withColumn("mix_phase", F.col("phase")).withColumn("mix_slot", slot)
+    spanned = ranked.join(F.broadcast(spans), (F.col("mix_class") == F.col("__c"))
+                          & (F.col("mix_block") >= F.col("__first")) & (F.col("mix_block") < F.col("__next")))
+    met = spanned.join(F.broadcast(places), (F.col("__c") == F.col("__c2")) & (F.col("__phase") == F.col("__phase2"))
+                       & ((F.col("mix_block") - F.col("__first")) % F.col("__per") == F.col("__j")))
+    slot = F.expr("__start + ((mix_block - __first) div __per) * __period + __at")
+    return (met.withColumn("mix_phase", F.col("__phase")).withColumn("mix_slot", slot)
             .withColumn("mix_position", F.col("mix_slot") * block_rows + F.col("__rank") % block_rows)
             .select(*cols, "mix_class", "mix_phase", "mix_block", "mix_slot", "mix_position"))

@@ -1,0 +1,214 @@
+"""Token counts (op4), toxicity (op6) and language identification (op7)."""
+
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from pyspark.sql import functions as F
+
+from clickpulse.llm import language_id as li
+from clickpulse.llm import token_counts as tc
+from clickpulse.llm import toxicity as tox
+from clickpulse.llm.common import table
+from clickpulse.llm.queries import QUERIES
+from tests.llm.helpers import documents, prose, vocabulary
+
+SF = "/root/testdata/sf0.01"
+
+
+# ------------------------------------------------------------ token counts
+
+@pytest.fixture(scope="module")
+def pieces():
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    with open(path, "rb") as f:
+        return path, tc.PieceCounter(f.read()), sentencepiece.SentencePieceProcessor(model_file=path)
+
+
+def odd_texts():
+    rng = random.Random(1)
+    words = vocabulary(rng, 300) + ["naïve", "日本語テキスト", "<s>", "</s>", "▁", "🙂🙂", "á", "..."]
+    gaps = [" ", "  ", "\n", "\t", " \n ", "▁", " "]
+    out = ["", " ", "  x ", "▁▁", "\n\n", "<s>", "a" * 5000]
+    for n in (3, 40, 900):
+        out.append("".join(rng.choice(words) + rng.choice(gaps) for _ in range(n)))
+    return out
+
+
+def test_counts_equal_whole_encoding_when_cut(pieces, monkeypatch):
+    _, c, sp = pieces
+    for size in (2, 7, 64):
+        monkeypatch.setattr(tc, "PART_CHARS", size)
+        for t in odd_texts():
+            assert tc.count_texts(c, [t]) == [len(sp.encode(t))], (size, t[:40])
+
+
+def test_long_text_is_cut_and_batches_are_bounded(pieces, monkeypatch):
+    _, c, sp = pieces
+    rng = random.Random(2)
+    t = prose(rng, vocabulary(rng, 2000), 60_000)
+    parts, extra = c.cut(t)
+    assert len(parts) > 10 and max(map(len, parts)) < tc.PART_CHARS * 2 and extra == 0
+    sizes = []
+    monkeypatch.setattr(tc, "BATCH_BYTES", 50_000)
+    real = c.counts
+    monkeypatch.setattr(c, "counts", lambda ts: sizes.append(sum(map(len, ts))) or real(ts))
+    assert tc.count_texts(c, ["x", t, None]) == [len(sp.encode("x")), len(sp.encode(t)), 0]
+    assert max(sizes) < 50_000 + 2 * tc.PART_CHARS
+
+
+def test_token_counts_rows(spark, pieces):
+    path, _, sp = pieces
+    rows = list(enumerate([*odd_texts(), None, "same", "same"]))
+    got = {r.doc_id: r for r in tc.token_counts(documents(spark, rows).selectExpr("*", "5 AS n_tokens"),
+                                                path, limit=100).collect()}
+    for i, t in rows:
+        n = len(sp.encode(t or ""))
+        assert (got[i].n_tokens, got[i].n_bytes, got[i].over_limit) == (n, len((t or "").encode()), n > 100)
+    assert tc.token_counts(documents(spark, []), path).count() == 0
+
+
+def test_json_tokenizer(spark):
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tok = Tokenizer.from_file(path)
+    texts = ["hello world", "", "a <|endoftext|> b", "é" * 400]
+    got = tc.token_counts(documents(spark, list(enumerate(texts))), path).orderBy("doc_id").collect()
+    assert [r.n_tokens for r in got] == [len(tok.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
+# ---------------------------------------------------------------- toxicity
+
+def toxic_rows(rng, n):
+    """(texts, labels): toxic texts hold a few marked words."""
+    words = vocabulary(rng, 600)
+    bad = ["zqorble", "wexfrump", "glaxxid"]
+    texts, labels = [], []
+    for i in range(n):
+        ws = prose(rng, words, rng.randint(40, 200)).split()
+        y = int(i % 4 == 0)
+        if y:
+            for _ in range(max(2, len(ws) // 40)):
+                ws[rng.randrange(len(ws))] = rng.choice(bad)
+        texts.append(" ".join(ws))
+        labels.append(y)
+    return texts, labels
+
+
+def test_windows_cover_the_whole_text():
+    rng = random.Random(3)
+    for t in (b"", b"x" * 1000, prose(rng, vocabulary(rng, 50), 500).encode()):
+        cut = list(tox.windows(t))
+        assert b"".join(cut) == t and all(0 < len(w) <= tox.WINDOW for w in cut)
+
+
+def test_toxicity_held_out(spark):
+    rng = random.Random(4)
+    texts, y = toxic_rows(rng, 900)
+    model = tox.train([t for t, k in zip(texts[:700], y) if k], [t for t, k in zip(texts[:700], y) if not k], 0.25)
+    scores = np.array([tox.score(model, t) for t in texts[700:]])
+    held = np.array(y[700:])
+    assert ((scores >= 0.7) == held).mean() > 0.95
+    late = "plain words only here " * 3000
+    assert tox.score(model, late) < 0.5
+    assert tox.score(model, late + " ".join(["zqorble wexfrump glaxxid"] * 200)) > tox.score(model, late)
+
+
+def test_toxicity_edges(spark):
+    docs = documents(spark, [(1, None), (2, ""), (3, "a b"), (3, "a b")]).selectExpr("*", "'x' AS score")
+    labels = spark.createDataFrame([(1, None), (1, 1), (3, 0)], "doc_id bigint, toxic int")
+    model = tox.train_on(docs, labels, F.lit(True))
+    assert model is None                        # no toxic text to learn from
+    assert [r.score for r in tox.toxicity(docs, model).collect()] == [0.0] * 4
+    rng = random.Random(5)
+    texts, y = toxic_rows(rng, 60)
+    model = tox.train([t for t, k in zip(texts, y) if k], [t for t, k in zip(texts, y) if not k], 0.25)
+    got = tox.toxicity(docs, model).collect()
+    assert all(0 <= r.score <= 1 for r in got) and got[0].score == got[1].score and got[2].score == got[3].score
+    assert tox.toxicity(documents(spark, []), model).count() == 0
+
+
+def test_toxicity_query_on_held_out_rows(spark):
+    got = QUERIES["op6_toxicity"](spark, SF).join(table(spark, SF, "labels"), "doc_id").collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in got)
+    held = [r for r in got if r.held_out and r.toxic is not None]
+    assert sum(r.predicted == r.toxic for r in held) / len(held) > 0.93
+    assert all(r.predicted == int(r.score >= 0.7) for r in got)
+
+
+def test_toxicity_learns_only_from_its_fold(spark):
+    docs = table(spark, SF, "documents").select("doc_id", "text")
+    labels = table(spark, SF, "labels")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 3
+    flipped = labels.withColumn("toxic", F.when(fold == 1, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    assert tox.train_on(docs, labels, fold != 1) == tox.train_on(docs, flipped, fold != 1)
+
+
+# ------------------------------------------------------------ language id
+
+def test_backpropagation_matches_finite_differences():
+    rng = np.random.default_rng(0)
+    h, n, steps = 3, 4, 6
+    x = rng.integers(0, 256, (steps, n))
+    w, u = rng.normal(0, .4, (3 * h, 256)).astype(np.float64), rng.normal(0, .4, (3 * h, h)).astype(np.float64)
+    goal = rng.normal(size=(steps, h, n))
+    for back in (False, True):
+        def loss(w, u):
+            return float((li._forward_pass(x, w, u, back)[0].astype(np.float64) * goal).sum())
+        states, tape = li._forward_pass(x, w, u, back)
+        dw, du = li._backward_pass(x, u, tape, goal.astype(np.float32))
+        for p, g in ((w, dw), (u, du)):
+            for _ in range(12):
+                k = tuple(rng.integers(0, s) for s in p.shape) if p is u else (rng.integers(0, 3 * h), x[rng.integers(steps), rng.integers(n)])
+                old = p[k]
+                p[k] = old + 1e-2
+                hi = loss(w, u)
+                p[k] = old - 1e-2
+                lo = loss(w, u)
+                p[k] = old
+                assert abs((hi - lo) / 2e-2 - g[k]) < 5e-2 * max(1, abs(g[k]))
+
+
+def test_fast_states_equal_training_states():
+    rng = np.random.default_rng(1)
+    x = rng.integers(0, 256, (li.STEP, 5))
+    w, u = (rng.normal(0, .4, s).astype(np.float32) for s in ((24, 256), (24, 8)))
+    for back in (False, True):
+        assert np.allclose(li._run(x, w, u, back), li._forward_pass(x, w, u, back)[0], atol=1e-4)
+
+
+def test_segments_and_pooling_cover_every_byte():
+    texts = [b"", b"a" * 5, b"b" * li.STEP, b"c" * (3 * li.STEP + 1)]
+    x, lens, owner = li.segments(texts)
+    assert x.shape == (li.STEP, 6) and lens.sum() == sum(map(len, texts))
+    assert np.bincount(owner, minlength=4).tolist() == [0, 1, 1, 4]
+    m = li.train([b"hello there friend" * 20, b"guten tag mein herr" * 20], ["en", "de"], steps=5)
+    p = li.pooled(m, texts)
+    assert np.allclose(p.sum(axis=1), [0, 1, 1, 1], atol=1e-4)
+    assert np.allclose(li.pooled(m, texts, block=1), p, atol=1e-4)
+
+
+def test_language_query_on_held_out_rows(spark):
+    got = QUERIES["op7_language"](spark, SF).join(table(spark, SF, "documents").select("doc_id", "lang"),
+                                                  "doc_id").collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got)
+    held = [r for r in got if r.held_out and r.lang]
+    assert sum(r.lang == r.lang_pred for r in held) / len(held) > 0.97
+    assert all(0 <= r.score <= 1 for r in got)
+
+
+def test_language_edges(spark):
+    docs = documents(spark, [(1, None), (2, ""), (3, "123 ... 4"), (4, "hello there"), (4, "hello there"),
+                             (5, "guten tag " * 30_000)]).selectExpr("*", "'x' AS lang_pred")
+    m = li.train([b"hello there friend " * 20, "guten tag mein herr ".encode() * 20], ["en", "de"], steps=60)
+    got = li.identify(docs, m).orderBy("doc_id").collect()
+    assert [r.lang_pred for r in got] == ["und"] * 3 + ["en", "en", "de"]
+    assert [r.score for r in got[:3]] == [0.0] * 3 and got[3].score == got[4].score
+    assert li.identify(documents(spark, []), m).count() == 0
+    texts, langs = li.training_rows(documents(spark, [(1, "a", None), (2, None, "en")]), "doc_id", "text", "lang",
+                                    F.lit(True))
+    assert texts == [] and li.train(texts, langs) is None
+    assert {r.lang_pred for r in li.identify(docs, None).collect()} == {"und"}
