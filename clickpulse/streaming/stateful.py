@@ -1,12 +1,16 @@
-"""Keyed state + event-time timers for the streaming jobs.
-
-Each processor keeps a small per-key state and an event-time timer, like
-the reference's process functions. Within a micro-batch a key's rows are
-handled in (ts, seq) order and deadlines that a row has already passed are
-closed before the row, so results do not depend on where micro-batch
-boundaries fall; timers close the remaining deadlines once the watermark
-passes them. Memory per task is one key's rows of one micro-batch, bounded
-by the trigger size (``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``).
+"""Keyed state + event-time timers for the streaming jobs.
+
+The pattern processors (logins, orders) buffer a key's rows in list state and
+release them in (ts, seq) order once the watermark has passed them, so rows
+that arrive out of order inside the watermark delay give the same results as
+ordered ones, wherever micro-batch boundaries fall. Deadlines (ends of groups,
+timeouts) close when the watermark reaches them. A key's buffer holds the rows
+of the watermark delay and of one micro-batch, bounded by the trigger size
+(``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``).
+
+The ad blacklist counts clicks as they arrive, one count per local day: its
+output feeds windowed aggregations of the same query, which accept no rows
+behind the watermark.
 """
 
 from __future__ import annotations
@@ -27,18 +31,97 @@ from clickpulse.streaming.windows import ASCENDING, with_event_time
 DAY_US = 86_400_000_000
 
 
-def _sorted(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    df = pd.concat(list(rows), ignore_index=True)
-    order = ["ts", "seq"] if "seq" in df.columns else ["ts"]
-    df = df.sort_values(order, kind="stable")
-    df["t_us"] = df["ts"].astype("datetime64[us]").astype("int64")
-    return df
+def _micros(ts: pd.Series) -> np.ndarray:
+    return ts.astype("datetime64[us]").astype("int64").to_numpy()
 
 
 def _ts(us: int) -> pd.Timestamp:
     return pd.Timestamp(int(us), unit="us")
 
 
+def _ceil_ms(us: int) -> int:
+    return -(-int(us) // 1000)
+
+
+class EventOrderProcessor(StatefulProcessor):
+    """Hands a key's rows to ``advance`` in (ts, seq) order, behind the watermark.
+
+    Subclasses give the rows a ``kind`` (negative: ignored), keep their own
+    state, and say when it has to be looked at again (``deadline_us``). One
+    timer per key is pending: the earlier of the first buffered row and the
+    deadline.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.pending = handle.getListState("pending", "us long, seq long, kind int")
+        self.wake = handle.getValueState("wake", "ms long")
+        self.open_state(handle)
+
+    def open_state(self, handle: StatefulProcessorHandle) -> None:
+        raise NotImplementedError
+
+    def kinds(self, df: pd.DataFrame) -> np.ndarray:
+        raise NotImplementedError
+
+    def advance(self, key, us: np.ndarray, seq: np.ndarray, kind: np.ndarray) -> list[pd.DataFrame]:
+        """Rows that no later row can precede, in order."""
+        raise NotImplementedError
+
+    def expire(self, key, mark_us: int) -> list[pd.DataFrame]:
+        """Close what ended at or before ``mark_us``; all rows up to it have been seen."""
+        raise NotImplementedError
+
+    def deadline_us(self) -> int | None:
+        raise NotImplementedError
+
+    def _wake_at(self, ms: int) -> None:
+        old = self.wake.get()[0] if self.wake.exists() else None
+        if old is not None and old <= ms:
+            return
+        if old is not None:
+            self.handle.deleteTimer(old)
+        self.handle.registerTimer(ms)
+        self.wake.update((ms,))
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        first = None
+        for df in rows:
+            us, kind = _micros(df["ts"]), self.kinds(df)
+            seq = df["seq"].to_numpy("int64") if "seq" in df.columns else np.zeros(len(df), "int64")
+            keep = kind >= 0
+            if keep.any():
+                self.pending.appendList(list(zip(us[keep].tolist(), seq[keep].tolist(), kind[keep].tolist())))
+                low = int(us[keep].min())
+                first = low if first is None else min(first, low)
+        if first is not None:
+            self._wake_at(_ceil_ms(first))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues: TimerValues,
+                           expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        mark = timerValues.getCurrentWatermarkInMs() * 1000
+        self.wake.clear()
+        rows = sorted(self.pending.get(), key=lambda r: (r[0], r[1])) if self.pending.exists() else []
+        n = sum(r[0] <= mark for r in rows)
+        out = []
+        if n:
+            us, seq, kind = (np.array(c, "int64") for c in zip(*rows[:n]))
+            out += self.advance(key, us, seq, kind)
+            if n < len(rows):
+                self.pending.put([tuple(r) for r in rows[n:]])
+            else:
+                self.pending.clear()
+        out += self.expire(key, mark)
+        ends = [e for e in (rows[n][0] if n < len(rows) else None, self.deadline_us()) if e is not None]
+        if ends:
+            self._wake_at(_ceil_ms(min(ends)))
+        return iter(out)
+
+    def close(self) -> None:
+        pass
+
+
 # ------------------------------------------------------------------ F1 / F2
 
 BLACKLIST_SCHEMA = ("user_id long, ad_id long, province string, ts timestamp, "
@@ -46,8 +129,9 @@ BLACKLIST_SCHEMA = ("user_id long, ad_id long, province string, ts timestamp, "
 
 
 class BlacklistProcessor(StatefulProcessor):
-    """Per (user, ad): clicks 1..max-1 pass, the max-th warns, later clicks
-    drop; the count resets at local midnight (timer clears the state)."""
+    """Per (user, ad) and local day, in order of arrival: clicks 1..max-1 pass,
+    the max-th warns, later clicks drop. A day's count goes once the watermark
+    passes its midnight."""
 
     def __init__(self, max_clicks: int = 100, utc_offset_hours: int = 8):
         self.warn_at = max(int(max_clicks), 2)
@@ -55,33 +139,35 @@ class BlacklistProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("day_count", "day long, n long")
+        self.days = handle.getMapState("day_counts", "day long", "n long")
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        # vectorized: a click bot's whole micro-batch is one cumulative count
-        df = _sorted(rows)
-        day, n = self.state.get() if self.state.exists() else (None, 0)
-        df["day_index"] = (df["t_us"] + self.off_us) // DAY_US
-        df["click_no"] = df.groupby("day_index").cumcount() + 1
-        if day is not None:
-            df.loc[df["day_index"] == day, "click_no"] += n
-        last_day = int(df["day_index"].iloc[-1])
-        last_n = int(df["click_no"].iloc[-1])
-        if last_day != day:
-            if day is not None:
-                self.handle.deleteTimer(((day + 1) * DAY_US - self.off_us) // 1000)
-            self.handle.registerTimer(((last_day + 1) * DAY_US - self.off_us) // 1000)
-        self.state.update((last_day, last_n))
-        out = df[df["click_no"] <= self.warn_at]
-        if len(out):
-            tag = (out["click_no"] < self.warn_at).map({True: "passed", False: "blacklist"})
-            yield pd.DataFrame({"user_id": key[0], "ad_id": key[1], "province": out["province"],
-                                "ts": out["ts"], "day_index": out["day_index"],
-                                "click_no": out["click_no"].astype("int64"), "tag": tag})
+        # vectorized: a click bot's batch is one cumulative count per day. Each day
+        # has a count of its own, so a late row of the day before resets nothing.
+        for df in rows:
+            df = df.sort_values([c for c in ("ts", "seq") if c in df.columns], kind="stable")
+            day = (_micros(df["ts"]) + self.off_us) // DAY_US
+            no = pd.Series(day).groupby(day).cumcount().to_numpy() + 1
+            for d in np.unique(day).tolist():
+                here = day == d
+                if self.days.containsKey((d,)):
+                    no[here] += self.days.getValue((d,))[0]
+                else:
+                    self.handle.registerTimer(((d + 1) * DAY_US - self.off_us) // 1000)
+                self.days.updateValue((d,), (int(no[here].max()),))
+            show = no <= self.warn_at
+            if show.any():
+                out = df[show]
+                yield pd.DataFrame({"user_id": key[0], "ad_id": key[1], "province": out["province"].to_numpy(),
+                                    "ts": out["ts"].to_numpy(), "day_index": day[show], "click_no": no[show],
+                                    "tag": np.where(no[show] < self.warn_at, "passed", "blacklist")})
 
     def handleExpiredTimer(self, key, timerValues: TimerValues,
                            expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.state.clear()
+        over = expiredTimerInfo.getExpiryTimeInMs()
+        for (d,) in list(self.days.keys()):
+            if ((d + 1) * DAY_US - self.off_us) // 1000 <= over:
+                self.days.removeKey((d,))
         return iter([])
 
     def close(self) -> None:
@@ -117,7 +203,7 @@ def ad_counts_by_province_stream(clicks: DataFrame, max_clicks: int = 100, size=
 BURST_SCHEMA = "user_id long, first_ts timestamp, last_ts timestamp, n_fails long"
 
 
-class LoginBurstProcessor(StatefulProcessor):
+class LoginBurstProcessor(EventOrderProcessor):
     """First fail opens a group and a timer at first + within; fails up to
     the deadline join; a success discards the group; at the deadline a group
     of >= min_fails is reported."""
@@ -127,35 +213,27 @@ class LoginBurstProcessor(StatefulProcessor):
         self.min_fails = min_fails
         self.fail = fail
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+    def open_state(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("group", "first_us long, last_us long, n long")
 
-    def _deadline_ms(self, first_us: int) -> int:
-        # a timer fires once the watermark passes it; rows at the deadline
-        # itself still belong to the group
-        return (first_us + self.w_us) // 1000 + 1
+    def kinds(self, df: pd.DataFrame) -> np.ndarray:
+        return (df["event_type"] == self.fail).to_numpy().astype("int64")
 
-    def _emit(self, key, g, out):
-        if g[2] >= self.min_fails:
-            out.append((key[0], _ts(g[0]), _ts(g[1]), int(g[2])))
+    def _emit(self, key, groups) -> list[pd.DataFrame]:
+        rows = [(key[0], _ts(g[0]), _ts(g[1]), int(g[2])) for g in groups if g[2] >= self.min_fails]
+        return [pd.DataFrame(rows, columns=["user_id", "first_ts", "last_ts", "n_fails"])] if rows else []
 
-    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+    def advance(self, key, us, seq, kind) -> list[pd.DataFrame]:
         # one step per group, not per row: a group's end is a searchsorted on
         # its deadline and a success inside it is a lookup in next_success
-        df = _sorted(rows)
-        us = df["t_us"].to_numpy(dtype="int64")
-        fail = (df["event_type"] == self.fail).to_numpy()
+        fail = kind == 1
         n = len(us)
         idx = np.arange(n)
         # next_success[i] / next_fail[i]: first index >= i of that kind (n if none)
-        next_success = np.minimum.accumulate(np.where(~fail, idx, n)[::-1])[::-1]
-        next_fail = np.minimum.accumulate(np.where(fail, idx, n)[::-1])[::-1]
-        next_success = np.append(next_success, n)
-        next_fail = np.append(next_fail, n)
-        old = self.state.get() if self.state.exists() else None
-        g = old
-        out = []
+        next_success = np.append(np.minimum.accumulate(np.where(~fail, idx, n)[::-1])[::-1], n)
+        next_fail = np.append(np.minimum.accumulate(np.where(fail, idx, n)[::-1])[::-1], n)
+        g = self.state.get() if self.state.exists() else None
+        closed = []
         pos = 0
         while True:
             if g is None:
@@ -173,32 +251,25 @@ class LoginBurstProcessor(StatefulProcessor):
             if end > start:                    # fails up to the deadline join
                 g = (g[0], int(us[end - 1]), g[2] + end - start)
             if end < n:                        # a later event: the deadline has passed
-                self._emit(key, g, out)
+                closed.append(g)
                 g, pos = None, end
                 continue
-            break                              # group still open at the end of the batch
-        if old is not None and (g is None or g[0] != old[0]):
-            self.handle.deleteTimer(self._deadline_ms(old[0]))
+            break                              # group still open at the end of the rows
         if g is None:
             self.state.clear()
         else:
-            if old is None or g[0] != old[0]:
-                self.handle.registerTimer(self._deadline_ms(g[0]))
             self.state.update((int(g[0]), int(g[1]), int(g[2])))
-        if out:
-            yield pd.DataFrame(out, columns=["user_id", "first_ts", "last_ts", "n_fails"])
+        return self._emit(key, closed)
 
-    def handleExpiredTimer(self, key, timerValues: TimerValues,
-                           expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
-        out = []
-        if self.state.exists():
-            self._emit(key, self.state.get(), out)
-            self.state.clear()
-        if out:
-            yield pd.DataFrame(out, columns=["user_id", "first_ts", "last_ts", "n_fails"])
+    def expire(self, key, mark_us) -> list[pd.DataFrame]:
+        if not self.state.exists() or self.deadline_us() > mark_us:
+            return []
+        g = self.state.get()
+        self.state.clear()
+        return self._emit(key, [g])
 
-    def close(self) -> None:
-        pass
+    def deadline_us(self) -> int | None:
+        return self.state.get()[0] + self.w_us if self.state.exists() else None
 
 
 def login_burst_stream(logins: DataFrame, within="2 seconds", min_fails: int = 2,
@@ -213,7 +284,7 @@ def login_burst_stream(logins: DataFrame, within="2 seconds", min_fails: int = 2
 ORDER_SCHEMA = "order_id long, state string, create_ts timestamp, pay_ts timestamp"
 
 
-class OrderStateProcessor(StatefulProcessor):
+class OrderStateProcessor(EventOrderProcessor):
     """create opens the order (a later create re-anchors it); a pay within
     the timeout (inclusive) pays it; the timer reports ``not_paid``; a pay
     with no open order is ``pay_without_open_order``."""
@@ -221,27 +292,21 @@ class OrderStateProcessor(StatefulProcessor):
     def __init__(self, timeout="15 minutes"):
         self.t_us = to_micros(timeout)
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+    def open_state(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("open_create", "create_us long")
 
-    def _deadline_ms(self, c_us: int) -> int:
-        return (c_us + self.t_us) // 1000 + 1
+    def kinds(self, df: pd.DataFrame) -> np.ndarray:
+        return df["event_type"].map({"create": 0, "pay": 1}).fillna(-1).to_numpy("int64")
 
-    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+    def advance(self, key, us, seq, kind) -> list[pd.DataFrame]:
         # vectorized: in (ts, seq) order each event only needs its neighbour
         # among the key's creates and pays (the batch operator's rule)
-        df = _sorted(rows)
-        df = df[df["event_type"].isin(["create", "pay"])]
         c0 = self.state.get()[0] if self.state.exists() else None
-        us = df["t_us"].to_numpy(dtype="int64")
-        pay = (df["event_type"] == "pay").to_numpy()
+        pay = kind == 1
         if c0 is not None:
             us = np.concatenate([[c0], us])
             pay = np.concatenate([[False], pay])
         n = len(us)
-        if n == 0:
-            return
         nxt_us = np.append(us[1:], 0)
         has_nxt = np.arange(n) < n - 1
         close = has_nxt & (nxt_us - us <= self.t_us)
@@ -266,28 +331,22 @@ class OrderStateProcessor(StatefulProcessor):
                     else pd.Series([pd.NaT] * k, dtype="datetime64[ns]"),
                     "pay_ts": pd.to_datetime(p_col[mask], unit="us") if p_col is not None
                     else pd.Series([pd.NaT] * k, dtype="datetime64[ns]")}))
-        c1 = int(us[still_open][0]) if still_open.any() else None
-        if c0 is not None and c0 != c1:
-            self.handle.deleteTimer(self._deadline_ms(c0))
-        if c1 is not None:
-            if c1 != c0:
-                self.handle.registerTimer(self._deadline_ms(c1))
-            self.state.update((c1,))
+        if still_open.any():
+            self.state.update((int(us[still_open][0]),))
         else:
             self.state.clear()
-        if rows_out:
-            yield pd.concat(rows_out, ignore_index=True)
+        return rows_out
 
-    def handleExpiredTimer(self, key, timerValues: TimerValues,
-                           expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.state.exists():
-            c = self.state.get()[0]
-            self.state.clear()
-            yield pd.DataFrame([(key[0], "not_paid", _ts(c), None)],
-                               columns=["order_id", "state", "create_ts", "pay_ts"])
+    def expire(self, key, mark_us) -> list[pd.DataFrame]:
+        if not self.state.exists() or self.deadline_us() > mark_us:
+            return []
+        c = self.state.get()[0]
+        self.state.clear()
+        return [pd.DataFrame([(key[0], "not_paid", _ts(c), None)],
+                             columns=["order_id", "state", "create_ts", "pay_ts"])]
 
-    def close(self) -> None:
-        pass
+    def deadline_us(self) -> int | None:
+        return self.state.get()[0] + self.t_us if self.state.exists() else None
 
 
 def order_states_stream(orders: DataFrame, timeout="15 minutes", delay=ASCENDING) -> DataFrame:
@@ -302,14 +361,14 @@ PAIRS_SCHEMA = ("user_id long, first_seq long, first_ts timestamp, last_seq long
                 "last_ts timestamp, n_fails long")
 
 
-class FailSequenceProcessor(StatefulProcessor):
+class FailSequenceProcessor(EventOrderProcessor):
     """``begin(fail).times(n).within(t)`` per user.
 
     State: the last n-1 fails (us, seq). A new fail completes a match with
     the fail n-1 positions back if it is less than ``within`` later. With
     ``consecutive=True`` any other event clears the state (strict
-    contiguity; n = 2 is ``begin(fail).next(fail)``). A timer drops the state
-    once no match can complete.
+    contiguity; n = 2 is ``begin(fail).next(fail)``). The state goes once no
+    match can complete.
     """
 
     def __init__(self, n: int = 2, within="2 seconds", consecutive: bool = False,
@@ -319,58 +378,56 @@ class FailSequenceProcessor(StatefulProcessor):
         self.consecutive = consecutive
         self.fail = fail
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+    def open_state(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getListState("recent_fails", "us long, seq long")
 
-    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+    def kinds(self, df: pd.DataFrame) -> np.ndarray:
+        return (df["event_type"] == self.fail).to_numpy().astype("int64")
+
+    def _recent(self) -> list[tuple[int, int]]:
+        return [tuple(x) for x in self.state.get()] if self.state.exists() else []
+
+    def advance(self, key, us, seq, kind) -> list[pd.DataFrame]:
         # vectorized: matches are index pairs (i, i + n - 1) among the fails,
         # inside one run of fails when other events break runs
-        df = _sorted(rows)
-        recent = [tuple(x) for x in self.state.get()] if self.state.exists() else []
-        old_last = recent[-1][0] if recent else None
-        is_fail = (df["event_type"] == self.fail).to_numpy()
-        seqs = df["seq"].to_numpy(dtype="int64") if "seq" in df.columns else np.zeros(len(df), "int64")
-        us = df["t_us"].to_numpy(dtype="int64")
+        recent = self._recent()
+        is_fail = kind == 1
         # run id: events that break contiguity (non-fails, in consecutive mode) start a new run
-        breaks = np.cumsum(~is_fail) if self.consecutive else np.zeros(len(df), "int64")
+        breaks = np.cumsum(~is_fail) if self.consecutive else np.zeros(len(us), "int64")
         f_us = np.concatenate([np.array([u for u, _ in recent], "int64"), us[is_fail]])
-        f_seq = np.concatenate([np.array([q for _, q in recent], "int64"), seqs[is_fail]])
+        f_seq = np.concatenate([np.array([q for _, q in recent], "int64"), seq[is_fail]])
         f_run = np.concatenate([np.zeros(len(recent), "int64"), breaks[is_fail]])
         k = self.n - 1
-        out = None
+        out = []
         if len(f_us) > k:
             j = np.arange(max(k, len(recent)), len(f_us))   # matches end at a new fail
             i = j - k
             ok = (f_run[i] == f_run[j]) & (f_us[j] - f_us[i] < self.w_us)
             i, j = i[ok], j[ok]
             if len(j):
-                out = pd.DataFrame({"user_id": key[0], "first_seq": f_seq[i],
-                                    "first_ts": pd.to_datetime(f_us[i], unit="us"),
-                                    "last_seq": f_seq[j],
-                                    "last_ts": pd.to_datetime(f_us[j], unit="us"),
-                                    "n_fails": self.n})
+                out.append(pd.DataFrame({"user_id": key[0], "first_seq": f_seq[i],
+                                         "first_ts": pd.to_datetime(f_us[i], unit="us"),
+                                         "last_seq": f_seq[j],
+                                         "last_ts": pd.to_datetime(f_us[j], unit="us"),
+                                         "n_fails": self.n}))
         # keep the last n-1 fails of the current run
-        last_run = breaks[-1] if len(breaks) else 0
-        keep = f_run == last_run
+        keep = f_run == breaks[-1]
         recent = list(zip(f_us[keep][-k:].tolist(), f_seq[keep][-k:].tolist()))
-        if old_last is not None:
-            self.handle.deleteTimer(old_last // 1000 + self.w_us // 1000 + 1)
         if recent:
             self.state.put([(int(u), int(q)) for u, q in recent])
-            self.handle.registerTimer(recent[-1][0] // 1000 + self.w_us // 1000 + 1)
         else:
             self.state.clear()
-        if out is not None:
-            yield out
+        return out
 
-    def handleExpiredTimer(self, key, timerValues: TimerValues,
-                           expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.state.clear()
-        return iter([])
+    def expire(self, key, mark_us) -> list[pd.DataFrame]:
+        end = self.deadline_us()
+        if end is not None and end <= mark_us:
+            self.state.clear()
+        return []
 
-    def close(self) -> None:
-        pass
+    def deadline_us(self) -> int | None:
+        recent = self._recent()
+        return recent[-1][0] + self.w_us if recent else None
 
 
 def fail_sequence_stream(logins: DataFrame, n: int = 2, within="2 seconds",
@@ -385,72 +442,66 @@ def fail_sequence_stream(logins: DataFrame, n: int = 2, within="2 seconds",
 CEP_SCHEMA = "order_id long, tag string, create_ts timestamp, pay_ts timestamp"
 
 
-class OrderPayCepProcessor(StatefulProcessor):
+class OrderPayCepProcessor(EventOrderProcessor):
     """``begin(create).followedBy(pay).within(t)`` with timeout output.
 
     Every open create is matched by the first pay after it if the pay comes
-    less than ``within`` later; otherwise its timer reports ``timeout``.
+    less than ``within`` later; otherwise it is reported as ``timeout``.
     """
 
     def __init__(self, within="15 minutes"):
         self.w_us = to_micros(within)
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+    def open_state(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getListState("open_creates", "us long")
 
-    def _deadline_ms(self, c_us: int) -> int:
-        return (c_us + self.w_us) // 1000 + 1
+    def kinds(self, df: pd.DataFrame) -> np.ndarray:
+        return df["event_type"].map({"create": 0, "pay": 1}).fillna(-1).to_numpy("int64")
 
-    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+    def _open(self) -> list[int]:
+        return [x[0] for x in self.state.get()] if self.state.exists() else []
+
+    def _keep(self, creates: list[int]) -> None:
+        if creates:
+            self.state.put([(int(c),) for c in creates])
+        else:
+            self.state.clear()
+
+    def advance(self, key, us, seq, kind) -> list[pd.DataFrame]:
         # vectorized: each create takes the first pay after it (searchsorted)
-        df = _sorted(rows)
-        before = [x[0] for x in self.state.get()] if self.state.exists() else []
-        kind = df["event_type"].to_numpy()
-        us = df["t_us"].to_numpy(dtype="int64")
-        pos = np.arange(len(df))
-        pay_pos = pos[kind == "pay"]
-        c_us = np.concatenate([np.array(before, "int64"), us[kind == "create"]])
-        c_pos = np.concatenate([np.full(len(before), -1, "int64"), pos[kind == "create"]])
+        before = self._open()
+        pos = np.arange(len(us))
+        pay_pos = pos[kind == 1]
+        c_us = np.concatenate([np.array(before, "int64"), us[kind == 0]])
+        c_pos = np.concatenate([np.full(len(before), -1, "int64"), pos[kind == 0]])
         nxt = np.searchsorted(pay_pos, c_pos, side="right")
         has_pay = nxt < len(pay_pos)
         p_us = np.where(has_pay, us[pay_pos[np.minimum(nxt, len(pay_pos) - 1)]]
                         if len(pay_pos) else 0, 0)
         matched = has_pay & (p_us - c_us < self.w_us)
         done = c_us[has_pay]
-        open_ = c_us[~has_pay].tolist()
-        for c in set(before) - set(open_):
-            self.handle.deleteTimer(self._deadline_ms(c))
-        for c in set(open_) - set(before):
-            self.handle.registerTimer(self._deadline_ms(c))
-        if open_:
-            self.state.put([(int(c),) for c in open_])
-        else:
-            self.state.clear()
-        if len(done):
-            m = matched[has_pay]
-            yield pd.DataFrame({
-                "order_id": key[0],
-                "tag": np.where(m, "matched", "timeout"),
-                "create_ts": pd.to_datetime(done, unit="us"),
-                "pay_ts": pd.to_datetime(np.where(m, p_us[has_pay], 0), unit="us").where(m)})
-
-    def handleExpiredTimer(self, key, timerValues: TimerValues,
-                           expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
-        fired = expiredTimerInfo.getExpiryTimeInMs()
-        open_ = [x[0] for x in self.state.get()] if self.state.exists() else []
-        done = [c for c in open_ if self._deadline_ms(c) <= fired]
-        keep = [c for c in open_ if self._deadline_ms(c) > fired]
-        if keep:
-            self.state.put([(int(c),) for c in keep])
-        else:
-            self.state.clear()
-        if done:
-            yield pd.DataFrame([(key[0], "timeout", _ts(c), None) for c in done],
-                               columns=["order_id", "tag", "create_ts", "pay_ts"])
-
-    def close(self) -> None:
-        pass
+        self._keep(c_us[~has_pay].tolist())
+        if not len(done):
+            return []
+        m = matched[has_pay]
+        return [pd.DataFrame({
+            "order_id": key[0],
+            "tag": np.where(m, "matched", "timeout"),
+            "create_ts": pd.to_datetime(done, unit="us"),
+            "pay_ts": pd.to_datetime(np.where(m, p_us[has_pay], 0), unit="us").where(m)})]
+
+    def expire(self, key, mark_us) -> list[pd.DataFrame]:
+        creates = self._open()
+        done = [c for c in creates if c + self.w_us <= mark_us]
+        if not done:
+            return []
+        self._keep([c for c in creates if c + self.w_us > mark_us])
+        return [pd.DataFrame([(key[0], "timeout", _ts(c), None) for c in done],
+                             columns=["order_id", "tag", "create_ts", "pay_ts"])]
+
+    def deadline_us(self) -> int | None:
+        creates = self._open()
+        return min(creates) + self.w_us if creates else None
 
 
 def order_pay_cep_stream(orders: DataFrame, within="15 minutes", delay=ASCENDING) -> DataFrame:
