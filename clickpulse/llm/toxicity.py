@@ -19,7 +19,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import zstandard as zstd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickpulse.llm.common import without
@@ -30,14 +30,14 @@ LEVEL = 6
 TOXIC_DICT = 4096
 ORDINARY_DICT = 112_640
 ORDINARY_PARTS = 3
-#: Bounded sample of labelled rows: per class, and the largest length of one.
-ROWS_PER_CLASS = 6000
-MAX_TRAIN_CHARS = 100_000
+#: Bounded sample of labelled rows: toxic and ordinary ones, and the largest length of one.
+TOXIC_ROWS, ORDINARY_ROWS = 3000, 6000
+MAX_TRAIN_CHARS = 20_000
 WINDOWS_PER_ROW = 8
-#: A 5-letter sequence is toxic text if this many toxic rows hold it and it is
-#: this many times as frequent there as in ordinary rows.
-MIN_ROWS = 3
-MIN_RATIO = 30
+#: A 5-letter sequence is toxic text if it is this many times as frequent in
+#: toxic rows as in ordinary ones, with this much evidence (rows x log ratio).
+MIN_RATIO = 12
+MIN_EVIDENCE = 30
 _WORDS = re.compile(r"\w+")
 
 
@@ -144,8 +144,11 @@ def train(toxic: list[str], ordinary: list[str], toxic_share: float, seed: int =
     for t in ordi:
         in_ord.update(set(_WORDS.findall(t.lower())))
     seq_t, seq_o = _sequences(in_tox), _sequences(in_ord)
-    marks = {g for g, n in seq_t.items() if n >= min(MIN_ROWS, len(tox))
-             and (n + .5) / (len(tox) + 1) >= MIN_RATIO * (seq_o[g] + .5) / (len(ordi) + 1)}
+    marks = set()
+    for g, n in seq_t.items():
+        ratio = (n + .5) / (len(tox) + 1) * (len(ordi) + 1) / (seq_o[g] + .5)
+        if ratio >= MIN_RATIO and n * np.log(ratio) >= MIN_EVIDENCE:
+            marks.add(g)
     marked = {w for w in in_tox if any(f" {w} "[i:i + 5] in marks for i in range(len(w) - 2))}
     said = [f" {w}".encode() for ws in tox_words for w in ws if w in marked]
     toxic_dict = _train_dictionary([b"".join(said[i:i + 6]) for i in range(0, len(said), 6)] or [b" "],
@@ -166,22 +169,27 @@ def train(toxic: list[str], ordinary: list[str], toxic_share: float, seed: int =
 
 
 def train_on(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text_col: str = "text",
-             label_col: str = "toxic", per_class: int = ROWS_PER_CLASS) -> Model | None:
-    """Fit on at most ``per_class`` labelled rows of each class, chosen by a hash of the text.
+             label_col: str = "toxic") -> Model | None:
+    """Fit on at most ``TOXIC_ROWS`` and ``ORDINARY_ROWS`` labelled rows, those with the smallest hash of the id.
 
-    ``learn`` is a condition on ``id_col`` that keeps held-out rows away.
-    Null labels, null and empty texts are skipped; an id labelled both ways
-    counts as toxic.
+    ``learn`` is a condition on ``id_col`` that keeps held-out rows away. The
+    ids are chosen from the labels alone, so no text is shuffled to find them.
+    Null labels, null, empty and overlong texts are skipped; an id labelled
+    both ways counts as toxic; of rows repeating an id one text is taken.
     """
-    flag = (labels.where(F.col(label_col).isNotNull()).where(learn)
+    flag = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).where(learn)
             .groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("toxic")))
     shares = {r.toxic: r.n for r in flag.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    w = Window.partitionBy("toxic").orderBy("h", "text")
+
+    def first(y: int, most: int) -> DataFrame:
+        return flag.where(F.col("toxic") == y).orderBy(F.xxhash64("id"), "id").limit(most)
+
+    # at most TOXIC_ROWS + ORDINARY_ROWS ids: small enough for every task
+    chosen = first(1, TOXIC_ROWS).unionByName(first(0, ORDINARY_ROWS))
     rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-            .where("length(text) BETWEEN 1 AND %d" % MAX_TRAIN_CHARS).join(flag, "id")
-            .withColumn("h", F.xxhash64("text")).withColumn("k", F.row_number().over(w))
-            .where(F.col("k") <= F.when(F.col("toxic") == 1, per_class // 2).otherwise(per_class))
-            .orderBy("toxic", "k").select("text", "toxic").toArrow())
+            .where(f"length(text) BETWEEN 1 AND {MAX_TRAIN_CHARS}").join(F.broadcast(chosen), "id")
+            .groupBy("id", "toxic").agg(F.min("text").alias("text"))
+            .orderBy("toxic", F.xxhash64("id"), "id").select("text", "toxic").toArrow())
     text, toxic = rows.column("text").to_pylist(), rows.column("toxic").to_pylist()
     return train([t for t, y in zip(text, toxic) if y == 1], [t for t, y in zip(text, toxic) if y == 0],
                  shares.get(1, 0) / max(1, sum(shares.values())))
