@@ -44,8 +44,13 @@ def blacklist_warnings(clicks: DataFrame, max_clicks: int = 100, user: str = "us
         user, ad, "day", F.col(ts).alias("warn_ts"), F.lit("blacklisted").alias("warning"))
 
 
+def province_counts(passed: DataFrame, size="1 hour", slide="5 seconds", ts: str = "ts",
+                    plan: str = "auto") -> DataFrame:
+    """Sliding counts per province of clicks that carry one."""
+    return window_counts(passed.select("province", ts), ts, ["province"], size, slide, plan=plan)
+
+
 def ad_counts_by_province(clicks: DataFrame, max_clicks: int = 100, size="1 hour",
                           slide="5 seconds", ts: str = "ts", plan: str = "auto", **kw) -> DataFrame:
     """A4: sliding click counts per province over the clicks that passed."""
-    passed = clicks_passed(clicks, max_clicks, ts=ts, **kw)
-    return window_counts(passed.select("province", ts), ts, ["province"], size, slide, plan=plan)
+    return province_counts(clicks_passed(clicks, max_clicks, ts=ts, **kw), size, slide, ts, plan)

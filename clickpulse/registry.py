@@ -18,16 +18,22 @@ from clickpulse.sources import testdata as td
 
 H = 3_600_000_000          # one hour in microseconds
 
-# Parameters of the registered queries. Windows keep the reference's sizes
-# except the channel job (1 h / 5 s over every event would expand each row
-# 720-fold); pattern and join bounds are scaled from seconds to hours or
-# days because one user's events are hours apart in ``events``.
+# Parameters of the registered queries. Windows keep the reference's sizes;
+# pattern and join bounds are scaled from seconds to hours or days because
+# one user's events are hours apart in ``events``. The URL ranking keeps two
+# rows per window: no 10-minute window of ``events`` has more than five URLs.
+# Order queries have no pay before its create (the mapping pairs an order with
+# its first ship date on or after the order date); tests cover that branch.
 ITEM_WINDOW = ("1 hour", "5 minutes")          # reference value
 URL_WINDOW = ("10 minutes", "5 seconds")       # reference value
-CHANNEL_WINDOW = ("1 hour", "5 minutes")       # reference: 1 hour / 5 seconds
+CHANNEL_WINDOW = ("1 hour", "5 seconds")       # reference value (720 overlaps)
+URL_TOP = 2                                    # reference: 5
 AD_WINDOW = ("1 hour", "5 seconds")            # reference value (720 overlaps)
 AD_MAX_CLICKS = 2                              # reference: 100
-BITMAP_CAP = 1 << 8                            # reference: 2^30; small so collisions show
+AD_MAX_CLICKS_WIDE = 3                         # beside it, so that counts above one pass
+BITMAP_CAP = 1 << 30                           # reference value
+HLL_LG_K = 12                                  # sketch registers: 2^12, error 1.04 / 64
+HLL_BOUND = 0.065                              # four standard errors
 LOGIN_STRICT = "6 hours"                       # reference: 2 seconds
 LOGIN_RELAXED = "2 hours"                      # reference: 2 seconds
 LOGIN_RELAXED_WIDE = "3 hours"                 # reference: 3 seconds
@@ -62,7 +68,7 @@ def q_sliding_url_counts(spark, d):
 
 
 def q_hot_urls_topn(spark, d):
-    return _bigint(op.hot_urls(td.access_log(spark, d), 5, *URL_WINDOW), "rank")
+    return _bigint(op.hot_urls(td.access_log(spark, d), URL_TOP, *URL_WINDOW), "rank")
 
 
 def q_channel_behavior_counts(spark, d):
@@ -90,21 +96,37 @@ def q_uv_hourly_running(spark, d):
 
 
 def q_uv_hourly_hll(spark, d):
-    return op.uv_hll(td.user_behavior(spark, d, pv_only=True), "1 hour").drop("sketch")
+    """The sketch's estimate held against the exact count: the count, and whether the error is in bounds."""
+    views = td.user_behavior(spark, d, pv_only=True)
+    est = op.uv_hll(views, "1 hour", lg_config_k=HLL_LG_K, out="estimate").drop("sketch", "window_end")
+    both = op.uv_exact(views, "1 hour").join(est, "window_start")
+    off = F.abs(F.col("estimate") - F.col("uv"))
+    return both.select("window_start", "window_end", "uv",
+                       (off <= F.greatest(F.lit(1.0), F.col("uv") * HLL_BOUND)).alias("within_bound"))
+
+
+def _passed(spark, d, most):
+    # the limit comes before the geography: at most ``most`` rows of a user, ad and day meet the join
+    return td.with_province(spark, d, op.clicks_passed(td.ad_clicks(spark, d), most))
 
 
 def q_ad_clicks_passed(spark, d):
-    return op.clicks_passed(td.ad_clicks(spark, d), AD_MAX_CLICKS)
+    return _passed(spark, d, AD_MAX_CLICKS)
+
+
+def q_ad_clicks_passed_wide(spark, d):
+    return _passed(spark, d, AD_MAX_CLICKS_WIDE)
 
 
 def q_ad_blacklist_warnings(spark, d):
-    # the day as ISO text: DATE converts to different pandas types on each side
     w = op.blacklist_warnings(td.ad_clicks(spark, d), AD_MAX_CLICKS)
-    return w.withColumn("day", F.col("day").cast("string"))
+    known = td.with_province(spark, d, w).drop("province")
+    # the day as ISO text: DATE converts to different pandas types on each side
+    return known.withColumn("day", F.col("day").cast("string"))
 
 
 def q_ad_counts_by_province(spark, d):
-    return op.ad_counts_by_province(td.ad_clicks(spark, d), AD_MAX_CLICKS, *AD_WINDOW)
+    return op.province_counts(_passed(spark, d, AD_MAX_CLICKS), *AD_WINDOW)
 
 
 def q_login_fail_consecutive(spark, d):
@@ -176,6 +198,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "uv_hourly_running": q_uv_hourly_running,
     "uv_hourly_hll": q_uv_hourly_hll,
     "ad_clicks_passed": q_ad_clicks_passed,
+    "ad_clicks_passed_wide": q_ad_clicks_passed_wide,
     "ad_blacklist_warnings": q_ad_blacklist_warnings,
     "ad_counts_by_province": q_ad_counts_by_province,
     "login_fail_consecutive": q_login_fail_consecutive,
@@ -234,7 +257,13 @@ JOIN nation n ON n.n_nationkey = c.c_nationkey WHERE e.event_type = 'click'"""
 RANKED_CLICKS = f"""
 SELECT *, row_number() OVER (PARTITION BY user_id, ad_id, day ORDER BY ts, seq) AS click_no
 FROM (SELECT *, CAST(ts + INTERVAL 8 HOUR AS DATE) AS day FROM ({CLICKS}))"""
-PASSED = f"SELECT user_id, ad_id, province, ts, seq FROM ({RANKED_CLICKS}) WHERE click_no < {max(AD_MAX_CLICKS, 2)}"
+
+
+def _passed_sql(most: int) -> str:
+    return f"SELECT user_id, ad_id, province, ts, seq FROM ({RANKED_CLICKS}) WHERE click_no < {max(most, 2)}"
+
+
+PASSED = _passed_sql(AD_MAX_CLICKS)
 LOGINS = ("SELECT user_id, ts, event_id AS seq, event_type = 'error' AS fail, "
           "epoch_us(ts) AS us FROM events")
 ORDER_EVENTS = """
@@ -243,11 +272,9 @@ UNION ALL
 SELECT l.l_orderkey, 'pay', min(l.l_shipdate), 1 FROM lineitem l
 JOIN orders o ON o.o_orderkey = l.l_orderkey
 WHERE l.l_shipdate >= o.o_orderdate GROUP BY l.l_orderkey"""
-PAYS = ("SELECT l_orderkey AS tx_id, min(l_shipdate) AS pay_ts FROM lineitem "
-        "WHERE l_linenumber = 1 GROUP BY 1")
+PAYS = "SELECT o_orderkey AS tx_id, o_orderdate AS pay_ts FROM orders"
 RECEIPTS = ("SELECT l_orderkey AS tx_id, list_extract(['wechat', 'alipay'], "
-            "CAST(l_orderkey % 2 + 1 AS INTEGER)) AS pay_channel, min(l_shipdate) AS receipt_ts "
-            "FROM lineitem WHERE l_linenumber = 2 GROUP BY 1, 2")
+            "CAST(l_linenumber % 2 + 1 AS INTEGER)) AS pay_channel, l_shipdate AS receipt_ts FROM lineitem")
 
 
 def _bitmap_sql(col: str, cap: int) -> str:
@@ -381,7 +408,7 @@ def oracle_sql() -> dict[str, str]:
         "hot_items_topn": _topn_sql(item_counts, "item_id"),
         "hot_items_sql": _topn_sql(item_counts, "item_id"),
         "sliding_url_counts": url_counts,
-        "hot_urls_topn": _topn_sql(url_counts, "url"),
+        "hot_urls_topn": _topn_sql(url_counts, "url", URL_TOP),
         "channel_behavior_counts": _sliding_sql(MARKET, ["channel", "behavior"], *CHANNEL_WINDOW),
         "page_views_hourly": _sliding_sql(UB, [], "1 hour", "1 hour", "pv"),
         "page_views_salted": _sliding_sql(UB, [], "1 hour", "1 hour", "pv"),
@@ -391,6 +418,10 @@ SELECT make_timestamp({hour}) AS window_start, make_timestamp({hour} + {H}) AS w
         "uv_hourly_bitmap": f"""
 SELECT make_timestamp({hour}) AS window_start, make_timestamp({hour} + {H}) AS window_end,
        count(DISTINCT {_bitmap_sql('user_id', BITMAP_CAP)}) AS uv
+FROM events WHERE event_type = 'view' GROUP BY ALL""",
+        "uv_hourly_hll": f"""
+SELECT make_timestamp({hour}) AS window_start, make_timestamp({hour} + {H}) AS window_end,
+       count(DISTINCT user_id) AS uv, true AS within_bound
 FROM events WHERE event_type = 'view' GROUP BY ALL""",
         "uv_hourly_running": f"""
 WITH v AS (SELECT event_id AS seq, ts, {hour} AS ws, {_bitmap_sql('user_id', 1 << 30)} AS m
@@ -402,6 +433,7 @@ SELECT seq, ts, make_timestamp(ws) AS window_start, make_timestamp(ws + {H}) AS
                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS uv
 FROM f""",
         "ad_clicks_passed": PASSED,
+        "ad_clicks_passed_wide": _passed_sql(AD_MAX_CLICKS_WIDE),
         "ad_blacklist_warnings": f"""
 SELECT user_id, ad_id, CAST(day AS VARCHAR) AS day, ts AS warn_ts, 'blacklisted' AS warning
 FROM ({RANKED_CLICKS}) WHERE click_no = {max(AD_MAX_CLICKS, 2)}""",

@@ -61,14 +61,18 @@ def market_events(spark, sf_dir) -> DataFrame:
 
 
 def ad_clicks(spark, sf_dir) -> DataFrame:
-    """AdClickEvent: clicks; ad = ``k % 2``; province = the user's nation name."""
+    """AdClickEvent without its geography: clicks; ad = ``k % 2``."""
     ev = table(spark, sf_dir, "events").where(F.col("event_type") == "click")
+    return ev.select("user_id", F.pmod(_k(), F.lit(2)).alias("ad_id"), "ts",
+                     F.col("event_id").alias("seq"))
+
+
+def with_province(spark, sf_dir, clicks: DataFrame) -> DataFrame:
+    """``clicks`` of known users with their province (the user's nation name)."""
     cust = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), "c_nationkey")
     nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"),
                                                    F.col("n_name").alias("province"))
     geo = join_bounded(cust, nation, "nation", on="c_nationkey").select("user_id", "province")
-    clicks = ev.select("user_id", F.pmod(_k(), F.lit(2)).alias("ad_id"), "ts",
-                       F.col("event_id").alias("seq"))
     return clicks.join(geo, on="user_id", how="inner")
 
 
@@ -97,18 +101,15 @@ def order_events(spark, sf_dir) -> DataFrame:
     return creates.unionByName(paid)
 
 
-def _first_ship(spark, sf_dir, line: int) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").where(F.col("l_linenumber") == line)
-    return li.groupBy(F.col("l_orderkey").alias("tx_id")).agg(F.min("l_shipdate").alias("ts"))
-
-
 def pays(spark, sf_dir) -> DataFrame:
-    """Pay events keyed by tx: first ship date of line 1 of each order."""
-    return _first_ship(spark, sf_dir, 1)
+    """Pay events keyed by tx: every order at its order date."""
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("tx_id"),
+                                                 F.col("o_orderdate").alias("ts"))
 
 
 def receipts(spark, sf_dir) -> DataFrame:
-    """ReceiptEvent: first ship date of line 2 of each order."""
+    """ReceiptEvent: every line of every order at its ship date; channel from the line number."""
     ch = F.element_at(F.array(*[F.lit(c) for c in PAY_CHANNELS]),
-                      (F.pmod(F.col("tx_id"), F.lit(2)) + 1).cast("int"))
-    return _first_ship(spark, sf_dir, 2).select("tx_id", ch.alias("pay_channel"), "ts")
+                      (F.pmod(F.col("l_linenumber"), F.lit(2)) + 1).cast("int"))
+    return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("tx_id"),
+                                                   ch.alias("pay_channel"), F.col("l_shipdate").alias("ts"))

@@ -31,26 +31,28 @@ def with_event_time(stream: DataFrame, ts: str = "ts", delay=ASCENDING) -> DataF
 
 
 def window_counts_stream(stream: DataFrame, ts: str, keys: list[str], size, slide=None,
-                         delay=ASCENDING, panes: bool | None = None, out: str = "cnt",
-                         processing_time: bool = False) -> DataFrame:
-    """Append-mode sliding counts; a window is emitted once the watermark
-    passes its end and rows older than the watermark are dropped.
-
-    With many overlaps (``panes`` defaults to overlaps > 4) the count is
-    chained: tumbling panes of gcd(size, slide) first, then windows over
-    the pane counts, so each row enters one state entry instead of one per
-    overlap. The chained form is append-only (Spark rejects chained
-    aggregations in update mode). ``processing_time=True`` windows rows by
+                         delay=ASCENDING, panes: bool = False, out: str = "cnt",
+                         processing_time: bool = False, output_mode: str = "append") -> DataFrame:
+    """Sliding counts; in append mode a window is emitted once the watermark
+    passes its end. Rows older than the watermark are dropped.
+
+    ``panes=True`` chains the count: tumbling panes of gcd(size, slide)
+    first, then windows over the pane counts, so each row enters one state
+    entry instead of one per overlap (``pane_counts_stream`` with
+    ``pane_window_sink`` is the cheapest form for very many overlaps). Spark
+    runs chained aggregations in append mode only: asking for another
+    ``output_mode`` is an error. ``processing_time=True`` windows rows by
     arrival time instead.
     """
+    if panes and output_mode != "append":
+        raise ValueError(f"panes=True needs output_mode='append', not {output_mode!r}: "
+                         "Spark does not chain aggregations in other modes")
     size_us = to_micros(size)
     slide_us = to_micros(slide if slide is not None else size)
     if processing_time:
         # T4: windows on arrival time (the channel job sets no event time)
         stream = stream.withColumn(ts, F.current_timestamp())
     ev = with_event_time(stream, ts, delay)
-    if panes is None:
-        panes = math.ceil(size_us / slide_us) > 4
     w = (interval_str(size_us), interval_str(slide_us))
     if not panes:
         agg = ev.groupBy(F.window(ts, *w).alias("_w"), *keys).agg(F.count(F.lit(1)).alias(out))

@@ -86,3 +86,21 @@ def test_bitmap_collision_example(spark):
     df = spark.createDataFrame([("1234567",), ("234567",)], "u string")
     vals = [r.o for r in df.select(bitmap_offset("u").alias("o")).collect()]
     assert vals[0] == vals[1] == 659217143
+
+
+def test_window_plans_give_equal_values_and_types(spark):
+    """Sums of doubles, decimals and longs: both plans, and the default at any overlap."""
+    from clickpulse.plans.sliding import window_counts
+    rows = spark.sql("""SELECT k, timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, m) AS ts,
+                               w AS d, cast(w AS decimal(12, 2)) AS c, cast(w * 4 AS bigint) AS l, cast(w * 4 AS int) AS i
+                        FROM VALUES (1, 3, 0.75D), (1, 50, 0.5D), (2, 61, 0.25D), (1, 130, null) AS t(k, m, w)""")
+    for weight in (None, "d", "c", "l", "i"):
+        got = {}
+        for plan in ("direct", "pane", "auto"):
+            for slide in ("1 hour", "20 minutes", "5 minutes"):
+                df = window_counts(rows, "ts", ["k"], "1 hour", slide, weight=weight, plan=plan)
+                got.setdefault(slide, []).append((df.schema["cnt"].dataType, sorted(map(str, df.collect()))))
+        for slide, results in got.items():
+            assert results[0] == results[1] == results[2], (weight, slide)
+    total = window_counts(rows, "ts", ["k"], "1 hour", weight="d", plan="pane").where("k = 1").orderBy("window_start")
+    assert [r.cnt for r in total.collect()] == [1.25, None]
