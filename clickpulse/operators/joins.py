@@ -43,14 +43,19 @@ def interval_join(left: DataFrame, right: DataFrame, on: list[str], left_ts: str
 
 def reconcile(pays: DataFrame, receipts: DataFrame, on: str = "tx_id", pay_ts: str = "pay_ts",
               receipt_ts: str = "receipt_ts", lower="-3 seconds", upper="5 seconds",
-              bucket=None) -> DataFrame:
+              bucket=None, dedupe_tx: bool = False) -> DataFrame:
     """Matched / paid_no_receipt / receipt_no_pay, tagged in one DataFrame.
 
     The unmatched sides are anti joins against the matched keys rather than
     an outer join, so the bucketed (skew-safe) inner join does all the pair
     work. Two rows with equal (key, time) have the same partners, so the
     (key, time) anti join is exact even with duplicates.
+    ``dedupe_tx=True`` first keeps the earliest pay and the earliest receipt
+    of each key, so that a key matches one to one.
     """
+    if dedupe_tx:
+        pays = pays.groupBy(on).agg(F.min(pay_ts).alias(pay_ts))
+        receipts = receipts.groupBy(on).agg(F.min(receipt_ts).alias(receipt_ts))
     matched = interval_join(pays, receipts, [on], pay_ts, receipt_ts, lower, upper, bucket)
     m = matched.select(on, pay_ts, receipt_ts)
     keys_p = m.select(on, pay_ts).distinct()

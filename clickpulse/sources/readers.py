@@ -3,15 +3,20 @@
 All fixture files are headerless, unquoted CSV split by position, except the
 access log, which is space separated. Fields are read as strings and parsed
 with ``try_cast`` / ``try_to_timestamp``: a malformed line yields nulls and is
-dropped (``keep_malformed=True`` keeps it) instead of failing the job.
-
-Batch readers add ``seq``, the arrival order of the line (file order, then
-line order), used to break ties between equal timestamps.
+dropped instead of failing the job. ``keep_malformed=True`` keeps it, with a
+``_corrupt`` flag; an ``observation`` counts all and malformed lines as they
+are read (``malformed_counter`` makes one).
+
+Batch readers add ``seq``, the arrival order of the line, used to break ties
+between equal timestamps: files in order of their paths, lines in order of the
+file, numbered from 0 over all files. It does not depend on how the scan packs
+or splits files. A stream keeps the order of arrival by itself: the keyed
+processors break ties by it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,39 +27,59 @@ def _raw_csv(spark: SparkSession, path: str, names: list[str], stream: bool) ->
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     reader = spark.readStream if stream else spark.read
     df = reader.schema(schema).option("header", "false").option("quote", "\u0000").csv(path)
-    if not stream:
-        df = df.withColumn("seq", F.monotonically_increasing_id())
-    return df
+    return df if stream else _with_seq(df)
+
+
+def _with_seq(raw: DataFrame) -> DataFrame:
+    """Number the lines over all files: a file block's first number comes from
+    the line counts of the blocks before it (one row per block), a line's from
+    its place in the block."""
+    rows = raw.select("*", F.col("_metadata.file_path").alias("_file"),
+                      F.col("_metadata.file_block_start").alias("_block"),
+                      F.monotonically_increasing_id().alias("_row"))
+    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = (rows.groupBy("_file", "_block")
+              .agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
+              .select("_file", "_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
+    return (rows.join(blocks, ["_file", "_block"])
+            .withColumn("seq", F.col("_start") + F.col("_row") - F.col("_first"))
+            .drop("_file", "_block", "_row", "_first", "_start"))
 
 
 def _long(c: str):
     return F.expr(f"try_cast(trim({c}) AS BIGINT)")
 
 
-def _finish(df: DataFrame, required: list[str], keep_malformed: bool) -> DataFrame:
-    if keep_malformed:
-        return df
-    cond = F.lit(True)
+def malformed_counter(name: str = "malformed_lines") -> Observation:
+    """Pass to a reader; after an action on its result ``.get`` has ``lines`` and ``malformed``."""
+    return Observation(name)
+
+
+def _finish(df: DataFrame, required: list[str], keep_malformed: bool,
+            observation: Observation | None) -> DataFrame:
+    good = F.lit(True)
     for c in required:
-        cond = cond & F.col(c).isNotNull()
-    return df.where(cond)
+        good = good & F.col(c).isNotNull()
+    if observation is not None:
+        df = df.observe(observation, F.count(F.lit(1)).alias("lines"), F.count_if(~good).alias("malformed"))
+    return df.withColumn("_corrupt", ~good) if keep_malformed else df.where(good)
 
 
-def read_user_behavior(spark, path, stream=False, keep_malformed=False) -> DataFrame:
+def read_user_behavior(spark, path, stream=False, keep_malformed=False, observation=None) -> DataFrame:
     """user_id, item_id, category_id, behavior, epoch seconds."""
     raw = _raw_csv(spark, path, ["u", "i", "c", "b", "t"], stream)
     df = raw.select(_long("u").alias("user_id"), _long("i").alias("item_id"),
                     _long("c").cast("int").alias("category_id"), F.trim("b").alias("behavior"),
                     seconds_to_ts(_long("t")).alias("ts"), *([] if stream else ["seq"]))
-    return _finish(df, ["user_id", "item_id", "behavior", "ts"], keep_malformed)
+    return _finish(df, ["user_id", "item_id", "behavior", "ts"], keep_malformed, observation)
 
 
-def read_access_log(spark, path, stream=False, keep_malformed=False) -> DataFrame:
+def read_access_log(spark, path, stream=False, keep_malformed=False, observation=None) -> DataFrame:
     """Space-split log; 0 ip, 1 user, 3 dd/MM/yyyy:HH:mm:ss, 5 method, 6 url."""
     reader = spark.readStream if stream else spark.read
     raw = reader.text(path)
     if not stream:
-        raw = raw.withColumn("seq", F.monotonically_increasing_id())
+        raw = _with_seq(raw)
     parts = F.split(F.col("value"), " ")
     fmt = F.lit("dd/MM/yyyy:HH:mm:ss")
     text = F.try_element_at(parts, F.lit(4))
@@ -68,43 +93,43 @@ def read_access_log(spark, path, stream=False, keep_malformed=False) -> DataFram
                     F.try_element_at(parts, F.lit(6)).alias("method"),
                     F.try_element_at(parts, F.lit(7)).alias("url"),
                     *([] if stream else ["seq"]))
-    return _finish(df, ["ts", "method", "url"], keep_malformed)
+    return _finish(df, ["ts", "method", "url"], keep_malformed, observation)
 
 
-def read_ad_clicks(spark, path, stream=False, keep_malformed=False) -> DataFrame:
+def read_ad_clicks(spark, path, stream=False, keep_malformed=False, observation=None) -> DataFrame:
     """S3: user_id, ad_id, province, city, epoch seconds."""
     raw = _raw_csv(spark, path, ["u", "a", "p", "c", "t"], stream)
     df = raw.select(_long("u").alias("user_id"), _long("a").alias("ad_id"),
                     F.trim("p").alias("province"), F.trim("c").alias("city"),
                     seconds_to_ts(_long("t")).alias("ts"), *([] if stream else ["seq"]))
-    return _finish(df, ["user_id", "ad_id", "ts"], keep_malformed)
+    return _finish(df, ["user_id", "ad_id", "ts"], keep_malformed, observation)
 
 
-def read_logins(spark, path, stream=False, keep_malformed=False) -> DataFrame:
+def read_logins(spark, path, stream=False, keep_malformed=False, observation=None) -> DataFrame:
     """user_id, ip, event_type (success / fail), epoch seconds."""
     raw = _raw_csv(spark, path, ["u", "ip", "e", "t"], stream)
     df = raw.select(_long("u").alias("user_id"), F.trim("ip").alias("ip"),
                     F.trim("e").alias("event_type"), seconds_to_ts(_long("t")).alias("ts"),
                     *([] if stream else ["seq"]))
-    return _finish(df, ["user_id", "event_type", "ts"], keep_malformed)
+    return _finish(df, ["user_id", "event_type", "ts"], keep_malformed, observation)
 
 
-def read_orders(spark, path, stream=False, keep_malformed=False) -> DataFrame:
+def read_orders(spark, path, stream=False, keep_malformed=False, observation=None) -> DataFrame:
     """order_id, event_type (create / pay), tx_id (empty on create), epoch seconds."""
     raw = _raw_csv(spark, path, ["o", "e", "x", "t"], stream)
     tx = F.trim("x")
     df = raw.select(_long("o").alias("order_id"), F.trim("e").alias("event_type"),
                     F.when(tx != "", tx).alias("tx_id"), seconds_to_ts(_long("t")).alias("ts"),
                     *([] if stream else ["seq"]))
-    return _finish(df, ["order_id", "event_type", "ts"], keep_malformed)
+    return _finish(df, ["order_id", "event_type", "ts"], keep_malformed, observation)
 
 
-def read_receipts(spark, path, stream=False, keep_malformed=False) -> DataFrame:
+def read_receipts(spark, path, stream=False, keep_malformed=False, observation=None) -> DataFrame:
     """tx_id, pay_channel, epoch seconds."""
     raw = _raw_csv(spark, path, ["x", "c", "t"], stream)
     df = raw.select(F.trim("x").alias("tx_id"), F.trim("c").alias("pay_channel"),
                     seconds_to_ts(_long("t")).alias("ts"), *([] if stream else ["seq"]))
-    return _finish(df, ["tx_id", "ts"], keep_malformed)
+    return _finish(df, ["tx_id", "ts"], keep_malformed, observation)
 
 
 def market_behavior(df: DataFrame, ts_millis: str = "ts_ms") -> DataFrame:

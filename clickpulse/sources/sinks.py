@@ -51,3 +51,17 @@ def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(F.desc("epoch"))
     return (log.withColumn("_r", F.row_number().over(w)).where("_r = 1")
             .drop("_r", "epoch"))
+
+
+def compact_changelog(spark: SparkSession, path: str, target: str, keys: list[str]) -> int:
+    """Write the newest row per key of the log at ``path`` as one epoch of a new log at ``target``.
+
+    The epoch keeps the number of the newest one read, so that later epochs
+    of the stream (appended to ``target`` by :func:`changelog_sink`) still
+    win. Returns that number; the old log can be removed once no reader
+    uses it. Run it between stream restarts, as ``path`` must not change
+    meanwhile.
+    """
+    last = spark.read.parquet(path).agg(F.max("epoch")).first()[0]
+    read_latest(spark, path, keys).write.mode("overwrite").parquet(f"{target}/epoch={last}")
+    return last

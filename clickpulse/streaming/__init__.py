@@ -1,7 +1,7 @@
 from clickpulse.streaming.windows import (
     ASCENDING, with_event_time, window_counts_stream, top_n_sink, interval_join_stream,
     url_counts_with_lateness, uv_stream, reconcile_stream, rows_dropped_by_watermark,
-    top_n_from_changelog, pane_counts_stream, pane_window_sink, read_window_counts)
+    top_n_from_changelog, fired_watermark, pane_counts_stream, pane_window_sink, read_window_counts)
 from clickpulse.streaming.stateful import (
     BlacklistProcessor, LoginBurstProcessor, OrderStateProcessor,
     blacklist_stream, ad_counts_by_province_stream, login_burst_stream, order_states_stream,
@@ -9,7 +9,7 @@ from clickpulse.streaming.stateful import (
 
 __all__ = ["ASCENDING", "with_event_time", "window_counts_stream", "top_n_sink", "interval_join_stream",
            "url_counts_with_lateness", "uv_stream",
-           "reconcile_stream", "rows_dropped_by_watermark", "top_n_from_changelog",
+           "reconcile_stream", "rows_dropped_by_watermark", "top_n_from_changelog", "fired_watermark",
            "pane_counts_stream", "pane_window_sink", "read_window_counts",
            "BlacklistProcessor", "LoginBurstProcessor", "OrderStateProcessor",
            "blacklist_stream", "ad_counts_by_province_stream", "login_burst_stream", "order_states_stream",

@@ -7,6 +7,7 @@ the session zone.
 
 from __future__ import annotations
 
+import datetime
 import math
 from collections.abc import Callable
 
@@ -164,17 +165,37 @@ def rows_dropped_by_watermark(query) -> int:
                for op in progress.get("stateOperators", []))
 
 
-def top_n_from_changelog(spark, path: str, key_cols: list[str], n: int = 5) -> DataFrame:
+def top_n_from_changelog(spark, path: str, key_cols: list[str], n: int = 5,
+                         watermark=None) -> DataFrame:
     """R2 with late corrections: rank the newest count of every (window, key).
 
     Reads the update-mode changelog written by ``sources.sinks.changelog_sink``;
     a window touched by a late row is re-ranked with its corrected counts.
+    ``watermark`` (a datetime: the newest event time minus the out-of-orderness,
+    ``fired_watermark``) keeps windows that have fired, those with
+    ``window_end <= watermark``; windows still open are left out.
     """
     from clickpulse.sources.sinks import read_latest
     latest = read_latest(spark, path, [*key_cols, "window_start", "window_end"])
+    if watermark is not None:
+        latest = latest.where(F.col("window_end") <= F.lit(watermark).cast(latest.schema["window_end"].dataType))
     return top_n(latest, key_cols, n)
 
 
+def fired_watermark(query, out_of_order="2 seconds", lateness="1 minute"):
+    """The event time up to which windows have fired: max event time - ``out_of_order``.
+
+    The stream's own watermark trails by ``out_of_order + lateness``
+    (``url_counts_with_lateness``), so it is that plus ``lateness``. None
+    before the first watermark.
+    """
+    text = ((query.lastProgress or {}).get("eventTime") or {}).get("watermark")
+    if not text or text.startswith("1970-01-01T00:00:00"):
+        return None
+    at = datetime.datetime.strptime(text, "%Y-%m-%dT%H:%M:%S.%fZ")
+    return at + datetime.timedelta(microseconds=to_micros(lateness))
+
+
 def pane_counts_stream(stream: DataFrame, ts: str, keys: list[str], size, slide,
                        delay=ASCENDING) -> DataFrame:
     """Finalized pane counts (``keys``, ``_pane``, ``_c``) of width gcd(size, slide).

@@ -78,3 +78,102 @@ def test_render_topn_report(spark):
     assert line[0].startswith("window end: ")
     assert line[1] == f"No1: itemId={one.item_id} count={one.cnt}"
     assert rep.count() == top.select("window_end").distinct().count()
+
+
+def _write(folder, name, rows):
+    with open(os.path.join(folder, name), "w") as f:
+        f.write("".join(f"{r}\n" for r in rows))
+
+
+def test_malformed_lines_are_counted_and_flagged(spark):
+    from clickpulse.sources import malformed_counter, read_logins
+    folder = tempfile.mkdtemp(prefix="clickpulse-bad-")
+    _write(folder, "a.csv", ["1,ip,fail,100", "x,ip,fail,101", "2,ip,success,oops", "3,ip,fail,103", "4"])
+    seen = malformed_counter()
+    assert read_logins(spark, folder, observation=seen).count() == 2
+    assert seen.get == {"lines": 5, "malformed": 3}
+    kept = read_logins(spark, folder, keep_malformed=True).orderBy("seq").collect()
+    assert [r._corrupt for r in kept] == [False, True, True, False, True]
+
+
+def test_seq_follows_paths_and_lines_however_files_are_packed(spark):
+    from clickpulse.sources import read_access_log, read_logins
+    folder = tempfile.mkdtemp(prefix="clickpulse-seq-")
+    files = {"a.csv": 1, "b.csv": 50, "c.csv": 0, "d.csv": 3000}
+    users = iter(range(10_000))
+    want = []
+    for name, n in files.items():
+        mine = [next(users) for _ in range(n)]
+        want += mine
+        _write(folder, name, [f"{u},ip,fail,100" for u in mine])
+    for size in ("128m", "4k", "1k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "100")
+        try:
+            got = read_logins(spark, folder).orderBy("seq").select("user_id", "seq").collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert [r.user_id for r in got] == want, size
+        assert [r.seq for r in got] == list(range(len(want))), size
+    logs = tempfile.mkdtemp(prefix="clickpulse-seq-")
+    _write(logs, "1.log", ["10.0.0.1 u - 17/05/2015:10:05:03 +0000 GET /a"])
+    _write(logs, "2.log", [f"10.0.0.1 u - 17/05/2015:10:05:03 +0000 GET /{k}" for k in range(20)])
+    got = read_access_log(spark, logs).orderBy("seq").collect()
+    assert [r.url for r in got] == ["/a", *[f"/{k}" for k in range(20)]]
+
+
+def test_reconcile_one_to_one(spark):
+    at = lambda s: f"timestamp_ntz'2024-01-01 00:00:{s:02d}'"
+    pays = spark.sql(f"SELECT * FROM VALUES ('a', {at(10)}), ('a', {at(12)}), ('b', {at(10)}) AS t(tx_id, pay_ts)")
+    recs = spark.sql(f"SELECT * FROM VALUES ('a', {at(11)}), ('a', {at(14)}), ('c', {at(9)}) AS t(tx_id, receipt_ts)")
+    many = op.reconcile(pays, recs).groupBy("status").count().collect()
+    assert {r.status: r["count"] for r in many} == {"matched": 4, "paid_no_receipt": 1, "receipt_no_pay": 1}
+    one = op.reconcile(pays, recs, dedupe_tx=True).collect()
+    assert sorted((r.tx_id, r.status) for r in one) == [("a", "matched"), ("b", "paid_no_receipt"),
+                                                         ("c", "receipt_no_pay")]
+    match = next(r for r in one if r.status == "matched")
+    assert (match.pay_ts.second, match.receipt_ts.second) == (10, 11)
+
+
+def test_changelog_compaction_keeps_the_newest_rows(spark):
+    from clickpulse.sources.sinks import changelog_sink, compact_changelog, read_latest
+    root = tempfile.mkdtemp(prefix="clickpulse-log-")
+    log, new = f"{root}/log", f"{root}/new"
+
+    def batch(rows):
+        return spark.createDataFrame(rows, "k string, cnt long")
+    for epoch, rows in enumerate([[("a", 1), ("b", 1)], [("a", 2)], [("c", 5)]]):
+        changelog_sink(log)(batch(rows), epoch)
+    assert compact_changelog(spark, log, new, ["k"]) == 2
+    changelog_sink(new)(batch([("b", 7)]), 3)
+    assert sorted(tuple(r) for r in read_latest(spark, new, ["k"]).collect()) == [("a", 2), ("b", 7), ("c", 5)]
+    assert spark.read.parquet(new).count() == 4
+
+
+def test_open_windows_are_not_ranked(spark):
+    import datetime
+    from clickpulse import streaming as st
+    root = tempfile.mkdtemp(prefix="clickpulse-fired-")
+    src = f"{root}/src"
+    os.makedirs(src)
+    log = td.access_log(spark, SF_SMALL)
+    pdf = log.orderBy("ts", "seq").toPandas()
+    from clickpulse.sources.sinks import changelog_sink
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q = (st.url_counts_with_lateness(stream, "10 minutes", "1 minute", "2 seconds", "1 minute")
+         .writeStream.outputMode("update").foreachBatch(changelog_sink(f"{root}/out"))
+         .option("checkpointLocation", f"{root}/ck").start())
+    try:
+        for part in (pdf.iloc[:100], pdf.iloc[100:101]):
+            spark.createDataFrame(part, schema=log.schema).coalesce(1).write.mode("append").parquet(src)
+            q.processAllAvailable()
+        mark = st.fired_watermark(q)
+    finally:
+        q.stop()
+    newest = pdf.iloc[100].ts.to_pydatetime()
+    assert abs((newest - datetime.timedelta(seconds=2) - mark).total_seconds()) < 1
+    every = st.top_n_from_changelog(spark, f"{root}/out", ["url"], 5)
+    fired = st.top_n_from_changelog(spark, f"{root}/out", ["url"], 5, watermark=mark)
+    ends = [r.window_end for r in fired.collect()]
+    assert 0 < len(ends) < every.count() and max(ends) <= mark
