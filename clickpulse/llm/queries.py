@@ -11,7 +11,7 @@ from clickpulse.llm.exact_dedup import exact_dedup
 from clickpulse.llm.html_text import main_text
 from clickpulse.llm.language_id import identify, train as train_language, training_rows
 from clickpulse.llm.line_dedup import line_dedup
-from clickpulse.llm.mixing import mix_sources
+from clickpulse.llm.mixing import OTHER, integer_weights, mix_sources
 from clickpulse.llm.simhash import simhash_groups
 from clickpulse.llm.token_counts import token_counts
 from clickpulse.llm.toxicity import toxicity, train_on
@@ -142,5 +142,39 @@ FROM r""",
 }
 
 
+def _mix_sql(weights: dict[str, float], rows: int) -> str:
+    """The mix by a slot-by-slot simulation: at each slot the released block with the earliest deadline."""
+    parts = integer_weights(weights)
+    named = ", ".join(f"'{s}'" for s in parts if s != OTHER)
+    values = ", ".join(f"('{s}', {a})" for s, a in parts.items())
+    return f"""
+WITH RECURSIVE w(c, a) AS (VALUES {values}),
+docs AS (SELECT doc_id, source, CASE WHEN source IN ({named}) THEN source ELSE '{OTHER}' END AS c FROM documents),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY md5(CAST(doc_id AS VARCHAR))) - 1 AS r FROM docs),
+blocks AS (SELECT c, CAST(max(r) // {rows} + 1 AS BIGINT) AS n FROM ranked GROUP BY c),
+k AS (SELECT list(c ORDER BY c) AS cs, list(CAST(a AS BIGINT) ORDER BY c) AS av, list(n ORDER BY c) AS nv
+      FROM blocks JOIN w USING (c)),
+run AS (
+  SELECT CAST(0 AS BIGINT) AS t, 0 AS phase, CAST(0 AS BIGINT) AS t0, list_transform(nv, lambda x: CAST(0 AS BIGINT)) AS d0,
+         list_transform(nv, lambda x: CAST(0 AS BIGINT)) AS dn, CAST(NULL AS BIGINT) AS pick,
+         CAST(NULL AS INTEGER) AS in_phase, CAST(NULL AS BIGINT) AS block FROM k
+  UNION ALL
+  SELECT t + 1, CASE WHEN over THEN phase + 1 ELSE phase END, CASE WHEN over THEN t + 1 ELSE t0 END,
+         CASE WHEN over THEN dn2 ELSE d0 END, dn2, pick, phase, dn[pick]
+  FROM (SELECT *, dn[pick] + 1 = nv[pick] AS over,
+               list_transform(range(1, len(dn) + 1), lambda i: CASE WHEN i = pick THEN dn[i] + 1 ELSE dn[i] END) AS dn2
+        FROM (SELECT u.* EXCLUDE (pick), list_sort(list_transform(
+                list_filter(range(1, len(dn) + 1),
+                            lambda i: dn[i] < nv[i] AND ((dn[i] - d0[i]) * total) // av[i] <= t - t0),
+                lambda i: {{'due': ((dn[i] - d0[i] + 1) * total + av[i] - 1) // av[i], 'c': cs[i], 'i': i}}))[1].i AS pick
+              FROM (SELECT run.* EXCLUDE (in_phase, block), k.*, list_sum(list_transform(range(1, len(dn) + 1),
+                           lambda i: CASE WHEN dn[i] < nv[i] THEN av[i] ELSE 0 END)) AS total
+                    FROM run, k WHERE list_sum(dn) < list_sum(nv)) u))),
+slots AS (SELECT cs[pick] AS c, in_phase, block, t - 1 AS slot FROM run, k WHERE pick IS NOT NULL)
+SELECT d.doc_id, d.source, d.c AS mix_class, s.in_phase AS mix_phase, CAST(s.block AS BIGINT) AS mix_block,
+       CAST(s.slot AS BIGINT) AS mix_slot, CAST(s.slot * {rows} + d.r % {rows} AS BIGINT) AS mix_position
+FROM ranked d JOIN slots s ON s.c = d.c AND s.block = d.r // {rows}"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return {"op1_mix": _mix_sql(MIX_WEIGHTS, MIX_BLOCK_ROWS), **_SQL}

@@ -261,7 +261,7 @@ def test_line_dedup_plan_is_native(spark):
 
 # ------------------------------------------------------------------ oracles
 
-@pytest.mark.parametrize("name", ["op8_line_dedup", "op9_exact_dedup", "op10_warc"])
+@pytest.mark.parametrize("name", ["op1_mix", "op8_line_dedup", "op9_exact_dedup", "op10_warc"])
 def test_query_matches_oracle(spark, name):
     con = duckdb.connect()
     for t in ("documents", "pages"):
