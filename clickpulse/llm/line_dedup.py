@@ -17,52 +17,77 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from clickpulse.llm.common import WHITE, without
+from clickpulse.llm.common import WHITE, materialize, without
 
 #: Similarity threshold P / Q.
 P, Q = 4, 5
 #: Words are counted in this many hash buckets (a table of one byte each, sent
-#: with the plan); the counts only order the words, any order is correct.
-BUCKETS = 1 << 16
+#: to every task); the counts only order the words, any order is correct.
+BUCKETS = 1 << 20
 _CLASSES = 62
+#: The lists of removed lines are sent to every task up to this size.
+BROADCAST_BYTES = 64 << 20
 _BREAK = "\n"
 
 
-def _words(line: Column) -> Column:
-    return F.array_distinct(F.filter(F.split(line, WHITE), lambda w: w != ""))
+def _words(text: Column) -> Column:
+    """Words of a text without line feeds that has some, repeats included.
 
-
-def rarity_table(docs: DataFrame, text_col: str) -> bytes:
-    """Frequency class (one printable byte) of every word bucket, over all words of all texts."""
-    word = docs.select(F.explode(F.split(F.col(text_col), WHITE)).alias("w")).where("w <> ''")
+    A text whose words stand one space apart is cut at the spaces, any other
+    one is trimmed and cut by the pattern: the same words, the first way faster.
+    """
+    odd = F.lit(False)
+    for gap in ("\t", "\x0b", "\x0c", "\r", "  "):
+        odd = odd | F.contains(text, F.lit(gap))
+    odd = odd | F.startswith(text, F.lit(" ")) | F.endswith(text, F.lit(" "))
+    trimmed = F.btrim(text, F.lit(" \t\x0b\x0c\r"))
+    return F.when(odd, F.split(trimmed, WHITE)).otherwise(F.split(text, " "))
+
+
+def rarity_table(docs: DataFrame, text_col: str) -> DataFrame:
+    """One row: the frequency class of every word bucket, over all words of all texts."""
+    flat = F.replace(F.col(text_col), F.lit(_BREAK), F.lit(" "))
+    word = docs.select(F.explode(_words(flat)).alias("w")).where("w <> ''")
     counts = (word.groupBy(F.xxhash64("w").bitwiseAND(BUCKETS - 1).cast("int").alias("b"))
               .agg(F.count(F.lit(1)).alias("n")).toArrow())
     n = np.zeros(BUCKETS)
     n[counts.column("b").to_numpy()] = counts.column("n").to_numpy()
     top = math.log2(max(2.0, n.max()))
-    return (32 + np.minimum(_CLASSES, np.log2(1 + n) / top * _CLASSES)).astype(np.uint8).tobytes()
+    classes = np.minimum(_CLASSES, np.log2(1 + n) / top * _CLASSES).astype(np.int8)
+    return docs.sparkSession.createDataFrame(pa.table({"classes": pa.array([classes])}))
 
 
-def _keys(words: Column, rarity: bytes) -> Column:
-    """Words as numbers in the order rare to frequent: frequency class above 57 bits of hash."""
-    table = F.lit(bytearray(rarity))
+def _keys(sets: DataFrame, rarity: DataFrame) -> DataFrame:
+    """``sets`` with its words ``k`` as numbers in the order rare to frequent, and their count ``n``.
 
-    def key(h: Column) -> Column:
-        bucket = h.bitwiseAND(BUCKETS - 1).cast("int") + 1
-        rank = F.ascii(F.substring(table, bucket, 1).cast("string")) - 32
-        return F.shiftleft(rank.cast("bigint"), 57).bitwiseOR(F.shiftrightunsigned(h, 7))
+    A key is the frequency class above 57 bits of the word's hash.
+    """
+    def key(w: Column) -> Column:
+        h = F.xxhash64(w)
+        # never null, so that Spark sorts plain numbers
+        rank = F.get(F.col("__table"), h.bitwiseAND(BUCKETS - 1).cast("int")).cast("bigint")
+        return F.coalesce(F.shiftleft(rank, 57).bitwiseOR(F.shiftrightunsigned(h, 7)), F.lit(0))
 
-    return F.sort_array(F.transform(F.transform(words, lambda w: F.xxhash64(w)), key))
+    return (sets.withColumn("__table", rarity.scalar())
+            .withColumn("k", F.sort_array(F.array_distinct(F.transform(_words(F.col("line")), key)))).drop("__table")
+            .withColumn("n", F.coalesce(F.size("k"), F.lit(0))))
 
 
-def _alike(na: str, ia: str, nb: str, ib: str) -> Column:
-    """Length and positional filter of two prefix words at positions ``ia`` and ``ib``."""
-    return F.expr(f"{Q} * least({na}, {nb}) >= {P} * greatest({na}, {nb}) AND "
-                  f"least({na} - {ia}, {nb} - {ib}) >= "
-                  f"((({na}) + ({nb})) * {P} + {P + Q - 1}) div {P + Q}")
+def _alike(a: str, b: str) -> Column:
+    """Length, positional and parity filter of two prefix words, for rows ``a`` and ``b`` with n, i, x.
+
+    ``x`` has bit j set if an odd number of the set's words fall on j: two
+    sets differ in at least as many words as their ``x`` differ in bits.
+    """
+    need = f"((({a}n + {b}n) * {P} + {P + Q - 1}) div {P + Q})"
+    return F.expr(f"{Q} * least({a}n, {b}n) >= {P} * greatest({a}n, {b}n) "
+                  f"AND least({a}n - {a}i, {b}n - {b}i) >= {need} "
+                  f"AND bit_count({a}x ^ {b}x) <= {a}n + {b}n - 2 * {need}")
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -80,42 +105,60 @@ def _place(prefix: str = "") -> Column:
                     c("line_no").alias("line_no"))
 
 
+def _asked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The sets (s, place, line) that pairs (a, b) name, dealt by ``s`` once for all that read them."""
+    named = pairs.select(F.explode(F.array("a", "b")).alias("s")).distinct()
+    # a partition count of its own, else Spark drops the exchange and finds the sets anew for every use
+    parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")) + 1
+    return sets.join(named, "s", "left_semi").repartition(parts, "s")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(s): the later set of each pair (a, b) whose Jaccard similarity reaches P / Q."""
+    """(s, line): the later sets of the pairs (a, b) whose Jaccard similarity reaches P / Q."""
     one = pairs.join(sets.select(F.col("s").alias("a"), F.col("place").alias("pa"), F.col("line").alias("la")), "a")
     two = one.join(sets.select(F.col("s").alias("b"), F.col("place").alias("pb"), F.col("line").alias("lb")), "b")
-    wa, wb = _words(F.col("la")), _words(F.col("lb"))
+    wa, wb = F.array_distinct(_words(F.col("la"))), F.array_distinct(_words(F.col("lb")))
     return (two.where((P + Q) * F.size(F.array_intersect(wa, wb)) >= P * (F.size(wa) + F.size(wb)))
-            .select(F.when(F.col("pa") > F.col("pb"), F.col("a")).otherwise(F.col("b")).alias("s")).distinct())
+            .select(F.when(F.col("pa") > F.col("pb"), F.col("a")).otherwise(F.col("b")).alias("s"),
+                    F.when(F.col("pa") > F.col("pb"), F.col("la")).otherwise(F.col("lb")).alias("line"))
+            .groupBy("s").agg(F.min("line").alias("line")))
 
 
-def similar_later(sets: DataFrame, rarity: bytes) -> DataFrame:
+def similar_later(sets: DataFrame, rarity: DataFrame) -> DataFrame:
     """(s): the sets for which an earlier similar set exists; ``sets`` is (s, place, line), one row per line."""
-    keyed = sets.select("s", F.col("place.id").alias("id"), _keys(_words(F.col("line")), rarity).alias("k"))
-    keyed = keyed.withColumn("n", F.size("k"))
+    place_id = F.col("place.id")
+    # integer ids order the lines already in the joins; other ids leave that to the verification
+    integral = isinstance(sets.schema["place"].dataType["id"].dataType, IntegralType)
+    order = F.coalesce(place_id.cast("bigint"), F.lit((1 << 63) - 1)) if integral else F.lit(0).cast("bigint")
     prefix = F.slice("k", F.lit(1), F.expr(f"n - (({P} * n + {Q - 1}) div {Q}) + 1"))
-    # a rough order for picking early leaders; the verification compares the true places
-    order = F.col("id").try_cast("bigint")
-    entries = (keyed.select("s", order.alias("o"), "n", F.posexplode(prefix).alias("i", "w"))
-               .select("w", "s", "o", F.expr("shiftleft(cast(n as bigint), 31) | i").alias("ni"))
-               .repartition("w").select("w", "s", "o", F.expr("shiftrightunsigned(ni, 31)").alias("n"),
+    # numbers that cannot be null leave the join nothing to filter before the exchange
+    parity = F.coalesce(F.aggregate("k", F.lit(0).cast("bigint"),
+                                    lambda x, k: x.bitwiseXOR(F.call_function(
+                                        "shiftleft", F.lit(1).cast("bigint"), k.bitwiseAND(63).cast("int")))), F.lit(0))
+    # 32 bits of a word are enough to meet: a chance meeting only adds a candidate
+    word = F.expr("cast((w & 4294967295) - 2147483648 as int)")
+    entries = (_keys(sets.select("s", order.alias("o"), "line"), rarity)
+               .withColumn("x", parity)        # below the explode: once per set
+               .select("s", "o", "n", "x", F.posexplode(prefix).alias("i", "w"))
+               .select(word.alias("w"), "s", "o", "x", F.expr("shiftleft(cast(n as bigint), 31) | i").alias("ni"))
+               .repartition("w").select("w", "s", "o", "x", F.expr("shiftrightunsigned(ni, 31)").alias("n"),
                                         F.expr("ni & 2147483647").alias("i")))
 
     w = Window.partitionBy("w").orderBy("o", "s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    led = entries.withColumn("l", F.first(F.struct("s", "n", "i")).over(w))
-    to_leader = (led.where("s <> l.s").where(_alike("n", "i", "l.n", "l.i"))
+    led = entries.withColumn("l", F.first(F.struct("s", "n", "i", "x")).over(w))
+    to_leader = (led.where("s <> l.s").where(_alike("", "l."))
                  .select(F.col("s").alias("a"), F.col("l.s").alias("b")).distinct())
-    decided = _verified(to_leader, sets)
+    decided = _verified(to_leader, _asked(to_leader, sets))
 
     # the prefix words of the decided sets, met word by word so that the entries need not move again
-    known = (sets.join(decided, "s").select("s", F.col("line")).withColumn("k", _keys(_words(F.col("line")), rarity))
-             .withColumn("n", F.size("k")).select(F.col("s").alias("ds"), F.explode(prefix).alias("dw")))
+    known = (_keys(decided, rarity)
+             .select(F.col("s").alias("ds"), F.explode(prefix).alias("w")).select("ds", word.alias("dw")))
     asking = entries.join(known, (F.col("w") == F.col("dw")) & (F.col("s").bitwiseXOR(F.col("ds")) == 0), "left_anti")
     x, y = asking.alias("x"), entries.alias("y")
     pairs = (x.join(y, (F.col("x.w") == F.col("y.w")) & (F.col("x.s") != F.col("y.s"))
-                    & _alike("x.n", "x.i", "y.n", "y.i"))
+                    & (F.col("x.o") >= F.col("y.o")) & _alike("x.", "y."))
              .select(F.least("x.s", "y.s").alias("a"), F.greatest("x.s", "y.s").alias("b")).distinct())
-    return decided.unionByName(_verified(pairs, sets)).distinct()
+    return decided.unionByName(_verified(pairs, _asked(pairs, sets))).select("s").distinct()
 
 
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -128,8 +171,9 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     verdict = (sets.select("s", "place", "s2").join(gone, "s", "left")
                .select(F.col("s").alias("vs"), F.col("place").alias("first"), F.col("s2").alias("v2"), "gone"))
     # a line whose second hash differs only shares the first by chance: it stays
+    # (compared by bits, so that the sets meet the lines where they are, by the first hash)
     out = (lines.select("id", "hash", "line_no", "s", "s2")
-           .join(verdict, (F.col("s") == F.col("vs")) & (F.col("s2") == F.col("v2")))
+           .join(verdict, (F.col("s") == F.col("vs")) & (F.col("s2").bitwiseXOR(F.col("v2")) == 0))
            .where((_place() != F.col("first")) | F.col("gone")))
     return out.groupBy("id", "hash").agg(F.sort_array(F.collect_set("line_no")).alias("removed"))
 
@@ -145,8 +189,12 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     result; input columns named like an output column are replaced.
     """
     docs = without(docs, "n_lines", "removed_lines")
-    gone = removed_lines(docs.select(id_col, text_col), id_col, text_col)
-    hashed = docs.withColumn("__hash", F.xxhash64(text_col))
+    gone = materialize(removed_lines(docs.select(id_col, text_col), id_col, text_col), "removed-lines")
+    size = gone.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("removed")).alias("lines")).first()
+    if 40 * size.rows + 4 * (size.lines or 0) <= BROADCAST_BYTES:
+        gone = F.broadcast(gone)        # else the texts are shuffled to meet their lists
+    hashed = (docs.withColumn("__hash", F.xxhash64(text_col))
+              .withColumn("__n", F.when(F.col(text_col).isNull(), 0).otherwise(F.size(F.split(text_col, _BREAK)))))
     met = hashed.alias("d").join(gone.alias("g"), F.col(f"d.`{id_col}`").eqNullSafe(F.col("g.id"))
                                  & (F.col("d.__hash") == F.col("g.hash")), "left")
     text, removed = F.col(f"d.`{text_col}`"), F.col("g.removed")
@@ -159,5 +207,5 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         lambda k: F.slice(lines, before(k) + 2, after(k) - before(k) - 1))), _BREAK)
     out = [F.when(removed.isNull(), text).otherwise(kept).alias(c) if c == text_col else F.col(f"d.`{c}`")
            for c in docs.columns]
-    return met.select(*out, F.when(text.isNull(), 0).otherwise(F.size(lines)).cast("bigint").alias("n_lines"),
+    return met.select(*out, F.col("d.__n").cast("bigint").alias("n_lines"),
                       F.coalesce(removed, F.array().cast("array<int>")).alias("removed_lines"))
