@@ -31,7 +31,7 @@ TOXIC_DICT = 4096
 ORDINARY_DICT = 112_640
 ORDINARY_PARTS = 3
 #: Bounded sample of labelled rows: toxic and ordinary ones, and the largest length of one.
-TOXIC_ROWS, ORDINARY_ROWS = 3000, 6000
+TOXIC_ROWS, ORDINARY_ROWS = 2400, 4800
 MAX_TRAIN_CHARS = 20_000
 WINDOWS_PER_ROW = 8
 #: A 5-letter sequence is toxic text if it is this many times as frequent in
@@ -95,13 +95,9 @@ def score(model: Model, text: str) -> float:
 
 # ----------------------------------------------------------------- training
 
-def _sequences(words: Counter) -> Counter:
-    found: Counter = Counter()
-    for w, n in words.items():
-        b = f" {w} "
-        for g in {b[i:i + 5] for i in range(len(b) - 4)}:
-            found[g] += n
-    return found
+def _sequences(word: str) -> set[str]:
+    b = f" {word} "
+    return {b[i:i + 5] for i in range(len(b) - 4)}
 
 
 def _train_dictionary(samples: list[bytes], size: int, **cover) -> bytes:
@@ -137,19 +133,23 @@ def train(toxic: list[str], ordinary: list[str], toxic_share: float, seed: int =
     cut = lambda rows: (rows[:max(1, len(rows) * 2 // 3)], rows[max(1, len(rows) * 2 // 3):] or rows)
     (tox, tox_fit), (ordi, ordi_fit) = cut(toxic), cut(ordinary)
 
-    in_tox, in_ord = Counter(), Counter()
     tox_words = [_WORDS.findall(t.lower()) for t in tox]
-    for ws in tox_words:
-        in_tox.update(set(ws))
+    in_tox = Counter(w for ws in tox_words for w in set(ws))
+    seq_t: Counter = Counter()
+    for w, n in in_tox.items():
+        for g in _sequences(w):
+            seq_t[g] += n
+    seq_t = Counter({g: n for g, n in seq_t.items() if n * np.log(n * len(ordi) + 2) >= MIN_EVIDENCE})
+    seq_o: Counter = Counter()                  # of the sequences that can matter, to stay small
     for t in ordi:
-        in_ord.update(set(_WORDS.findall(t.lower())))
-    seq_t, seq_o = _sequences(in_tox), _sequences(in_ord)
+        for w in set(_WORDS.findall(t.lower())):
+            seq_o.update(g for g in _sequences(w) if g in seq_t)
     marks = set()
     for g, n in seq_t.items():
         ratio = (n + .5) / (len(tox) + 1) * (len(ordi) + 1) / (seq_o[g] + .5)
         if ratio >= MIN_RATIO and n * np.log(ratio) >= MIN_EVIDENCE:
             marks.add(g)
-    marked = {w for w in in_tox if any(f" {w} "[i:i + 5] in marks for i in range(len(w) - 2))}
+    marked = {w for w in in_tox if not marks.isdisjoint(_sequences(w))}
     said = [f" {w}".encode() for ws in tox_words for w in ws if w in marked]
     toxic_dict = _train_dictionary([b"".join(said[i:i + 6]) for i in range(0, len(said), 6)] or [b" "],
                                    TOXIC_DICT, k=32, d=6)
