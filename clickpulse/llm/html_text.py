@@ -27,6 +27,8 @@ from clickpulse.llm.common import materialize, without
 #: and this share of them agree on its text.
 MIN_PAGES = 4
 SAME_SHARE = 0.9
+#: The template nodes are sent to every task up to this size.
+BROADCAST_BYTES = 64 << 20
 
 # fixed values: HTML element names by role, and words of class, id and role
 # attributes that mark furniture
@@ -356,7 +358,10 @@ def main_text(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
     """
     pages = without(pages, "text", "n_chars")
     cols = [F.col(f"p.`{c}`") for c in pages.columns]
-    wrappers = induce_wrappers(pages, url_col, html_col)
+    wrappers = materialize(induce_wrappers(pages, url_col, html_col), "templates")
+    size = wrappers.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("template")).alias("nodes")).first()
+    if 100 * size.rows + 4 * (size.nodes or 0) <= BROADCAST_BYTES:
+        wrappers = F.broadcast(wrappers)        # else the blocks are shuffled to meet them
     read = pages.withColumn("__host", F.lower(F.try_parse_url(F.col(url_col), F.lit("HOST")))) \
         .withColumn("__b", F.arrow_udf(_blocks, _BLOCKS_TYPE)(F.coalesce(F.col(html_col), F.lit(""))))
     met = read.alias("p").join(wrappers.alias("w"), (F.col("p.__host") == F.col("w.host"))
