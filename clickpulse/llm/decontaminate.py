@@ -1,16 +1,18 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
-
-The n-grams of the test items are counted over all training texts. In every
-run of ``SPREAD`` consecutive n-grams of an item the rarest becomes a seed, so
-frequent phrases are avoided but no part of an item is without seeds. Seeds
-join passages of the training texts to items; each candidate passage is
-aligned with its item word by word and scored against the item's length.
+"""Benchmark decontamination: rare words as seeds, then Smith-Waterman alignment.
+
+An alignment that reaches the threshold matches at least a known number of an
+item's words, so of enough positions of the item one is sure to be matched.
+The words of the test items are counted over all training texts, and just
+enough positions with the rarest words become seeds: no passage that reaches
+the threshold is missed, however it is edited. Seeds join passages of the
+training texts to items; passages that two upper bounds of the score leave
+over are aligned with the item word by word and scored against its length.
 """
 
 from __future__ import annotations
 
+import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,8 +23,6 @@ from pyspark.sql import functions as F
 
 from clickpulse.llm.common import without
 
-GRAM = 3
-SPREAD = 4
 #: Alignment scores; an item's own score is MATCH times its words.
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Share of the item's own score from which a passage is contaminated.
@@ -43,6 +43,8 @@ class Items:
     ids: list
     vocab: dict[str, int]
     texts: list[np.ndarray]
+    #: The distinct words of each text and how often it has them.
+    bags: list[tuple[np.ndarray, np.ndarray]]
 
     @classmethod
     def of(cls, rows: list[tuple]) -> Items:
@@ -53,73 +55,69 @@ class Items:
             if found:
                 ids.append(item)
                 texts.append(np.array(found, np.int64))
-        return cls(ids, vocab, texts)
+        return cls(ids, vocab, texts, [np.unique(a, return_counts=True) for a in texts])
 
     def numbers(self, text: str | None) -> np.ndarray:
         get = self.vocab.get
         return np.array([get(w, 0) for w in words(text)], np.int64)
 
 
-def _grams(a: np.ndarray, size: int) -> list[tuple]:
-    return [tuple(a[i:i + size].tolist()) for i in range(len(a) - size + 1)]
-
-
-def _gram_table(items: Items) -> dict[int, dict[tuple, int]]:
-    """Gram size -> gram -> number; items shorter than GRAM words are one gram of their own size."""
-    table: dict[int, dict[tuple, int]] = {}
-    n = 0
-    for a in items.texts:
-        size = min(GRAM, len(a))
-        for g in _grams(a, size):
-            if g not in table.setdefault(size, {}):
-                table[size][g] = n
-                n += 1
-    return table
-
-
-def _occurrences(a: np.ndarray, table: dict[int, dict[tuple, int]]) -> Iterator[tuple[int, int]]:
-    """(position in the text, gram number) of the table's grams."""
-    for size, grams in table.items():
-        if len(a) < size:
-            continue
-        known = a > 0
-        run = known[:len(a) - size + 1].copy()
-        for k in range(1, size):
-            run &= known[k:len(a) - size + 1 + k]
-        at = np.flatnonzero(run)
-        for i, g in zip(at.tolist(), zip(*[a[at + k].tolist() for k in range(size)])):
-            n = grams.get(g)
-            if n is not None:
-                yield i, n
-
-
-def count_grams(texts: DataFrame, items: Items, table: dict) -> dict[int, int]:
-    """Number of training texts that hold each gram; at most one number per gram comes back."""
+@dataclass
+class Seeds:
+    """Seeds of word w: item ``item[k]`` at position ``at[k]`` for k in ``first[w]:first[w + 1]``."""
+    first: np.ndarray
+    item: np.ndarray
+    at: np.ndarray
+
+    def hits(self, a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(item, position in the text minus position in the item) of every seed in the text, by item."""
+        size = self.first[a + 1] - self.first[a]
+        where = np.flatnonzero(size)
+        size = size[where]
+        k = np.repeat(self.first[a[where]] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        item, diagonal = self.item[k], np.repeat(where, size) - self.at[k]
+        order = np.lexsort((diagonal, item))
+        return item[order], diagonal[order]
+
+
+def count_words(texts: DataFrame, items: Items) -> np.ndarray:
+    """Number of training texts that hold each word; at most one number per word comes back."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+        held = np.zeros(len(items.vocab) + 1, np.int64)
         for b in batches:
             for t in b.column(0):
-                seen.update({n for _, n in _occurrences(items.numbers(t.as_py()), table)})
-        yield pa.RecordBatch.from_pydict({"g": pa.array(list(seen), pa.int64()),
-                                          "n": pa.array(list(seen.values()), pa.int64())})
+                held[np.unique(items.numbers(t.as_py()))] += 1
+        held[0] = 0
+        at = np.flatnonzero(held)
+        yield pa.RecordBatch.from_pydict({"w": pa.array(at, pa.int64()), "n": pa.array(held[at], pa.int64())})
+
+    rows = texts.mapInArrow(count, "w bigint, n bigint").groupBy("w").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(len(items.vocab) + 1, np.int64)
+    counts[rows.column("w").to_numpy()] = rows.column("n").to_numpy()
+    return counts
 
-    rows = texts.mapInArrow(count, "g bigint, n bigint").groupBy("g").agg(F.sum("n").alias("n")).toArrow()
-    return dict(zip(rows.column("g").to_pylist(), rows.column("n").to_pylist()))
 
+def choose_seeds(items: Items, counts: np.ndarray, threshold: float) -> Seeds:
+    """The rarest positions of every item, one more than a passage at the threshold can leave unmatched.
 
-def choose_seeds(items: Items, table: dict, counts: dict[int, int]) -> dict[int, list[tuple[int, int]]]:
-    """Gram number -> (item, position) for the rarest gram of every SPREAD consecutive ones."""
-    seeds: dict[int, list[tuple[int, int]]] = {}
+    Positions whose word no training text holds are counted but need no seed.
+    """
+    found = []
     for k, a in enumerate(items.texts):
-        size = min(GRAM, len(a))
-        nums = [table[size][g] for g in _grams(a, size)]
-        chosen = set()
-        for i in range(max(1, len(nums) - SPREAD + 1)):
-            run = range(i, min(i + SPREAD, len(nums)))
-            chosen.add(min(run, key=lambda j: (counts.get(nums[j], 0), j)))
-        for j in sorted(chosen):
-            seeds.setdefault(nums[j], []).append((k, j))
-    return seeds
+        matched = max(1, math.ceil(threshold * len(a)))
+        rarest = np.argsort(counts[a], kind="stable")[:max(0, len(a) - matched + 1)]
+        rarest = rarest[counts[a[rarest]] > 0]
+        found.append(np.stack([a[rarest], np.full(len(rarest), k), rarest]))
+    word, item, at = np.concatenate(found, axis=1)
+    order = np.argsort(word, kind="stable")
+    first = np.searchsorted(word[order], np.arange(len(items.vocab) + 2))
+    return Seeds(first, item[order], at[order])
+
+
+def bound(gains: np.ndarray) -> int:
+    """No alignment scores more if words of the item gain MATCH and each other word inside costs."""
+    sums = gains.cumsum(dtype=np.int64)
+    return int((sums - np.minimum(np.minimum.accumulate(sums), 0)).max(initial=0))
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
@@ -138,36 +136,60 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
     return best, at, row
 
 
-def find_items(a: np.ndarray, items: Items, table: dict, seeds: dict, threshold: float) -> list[tuple]:
+class Scratch:
+    """Per word number: the text's count of it (0), what it adds to ``bound`` (the cost); reset after use."""
+
+    def __init__(self, items: Items):
+        self.have = np.zeros(len(items.vocab) + 1, np.int64)
+        self.gain = np.full(len(items.vocab) + 1, max(MISMATCH, GAP), np.int8)
+
+
+def _likely(a: np.ndarray, items: Items, near: np.ndarray, threshold: float, scratch: Scratch) -> list[int]:
+    """Those items of ``near`` that share enough words with the text, wherever it has them."""
+    bags = [items.bags[k] for k in near.tolist()]
+    word, have = np.unique(a, return_counts=True)
+    scratch.have[word] = have
+    wanted, most = np.concatenate([w for w, _ in bags]), np.concatenate([n for _, n in bags])
+    both = np.minimum(scratch.have[wanted], most)
+    scratch.have[word] = 0
+    sizes = np.array([len(w) for w, _ in bags])
+    shared = np.add.reduceat(both, sizes.cumsum() - sizes)
+    return [k for k, n in zip(near.tolist(), shared.tolist()) if n >= threshold * len(items.texts[k])]
+
+
+def find_items(a: np.ndarray, items: Items, seeds: Seeds, threshold: float, scratch: Scratch) -> list[tuple]:
     """(item, score, first word, last word) of the contaminated passages, the best one per item."""
-    near: dict[int, list[int]] = {}
-    for i, g in _occurrences(a, table):
-        for k, j in seeds.get(g, ()):
-            near.setdefault(k, []).append(i - j)
+    near, diagonals = seeds.hits(a)
+    if not len(near):
+        return []
     found = []
-    for k, diagonals in near.items():
-        item = items.texts[k]
+    for k in _likely(a, items, near[np.r_[True, near[1:] != near[:-1]]], threshold, scratch):
+        item, (word, most) = items.texts[k], items.bags[k]
         m = len(item)
-        pad = max(8, m // 2)
         need = threshold * MATCH * m
-        have = Counter(item.tolist())
-        best, lo, hi = None, None, None
-        for d in sorted(set(diagonals)) + [None]:
-            if d is not None and hi is not None and d - pad <= hi:
-                hi = d + m + pad
+        scratch.gain[word] = MATCH
+        gains = scratch.gain[a]
+        scratch.gain[word] = max(MISMATCH, GAP)
+        if bound(gains) < need:
+            continue
+        # gaps cost, so a passage reaches no further from a seed's diagonal
+        pad = max(0, math.floor((MATCH * m - need) / -GAP))
+        near_k = diagonals[np.searchsorted(near, k):np.searchsorted(near, k, "right")]
+        cut = np.flatnonzero(np.diff(near_k) > m + 2 * pad) + 1
+        best = None
+        for lo, hi in zip(near_k[np.r_[0, cut]] - pad, near_k[np.r_[cut - 1, -1]] + m + pad):
+            start = max(0, int(lo))
+            part = a[start:hi]
+            if bound(gains[start:hi]) < need:
+                continue
+            # no alignment matches more words than the two have in common
+            have = np.bincount(np.searchsorted(word, part[gains[start:hi] == MATCH]), minlength=len(word))
+            if np.minimum(have, most).sum() * MATCH < need:
                 continue
-            if hi is not None:
-                start = max(0, lo)
-                part = a[start:hi]
-                # no alignment matches more words than the two have in common
-                shared = sum((Counter(part[part > 0].tolist()) & have).values())
-                if shared * MATCH >= need:
-                    s, at, row = align(item, part)
-                    if s >= need and (best is None or s > best[0]):
-                        _, back, _ = align(item[:row + 1][::-1], part[:at + 1][::-1])
-                        best = (s, start + at - back, start + at)
-            if d is not None:
-                lo, hi = d - pad, d + m + pad
+            s, at, row = align(item, part)
+            if s >= need and (best is None or s > best[0]):
+                _, back, _ = align(item[:row + 1][::-1], part[:at + 1][::-1])
+                best = (s, start + at - back, start + at)
         if best:
             found.append((k, best[0] / (MATCH * m), best[1], best[2]))
     return found
@@ -186,21 +208,19 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_chars: int
 
 def _matches(docs: DataFrame, items: Items, item_type: str, text_col: str, threshold: float):
     """Column of the contaminated items of each text: array<struct<item_id, score, first_word, last_word>>."""
-    table = _gram_table(items)
     texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    seeds = choose_seeds(items, table, count_grams(texts, items, table))
-    wanted = set(seeds)
-    table = {size: {g: n for g, n in grams.items() if n in wanted} for size, grams in table.items()}
-    shared = docs.sparkSession.sparkContext.broadcast((items, table, seeds))
+    seeds = choose_seeds(items, count_words(texts, items), threshold)
+    shared = docs.sparkSession.sparkContext.broadcast((items, seeds))
 
     @F.arrow_udf(f"array<struct<item_id:{item_type},score:double,first_word:bigint,last_word:bigint>>")
     def match(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        items, table, seeds = shared.value
+        items, seeds = shared.value
+        scratch = Scratch(items)
         kind = None
         for b in batches:
             out = []
             for t in b:
-                hits = find_items(items.numbers(t.as_py()), items, table, seeds, threshold)
+                hits = find_items(items.numbers(t.as_py()), items, seeds, threshold, scratch)
                 out.append([{"item_id": items.ids[k], "score": s, "first_word": x, "last_word": y}
                             for k, s, x, y in hits])
             kind = kind or pa.list_(pa.struct([("item_id", _arrow_type(item_type)), ("score", pa.float64()),
@@ -221,10 +241,10 @@ def contaminated_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "
 
     ``score`` is the alignment's share of the item's own score, of the best
     passage; the words are counted from 0. Words are ``\\w+`` of the
-    lower-cased text. A passage is found if it keeps ``GRAM + SPREAD - 1``
-    words of the item in a row somewhere. Null or word-less texts and items
-    match nothing; repeated rows and items are answered each; an empty table
-    gives an empty result; other columns are not returned.
+    lower-cased text. Every item whose best alignment reaches ``threshold``
+    (above 0) is found. Null or word-less texts and items match nothing;
+    repeated rows and items are answered each; an empty table gives an empty
+    result; other columns are not returned.
     """
     item_type = benchmark.schema[item_col].dataType.simpleString()
     schema = f"{id_col} {docs.schema[id_col].dataType.simpleString()}, item_id {item_type}, " \

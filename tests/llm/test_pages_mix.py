@@ -191,6 +191,38 @@ def test_contamination_against_brute_force(spark):
     assert {r.doc_id for r in kept.collect()} == {i for i, _ in rows} - {i for i, _ in want}
 
 
+def test_evenly_edited_copies_are_found(spark):
+    # no copy keeps six words in a row; with every 2nd word an insertion not even two
+    rng = random.Random(14)
+    words = vocabulary(rng, 700)
+    items, rows = [], []
+    for k, (m, step, kind) in enumerate((m, step, kind) for m in (5, 16, 39, 59) for step in (3, 4, 5, 6)
+                                        for kind in ("replace", "insert", "drop")):
+        items.append((k, prose(rng, words, m)))
+        copy = []
+        for j, w in enumerate(items[-1][1].split()):
+            edit = j % step == step - 1
+            copy += [f"new{k}x{j}"] if edit and kind == "replace" else [] if edit and kind == "drop" else [w]
+            copy += [f"new{k}x{j}"] if edit and kind == "insert" else []
+        rows.append((k, " ".join([prose(rng, words, 20), *copy, prose(rng, words, 20)])))
+        if k % 3 == 0:      # a verbatim copy elsewhere makes the intact grams no rarer than the destroyed ones
+            rows.append((1000 + k, items[-1][1]))
+    items.append((900, prose(rng, words, 30)))
+    rows.append((900, " ".join(f"{w} gap{j}" for j, w in enumerate(items[-1][1].split()))))
+    items.append((901, "la la la la di la la la"))
+    rows.append((901, "la di la x la di la la y la"))
+    want = {}
+    for i, t in rows:
+        for k, q in items:
+            a, b = dc.words(q), dc.words(t)
+            if (s := align_brute(a, b)) >= dc.THRESHOLD * dc.MATCH * len(a):
+                want[i, k] = s / (dc.MATCH * len(a))
+    assert all((k, k) in want for k, _ in items)
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = dc.contaminated_passages(documents(spark, rows), bench).collect()
+    assert {(r.doc_id, r.item_id): r.score for r in got} == pytest.approx(want)
+
+
 def test_decontamination_edges(spark):
     bench = spark.createDataFrame([(None, "one two three four five six")], "item_id bigint, text string")
     docs = documents(spark, [(1, None), (2, ""), (None, "x one two three four five six"), (3, "x" * 200_000),
