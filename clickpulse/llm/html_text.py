@@ -3,8 +3,8 @@
 Pages of one host are aligned by simple tree matching of their DOM trees.
 Trees are compared with repeated siblings folded (a list of paragraphs is one
 slot), so alignment runs once per distinct tree shape of a host, not per page.
-A slot whose text is the same on nearly all distinct pages of the host is
-template; slots that vary are content. What HTML itself marks as furniture
+A text block that nearly all distinct pages of the host have in one slot is
+template, whatever else is in the slot; blocks that vary are content. What HTML itself marks as furniture
 (navigation, header, footer, aside, form, script, adverts, notices, comments
 ...) is content on no page.
 """
@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from clickpulse.llm.common import materialize, without
 
-#: A slot is template if at least this many distinct pages of the host have it
-#: and this share of them agree on its text.
+#: A block is template if at least this many distinct pages of the host have its
+#: slot and this share of them have its text there.
 MIN_PAGES = 4
 SAME_SHARE = 0.9
 #: The template nodes are sent to every task up to this size.
@@ -266,21 +266,18 @@ def match_trees(a: list, b: list) -> dict[int, int]:
 
 _SURVEY_TYPE = "struct<shape:string,content:bigint,slots:array<struct<node:int,text:bigint>>>"
 _ALIGNED_TYPE = "array<int>"
-_BLOCKS_TYPE = "struct<shape_hash:bigint,blocks:array<struct<node:int,text:string>>>"
+_BLOCKS_TYPE = "struct<shape_hash:bigint,blocks:array<struct<node:int,text:string,hash:bigint>>>"
 
 def _survey(pages: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    """Tree shape, hash of the kept text, and a text hash per slot of each page."""
+    """Tree shape, hash of the kept text, and the distinct text hashes of each slot of each page."""
     for batch in pages:
         shapes, contents, slots = [], [], []
         for source in batch:
             page = Page(source.as_py() or "")
-            per: dict[int, list[str]] = {}
             kept = page.kept()
-            for n, t in kept:
-                per.setdefault(n, []).append(t)
             shapes.append(page.shape())
             contents.append(_hash(" ".join(t for _, t in kept)))
-            slots.append([{"node": n, "text": _hash(" ".join(ts))} for n, ts in per.items()])
+            slots.append([{"node": n, "text": h} for n, h in sorted({(n, _hash(t)) for n, t in kept})])
         yield pa.StructArray.from_arrays(
             [pa.array(shapes, pa.string()), pa.array(contents, pa.int64()),
              pa.array(slots, pa.list_(pa.struct([("node", pa.int32()), ("text", pa.int64())])))],
@@ -303,10 +300,10 @@ def _blocks(pages: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for source in batch:
             page = Page(source.as_py() or "")
             shapes.append(_hash(page.shape()))
-            blocks.append([{"node": n, "text": t} for n, t in page.kept()])
+            blocks.append([{"node": n, "text": t, "hash": _hash(t)} for n, t in page.kept()])
         yield pa.StructArray.from_arrays(
             [pa.array(shapes, pa.int64()),
-             pa.array(blocks, pa.list_(pa.struct([("node", pa.int32()), ("text", pa.string())])))],
+             pa.array(blocks, pa.list_(pa.struct([("node", pa.int32()), ("text", pa.string()), ("hash", pa.int64())])))],
             ["shape_hash", "blocks"])
 
 
@@ -315,7 +312,7 @@ def _shape_hash(shapes: pa.Array) -> pa.Array:
 
 
 def induce_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, shape_hash, template): the template nodes of every tree shape of every host.
+    """(host, shape_hash, template): the template blocks (node, text hash) of every tree shape of every host.
 
     The seed of a host is its most frequent shape among pages of distinct
     text. Only shapes and hashes are shuffled, pre-aggregated per task; copies
@@ -331,17 +328,19 @@ def induce_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "htm
     shapes = distinct.groupBy("host", "shape").agg(F.count(F.lit(1)).alias("n"))
     seeds = shapes.groupBy("host").agg(F.max_by("shape", F.struct("n", "shape")).alias("seed"))
     mapped = shapes.join(seeds, "host").select("host", "shape", aligned("shape", "seed").alias("to"))
-    slots = (distinct.join(mapped, ["host", "shape"])
-             .select("host", F.explode("slots").alias("slot"), "to")
+    met = distinct.join(mapped, ["host", "shape"])
+    slots = (met.select("host", F.explode("slots").alias("slot"), "to")
              .select("host", F.expr("to[slot.node]").alias("node"), F.col("slot.text").alias("text"))
-             .where("node >= 0"))
-    constant = (slots.groupBy("host", "node", "text").agg(F.count(F.lit(1)).alias("n"))
-                .groupBy("host", "node").agg(F.max("n").alias("top"), F.sum("n").alias("n"))
-                .where((F.col("n") >= MIN_PAGES) & (F.col("top") >= F.col("n") * SAME_SHARE))
-                .select("host", "node"))
+             .where("node >= 0").groupBy("host", "node", "text").agg(F.count(F.lit(1)).alias("n")))
+    pages_of = (met.select("host", F.explode(F.array_distinct(F.expr(
+        "transform(slots, s -> to[s.node])"))).alias("node")).where("node >= 0")
+        .groupBy("host", "node").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= MIN_PAGES))
+    constant = (slots.where(F.col("n") >= MIN_PAGES * SAME_SHARE).join(pages_of, ["host", "node"])
+                .where(F.col("n") >= F.col("pages") * SAME_SHARE).select("host", "node", "text"))
     nodes = mapped.select("host", "shape", F.posexplode("to").alias("own", "node")).where("node >= 0")
     return (nodes.join(constant, ["host", "node"]).groupBy("host", "shape")
-            .agg(F.sort_array(F.collect_list("own")).alias("template"))
+            .agg(F.sort_array(F.collect_list(F.struct(F.col("own").alias("node"), F.col("text").alias("hash"))))
+                 .alias("template"))
             .select("host", shape_hash("shape").alias("shape_hash"), "template"))
 
 
@@ -351,7 +350,7 @@ def main_text(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
     Blocks are joined in page order by one space, white space inside a block
     is one space, character references are decoded once. Defined edge cases:
     null or empty html gives the empty text; a null or host-less url gets no
-    wrapper (HTML's own marks still count); a page whose every slot is
+    wrapper (HTML's own marks still count); a page whose every block is
     template is a copy and keeps its text; unclosed elements end where HTML
     ends them; repeated rows are answered each; an empty table gives an empty
     result; input columns named like an output column are replaced.
@@ -359,8 +358,8 @@ def main_text(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
     pages = without(pages, "text", "n_chars")
     cols = [F.col(f"p.`{c}`") for c in pages.columns]
     wrappers = materialize(induce_wrappers(pages, url_col, html_col), "templates")
-    size = wrappers.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("template")).alias("nodes")).first()
-    if 100 * size.rows + 4 * (size.nodes or 0) <= BROADCAST_BYTES:
+    size = wrappers.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("template")).alias("blocks")).first()
+    if 100 * size.rows + 32 * (size.blocks or 0) <= BROADCAST_BYTES:
         wrappers = F.broadcast(wrappers)        # else the blocks are shuffled to meet them
     read = pages.withColumn("__host", F.lower(F.try_parse_url(F.col(url_col), F.lit("HOST")))) \
         .withColumn("__b", F.arrow_udf(_blocks, _BLOCKS_TYPE)(F.coalesce(F.col(html_col), F.lit(""))))
@@ -368,6 +367,7 @@ def main_text(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
                                & (F.col("p.__b.shape_hash") == F.col("w.shape_hash")), "left")
     join = lambda blocks: F.array_join(F.transform(blocks, lambda b: b["text"]), " ")
     every = F.col("p.__b.blocks")
-    varying = F.filter(every, lambda b: ~F.array_contains(F.col("w.template"), b["node"]))
+    varying = F.filter(every, lambda b: ~F.array_contains(
+        F.col("w.template"), F.struct(b["node"].alias("node"), b["hash"].alias("hash"))))
     text = F.when(F.col("w.template").isNull() | (F.size(varying) == 0), join(every)).otherwise(join(varying))
     return met.select(*cols, text.alias("text")).withColumn("n_chars", F.length("text").cast("bigint"))

@@ -120,6 +120,26 @@ def test_wrapper_finds_template_of_host(spark):
     assert main_text(pages.limit(0)).count() == 0
 
 
+def test_template_among_like_siblings(spark):
+    # unmarked siblings of one signature, a constant paragraph among varying ones, numbered columns, table cells
+    rng = random.Random(15)
+    words = vocabulary(rng, 300)
+    layouts = {
+        "divs": "<body><div>Home News</div><div>{0}</div><div>(c) site</div></body>",
+        "paras": "<body><p>{0}</p><p>{1}</p><p>Subscribe to our letter</p></body>",
+        "cols": "<body><div class=col-1>Menu here</div><div class=col-2>{0}</div></body>",
+        "cells": "<body><table><tr><td>Left menu<td><p>{0}<p>{1}</table></body>",
+    }
+    rows = []
+    for h, (name, layout) in enumerate(layouts.items()):
+        for k in range(8):
+            body = [prose(rng, words, rng.randint(4, 20)) for _ in range(2)]
+            rows.append((h * 100 + k, f"https://{name}.example.com/{k}", layout.format(*body),
+                         " ".join(body[:2 if "{1}" in layout else 1])))
+    pages = spark.createDataFrame([r[:3] for r in rows], "page_id bigint, url string, html string")
+    assert {r.page_id: r.text for r in main_text(pages).collect()} == {r[0]: r[3] for r in rows}
+
+
 def test_pages_of_the_test_tables(spark):
     import html as h
     got = QUERIES["op2_html_text"](spark, SF_SMALL).join(table(spark, SF_SMALL, "pages").drop("url"), "page_id")
