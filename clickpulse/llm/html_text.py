@@ -5,8 +5,10 @@ Trees are compared with repeated siblings folded (a list of paragraphs is one
 slot), so alignment runs once per distinct tree shape of a host, not per page.
 A text block that nearly all distinct pages of the host have in one slot is
 template, whatever else is in the slot; blocks that vary are content. What HTML itself marks as furniture
-(navigation, header, footer, aside, form, script, adverts, notices, comments
-...) is content on no page.
+(navigation, header, footer, aside, form, script, hidden elements ...) is content
+on no page. Words of class and id attributes (advert, notice, comment ...) are
+hints: they mark no element that is or holds the main text, and what they mark
+is used, less the template, where nothing else on a page varies.
 """
 
 from __future__ import annotations
@@ -64,8 +66,7 @@ CLOSES = {      # an opening tag ends the open elements of these names, up to a
 _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*+>?"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)>", re.S)
-_ATTR = re.compile(r"\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?",
-                   re.I)
+_ATTR = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _NAME = re.compile(r"[a-z]+")
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>?", re.I) for t in RAW}
 
@@ -74,19 +75,22 @@ class Page:
     """Folded DOM of a page and its text blocks.
 
     ``nodes`` holds (parent, signature, depth); siblings with one signature
-    are one node. ``blocks`` holds (node, text, inside the main region) of
-    every block that is not furniture, in page order.
+    are one node. ``blocks`` holds (node, text, region, hinted) of every block
+    that is not furniture, in page order: ``region`` is the number of the main
+    region it is in or 0, ``hinted`` whether a class or id word marks it there.
+    ``regions`` holds (is ``main``, inside a marked element) of each region.
     """
 
     def __init__(self, source: str):
         self.nodes: list[tuple[int, str, int]] = [(-1, "#", 0)]
         self._known: dict[tuple[int, str], int] = {}
-        self.blocks: list[tuple[int, str, bool]] = []
-        self.has_main = False
-        self._text: list[str] = []
-        self._linked = self._plain = 0
-        # open elements: (tag, node, furniture, in main, block node, in link)
-        self._stack = [("#", 0, False, False, 0, False)]
+        self.blocks: list[tuple[int, str, int, bool]] = []
+        self.regions: list[tuple[bool, bool]] = [(False, False)]
+        # texts of the block, pieces inside and outside of links: not hinted, hinted
+        self._text: tuple[list[str], list[str]] = ([], [])
+        self._linked, self._plain = [0, 0], [0, 0]
+        # open elements: (tag, node, furniture, main region, block node, in link, hinted, in a form outside of main)
+        self._stack = [("#", 0, False, 0, 0, False, False, False)]
         self._read(source)
 
     # -- building ------------------------------------------------------
@@ -113,31 +117,30 @@ class Page:
 
     def _add(self, text: str) -> None:
         top = self._stack[-1]
-        if top[2]:
+        if top[2] or top[7]:
             return
-        self._text.append(html.unescape(text) if "&" in text else text)
+        self._text[top[6]].append(html.unescape(text) if "&" in text else text)
         if text.strip():
-            if top[5]:
-                self._linked += 1
-            else:
-                self._plain += 1
+            (self._linked if top[5] else self._plain)[top[6]] += 1
 
     def _flush(self) -> None:
-        if self._text:
-            text = " ".join("".join(self._text).split())
-            if text:
-                top = self._stack[-1]
-                # a list item that is nothing but links is a menu, outside the main region
-                menu = self._linked and not self._plain and not top[3] and any(
-                    s[0] in ("ul", "ol") for s in self._stack)
-                if not menu:
-                    self.blocks.append((top[4], text, top[3]))
-            self._text.clear()
-        self._linked = self._plain = 0
+        for hinted, pieces in enumerate(self._text):
+            if pieces:
+                text = " ".join("".join(pieces).split())
+                if text:
+                    top = self._stack[-1]
+                    # a list item that is nothing but links is a menu, outside the main region
+                    menu = self._linked[hinted] and not self._plain[hinted] and not top[3] and any(
+                        s[0] in ("ul", "ol") for s in self._stack)
+                    if not menu:
+                        self.blocks.append((top[4], text, top[3], bool(hinted)))
+                pieces.clear()
+            self._linked[hinted] = self._plain[hinted] = 0
 
     def _open(self, name: str, attrs: str) -> None:
         if name == "br":
-            self._text.append(" ")
+            for pieces in self._text:
+                pieces.append(" ")
             return
         block = name in BLOCK
         if block:
@@ -154,17 +157,25 @@ class Page:
                     break
         if name in VOID:
             return
-        tag, node, furniture, main, block_node, link = self._stack[-1]
-        sign, marked, is_main = self._describe(name, attrs)
+        tag, node, furniture, region, block_node, link, hinted, form = self._stack[-1]
+        sign, marked, hint, is_main = self._describe(name, attrs)
         key = (node, sign)
         child = self._known.get(key)
         if child is None:
             child = self._known[key] = len(self.nodes)
             self.nodes.append((node, sign, self.nodes[node][2] + 1))
-        furniture = furniture or marked
-        main = main or (is_main and not furniture)
-        self.has_main = self.has_main or main
-        self._stack.append((name, child, furniture, main, child if block else block_node, link or name == "a"))
+        if marked and name == "form" and not region:
+            form = True
+        else:
+            furniture = furniture or marked
+        if is_main and not region and not furniture:
+            region = len(self.regions)
+            self.regions.append((sign.startswith("main"), hinted or form))
+            hinted = form = False           # what holds the main text is not furniture
+        elif hint and not is_main:
+            hinted = True
+        self._stack.append((name, child, furniture, region, child if block else block_node, link or name == "a",
+                            hinted, form))
 
     def _close(self, name: str) -> None:
         block = name in BLOCK
@@ -178,12 +189,15 @@ class Page:
                 return          # an inline end tag does not end a block
 
     @staticmethod
-    def _describe(name: str, attrs: str) -> tuple[str, bool, bool]:
-        """Signature, whether the element is furniture, whether it holds the main text."""
-        marked, is_main, sign = name in FURNITURE, name in ("article", "main"), name
+    def _describe(name: str, attrs: str) -> tuple[str, bool, bool, bool]:
+        """Signature, whether the element is furniture, whether its words hint at it, whether it is the main text."""
+        marked, hint, is_main, sign, seen = name in FURNITURE, False, name in ("article", "main"), name, set()
         if attrs and not attrs.isspace():
             for key, a, b, c in _ATTR.findall(attrs):
                 key, value = key.lower(), (a or b or c).lower()
+                if key in seen:             # the first of a name counts
+                    continue
+                seen.add(key)
                 if key == "role":
                     marked = marked or value in FURNITURE_ROLES
                     is_main = is_main or value in MAIN_ROLES
@@ -191,16 +205,37 @@ class Page:
                     found = _NAME.findall(value)
                     sign += "." + "-".join(found)
                     if name not in ("html", "body", "main") and not (len(name) == 2 and name[0] == "h"):
-                        marked = marked or not FURNITURE_WORDS.isdisjoint(found)
+                        hint = hint or not FURNITURE_WORDS.isdisjoint(found)
                 elif key == "hidden" or key == "aria-hidden" and value == "true" \
                         or key == "style" and "display:none" in value.replace(" ", ""):
                     marked = True
-        return sign, marked, is_main
+        return sign, marked, hint, is_main
 
     # -- reading -------------------------------------------------------
+    def candidates(self) -> list[tuple[int, str, bool]]:
+        """(node, text, hinted) of the blocks of the main region, or of all blocks where a page marks none.
+
+        A main region inside marked elements counts if the page has no other.
+        It is taken alone if it is the only one, or ``main``, and outweighs
+        the unmarked text around it; else both are taken, as articles in a
+        marked element may be comments on unmarked text.
+        """
+        clean = {k for k, (_, inside) in enumerate(self.regions) if k and not inside}
+        within = {k for _, _, k, _ in self.blocks if k and k not in clean}
+        use = clean
+        if not any(k in clean for _, _, k, _ in self.blocks) and within:
+            inner = sum(len(t) for _, t, k, hinted in self.blocks if k in within and not hinted)
+            outer = sum(len(t) for _, t, k, hinted in self.blocks if not k and not hinted)
+            mains = {k for k in within if self.regions[k][0]}
+            use = mains or within
+            if inner < outer and not clean or not mains and len(within) > 1:
+                return [(n, t, hinted) for n, t, _, hinted in self.blocks]
+        return [(n, t, hinted) for n, t, k, hinted in self.blocks if k in use or not use]
+
     def kept(self) -> list[tuple[int, str]]:
-        """Blocks of the main region, or all of them where a page marks none."""
-        return [(n, t) for n, t, main in self.blocks if main or not self.has_main]
+        """The candidates that are not hinted, or all of them if there are no others."""
+        found = self.candidates()
+        return [(n, t) for n, t, hinted in found if not hinted] or [(n, t) for n, t, _ in found]
 
     def shape(self) -> str:
         return json.dumps([(p, s) for p, s, _ in self.nodes], separators=(",", ":"))
@@ -266,18 +301,18 @@ def match_trees(a: list, b: list) -> dict[int, int]:
 
 _SURVEY_TYPE = "struct<shape:string,content:bigint,slots:array<struct<node:int,text:bigint>>>"
 _ALIGNED_TYPE = "array<int>"
-_BLOCKS_TYPE = "struct<shape_hash:bigint,blocks:array<struct<node:int,text:string,hash:bigint>>>"
+_BLOCKS_TYPE = "struct<shape_hash:bigint,blocks:array<struct<node:int,text:string,hash:bigint,hinted:boolean>>>"
 
 def _survey(pages: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    """Tree shape, hash of the kept text, and the distinct text hashes of each slot of each page."""
+    """Tree shape, hash of the candidate text, and the distinct text hashes of each slot of each page."""
     for batch in pages:
         shapes, contents, slots = [], [], []
         for source in batch:
             page = Page(source.as_py() or "")
-            kept = page.kept()
+            found = page.candidates()
             shapes.append(page.shape())
-            contents.append(_hash(" ".join(t for _, t in kept)))
-            slots.append([{"node": n, "text": h} for n, h in sorted({(n, _hash(t)) for n, t in kept})])
+            contents.append(_hash(" ".join(t for _, t, _ in found)))
+            slots.append([{"node": n, "text": h} for n, h in sorted({(n, _hash(t)) for n, t, _ in found})])
         yield pa.StructArray.from_arrays(
             [pa.array(shapes, pa.string()), pa.array(contents, pa.int64()),
              pa.array(slots, pa.list_(pa.struct([("node", pa.int32()), ("text", pa.int64())])))],
@@ -300,10 +335,11 @@ def _blocks(pages: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for source in batch:
             page = Page(source.as_py() or "")
             shapes.append(_hash(page.shape()))
-            blocks.append([{"node": n, "text": t, "hash": _hash(t)} for n, t in page.kept()])
+            blocks.append([{"node": n, "text": t, "hash": _hash(t), "hinted": h} for n, t, h in page.candidates()])
         yield pa.StructArray.from_arrays(
             [pa.array(shapes, pa.int64()),
-             pa.array(blocks, pa.list_(pa.struct([("node", pa.int32()), ("text", pa.string()), ("hash", pa.int64())])))],
+             pa.array(blocks, pa.list_(pa.struct([("node", pa.int32()), ("text", pa.string()), ("hash", pa.int64()),
+                                                  ("hinted", pa.bool_())])))],
             ["shape_hash", "blocks"])
 
 
@@ -350,7 +386,8 @@ def main_text(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
     Blocks are joined in page order by one space, white space inside a block
     is one space, character references are decoded once. Defined edge cases:
     null or empty html gives the empty text; a null or host-less url gets no
-    wrapper (HTML's own marks still count); a page whose every block is
+    wrapper (HTML's own marks still count); blocks that a class or id word marks
+    are text only where no other block varies; a page whose every block is
     template is a copy and keeps its text; unclosed elements end where HTML
     ends them; repeated rows are answered each; an empty table gives an empty
     result; input columns named like an output column are replaced.
@@ -367,7 +404,10 @@ def main_text(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
                                & (F.col("p.__b.shape_hash") == F.col("w.shape_hash")), "left")
     join = lambda blocks: F.array_join(F.transform(blocks, lambda b: b["text"]), " ")
     every = F.col("p.__b.blocks")
+    plain = F.filter(every, lambda b: ~b["hinted"])
     varying = F.filter(every, lambda b: ~F.array_contains(
         F.col("w.template"), F.struct(b["node"].alias("node"), b["hash"].alias("hash"))))
-    text = F.when(F.col("w.template").isNull() | (F.size(varying) == 0), join(every)).otherwise(join(varying))
+    varying = F.when(F.col("w.template").isNotNull(), varying)
+    text = (F.when(F.exists(varying, lambda b: ~b["hinted"]), join(F.filter(varying, lambda b: ~b["hinted"])))
+            .when(F.size(varying) > 0, join(varying)).when(F.size(plain) > 0, join(plain)).otherwise(join(every)))
     return met.select(*cols, text.alias("text")).withColumn("n_chars", F.length("text").cast("bigint"))

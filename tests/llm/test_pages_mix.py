@@ -53,6 +53,34 @@ def test_page_text(source, want):
     assert text_of(source) == want
 
 
+@pytest.mark.parametrize("source, want", [
+    ("<article class='post no-sidebar'><p>x</p><div class=share>s</div></article><p>out", "x"),
+    ("<p>out</p><div class='content comment-open'><article><p>main text</p></article></div>", "main text"),
+    ("<body><form id=f class=search><main><p>main text</p></main></form><p>out</body>", "main text"),
+    ("<div id=search-results><p>a</p><p>b</p></div>", "a b"),
+    ("<div id=post><p>the long post</p></div><div class=comments><article>c</article></div>", "the long post c"),
+    ("<div data-id='form-3'>a</div><div title='hidden gems'>b</div><div data-hidden=false>c</div><p>d", "a b c d"),
+    ("<div data-x=\"class='ad'\">a</div><p class=a class=ad>b</p><p hidden>c</p>", "a b"),
+    ("<p>a<span class=ad>b</span>c</p>", "ac"),
+])
+def test_class_words_are_hints(source, want):
+    assert text_of(source) == want
+
+
+def test_marked_text_is_used_where_nothing_else_varies(spark):
+    rng = random.Random(16)
+    words = vocabulary(rng, 300)
+    rows = []
+    for k in range(8):
+        body = prose(rng, words, rng.randint(4, 20))
+        rows.append((k, f"https://a.example.com/{k}", "<body><div>Home News</div><div class='content comment-open'>"
+                     f"<p>{body}</p><p>Subscribe</p></div><div>(c) site</div></body>", body))
+        rows.append((100 + k, f"https://b.example.com/{k}", "<body><div>Home News</div><div class=content>"
+                     f"<p>{body}</p></div><div class=comments><p>{prose(rng, words, 9)}</p></div></body>", body))
+    pages = spark.createDataFrame([r[:3] for r in rows], "page_id bigint, url string, html string")
+    assert {r.page_id: r.text for r in main_text(pages).collect()} == {r[0]: r[3] for r in rows}
+
+
 def test_deep_and_long_pages():
     assert text_of("<div>" * 20_000 + "deep") == "deep"
     words = " ".join(str(i) for i in range(200_000))
