@@ -13,10 +13,12 @@ phase), until every row has its place.
 
 from __future__ import annotations
 
+import heapq
 from dataclasses import dataclass
 from fractions import Fraction
-from math import gcd
+from math import gcd, lcm
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,32 +26,50 @@ from clickpulse.llm.common import without
 
 #: Rows per block, and the largest number of slots in a period (bounds the schedule).
 BLOCK_ROWS = 64
-MAX_PERIOD = 1000
+MAX_PERIOD = 100_000
+#: Weight of the sources without one, where none is given: this part of the sum.
+OTHER_PART = 1000
 #: Rows that one ranking task handles; the class of sources without a weight.
 RANK_ROWS = 20_000
 OTHER = "*"
 
 
+def _exact(weight: float) -> Fraction:
+    near = Fraction(weight).limit_denominator(10 ** 6)
+    return near if float(near) == weight else Fraction(str(weight))
+
+
 def integer_weights(weights: dict[str, float], most: int = MAX_PERIOD) -> dict[str, int]:
-    """Positive weights as integers with a sum of at most about ``most``."""
-    total = sum(Fraction(w).limit_denominator(10 ** 6) for w in weights.values() if w > 0)
-    share = {s: Fraction(w).limit_denominator(10 ** 6) / total for s, w in weights.items() if w > 0}
-    parts = {s: max(1, round(x * most)) for s, x in share.items()}
-    g = 0
-    for p in parts.values():
-        g = gcd(g, p)
+    """Positive weights as integers in exactly their proportions, if these sum to at most ``most``.
+
+    Otherwise they are rounded to parts of ``most``: a source then drifts from
+    its target by up to one block in 2 x ``most`` slots, and one with a share
+    below 1 / ``most`` gets that share.
+    """
+    given = {s: _exact(w) for s, w in weights.items() if w > 0}
+    scale = lcm(*(w.denominator for w in given.values())) if given else 1
+    parts = {s: int(w * scale) for s, w in given.items()}
+    g = gcd(*parts.values())
+    if sum(parts.values()) > most * g:
+        total = sum(given.values())
+        parts = {s: max(1, round(w / total * most)) for s, w in given.items()}
+        g = gcd(*parts.values())
     return {s: p // g for s, p in parts.items()}
 
 
 def edf_period(a: dict[str, int]) -> dict[str, list[int]]:
     """Slots of each source's blocks within one period, earliest deadline first."""
-    period, done = sum(a.values()), dict.fromkeys(a, 0)
+    period = sum(a.values())
     slots: dict[str, list[int]] = {s: [] for s in a}
+    later, ready = [(0, s) for s in sorted(a)], []      # by release, by deadline
     for t in range(period):
-        due = min(((-(-(done[s] + 1) * period // a[s]), s) for s in sorted(a)
-                   if done[s] < a[s] and done[s] * period // a[s] <= t))
-        slots[due[1]].append(t)
-        done[due[1]] += 1
+        while later and later[0][0] <= t:
+            _, s = heapq.heappop(later)
+            heapq.heappush(ready, (-(-(len(slots[s]) + 1) * period // a[s]), s))
+        _, s = heapq.heappop(ready)
+        slots[s].append(t)
+        if len(slots[s]) < a[s]:
+            heapq.heappush(later, (len(slots[s]) * period // a[s], s))
     return slots
 
 
@@ -106,7 +126,7 @@ def mix_sources(docs: DataFrame, weights: dict[str, float], id_col: str = "doc_i
 
     ``weights`` maps sources to target weights; the key ``*`` is the weight of
     all sources that have none of their own, null included, taken as one class
-    (without it they share weight 1 / 1000 of the sum). Within a class rows
+    (without it they share ``1 / OTHER_PART`` of the sum). Within a class rows
     come in the order of md5(id). ``mix_position`` orders the mix: slot times
     ``block_rows`` plus the place in the block (the last block of a class may
     be short, so positions can have gaps). Phase 0 holds the full target mix;
@@ -120,7 +140,7 @@ def mix_sources(docs: DataFrame, weights: dict[str, float], id_col: str = "doc_i
     docs = without(docs, "mix_class", "mix_phase", "mix_block", "mix_slot", "mix_position")
     cols = docs.columns
     known = {s: w for s, w in weights.items() if w > 0}
-    known.setdefault(OTHER, sum(known.values()) / MAX_PERIOD if known else 1.0)
+    known.setdefault(OTHER, sum(known.values()) / OTHER_PART if known else 1.0)
     a = integer_weights(known)
     named = [s for s in a if s != OTHER]
     klass: Column = F.when(F.col(source_col).isin(named), F.col(source_col)).otherwise(F.lit(OTHER)) \
@@ -130,14 +150,19 @@ def mix_sources(docs: DataFrame, weights: dict[str, float], id_col: str = "doc_i
             .withColumn("__tie", F.xxhash64(*cols)))
     sizes = {r.mix_class: r.n for r in work.groupBy("mix_class").agg(F.count(F.lit(1)).alias("n")).collect()}
     plan = phases({s: -(-n // block_rows) for s, n in sizes.items()}, a)
-    # a row per class and phase, and one per block of its period (MAX_PERIOD per phase): small tables
+    # a row per class and phase, and one per block of its period that the phase reaches: small tables
+    ends = [p.first for p in plan[1:]] + [dict.fromkeys(a, 1 << 62)]
     spans = spark.createDataFrame(
-        [(s, k, p.first[s], plan[k + 1].first[s] if k + 1 < len(plan) else 1 << 62, p.start_slot, p.period, len(at))
+        [(s, k, p.first[s], ends[k][s], p.start_slot, p.period, len(at))
          for k, p in enumerate(plan) for s, at in p.slots.items()],
         "__c string, __phase int, __first bigint, __next bigint, __start bigint, __period bigint, __per bigint")
-    places = spark.createDataFrame(
-        [(s, k, j, slot) for k, p in enumerate(plan) for s, at in p.slots.items() for j, slot in enumerate(at)],
-        "__c2 string, __phase2 int, __j bigint, __at bigint")
+    used = [(s, k, at[:ends[k][s] - p.first[s]] if k + 1 < len(plan) else at[:-(-sizes[s] // block_rows) - p.first[s]])
+            for k, p in enumerate(plan) for s, at in p.slots.items()]
+    places = spark.createDataFrame(pa.table({
+        "__c2": pa.array([s for s, _, at in used for _ in at], pa.string()),
+        "__phase2": pa.array([k for _, k, at in used for _ in at], pa.int32()),
+        "__j": pa.array([j for _, _, at in used for j in range(len(at))], pa.int64()),
+        "__at": pa.array([x for _, _, at in used for x in at], pa.int64())}))
     ranked = _rank(work, "mix_class", "__order", sum(sizes.values())).withColumn(
         "mix_block", F.expr(f"__rank div {block_rows}"))
     spanned = ranked.join(F.broadcast(spans), (F.col("mix_class") == F.col("__c"))

@@ -330,6 +330,20 @@ def test_deviation_stays_below_one_block():
             assert (np.abs(got - np.arange(1, total + 1) * a[s] / total) < 1).all()
 
 
+def test_small_integer_weights_are_exact(spark):
+    assert mx.integer_weights({"a": 1, "b": 2, "c": 4}) == {"a": 1, "b": 2, "c": 4}
+    assert mx.integer_weights({"a": 0.99999, "b": 1e-5}) == {"a": 99_999, "b": 1}
+    assert mx.integer_weights({"a": 1 / 3, "b": 2 / 3}) == {"a": 1, "b": 2}
+    rough = mx.integer_weights({"a": 2 ** 0.5, "b": 1e-7, "c": 3 ** 0.5})
+    assert abs(sum(rough.values()) - mx.MAX_PERIOD) <= 3 and rough["b"] == 1
+    rows = [(i, "t", None, "abcccbc"[i % 7]) for i in range(7000)]
+    got = mx.mix_sources(documents(spark, rows), {"a": 1, "b": 2, "c": 4}, block_rows=1).collect()
+    seen = dict.fromkeys("abc", 0)
+    for t, r in enumerate(sorted(got, key=lambda r: r.mix_position), 1):
+        seen[r.mix_class] += 1
+        assert r.mix_phase or all(abs(seen[s] - t * w / 7) < 1 for s, w in zip("abc", (1, 2, 4)))
+
+
 def test_mix_rows(spark):
     rows = [(i, "t", None, random.Random(i).choice(["x", "x", "x", "y", "z", None])) for i in range(700)]
     docs = documents(spark, rows + [(5, "t", None, "x"), (5, "t", None, "x"), (None, "t", None, "y")])
