@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickpulse.functions.timefn import epoch_micros, to_micros
+from clickpulse.plans.chunks import CHUNK, OWN, US, chunk_width, halo_copies
+from clickpulse.plans.names import unused
 from clickpulse.plans.sliding import floor_div
 
 
@@ -23,17 +25,17 @@ def interval_join(left: DataFrame, right: DataFrame, on: list[str], left_ts: str
     if hi < lo:
         raise ValueError("upper bound below lower bound")
     b = max(to_micros(bucket) if bucket is not None else hi - lo, 1)
-    lus = epoch_micros(left, left_ts)
-    rus = epoch_micros(right, right_ts)
-    l2 = left.withColumn("_lus", lus).withColumn("_b", floor_div(F.col("_lus"), b))
+    bucket_col, l_us, r_us = (unused(n, left, right) for n in ("_b", "_lus", "_rus"))
+    l2 = (left.withColumn(l_us, epoch_micros(left, left_ts))
+          .withColumn(bucket_col, floor_div(F.col(l_us), b)))
     # lefts that can match a right row at r lie in [r - hi, r - lo]
-    r2 = (right.withColumn("_rus", rus)
-          .withColumn("_b", F.explode(F.sequence(floor_div(F.col("_rus") - F.lit(hi), b),
-                                                 floor_div(F.col("_rus") - F.lit(lo), b)))))
+    r2 = (right.withColumn(r_us, epoch_micros(right, right_ts))
+          .withColumn(bucket_col, F.explode(F.sequence(floor_div(F.col(r_us) - F.lit(hi), b),
+                                                       floor_div(F.col(r_us) - F.lit(lo), b)))))
     cond = [l2[k] == r2[k] for k in on] + [
-        l2["_b"] == r2["_b"],
-        r2["_rus"] >= l2["_lus"] + F.lit(lo),
-        r2["_rus"] <= l2["_lus"] + F.lit(hi),
+        l2[bucket_col] == r2[bucket_col],
+        r2[r_us] >= l2[l_us] + F.lit(lo),
+        r2[r_us] <= l2[l_us] + F.lit(hi),
     ]
     j = l2.join(r2, on=cond, how="inner")
     lcols = [l2[c] for c in left.columns]
@@ -46,26 +48,43 @@ def reconcile(pays: DataFrame, receipts: DataFrame, on: str = "tx_id", pay_ts: s
               bucket=None, dedupe_tx: bool = False) -> DataFrame:
     """Matched / paid_no_receipt / receipt_no_pay, tagged in one DataFrame.
 
-    The unmatched sides are anti joins against the matched keys rather than
-    an outer join, so the bucketed (skew-safe) inner join does all the pair
-    work. Two rows with equal (key, time) have the same partners, so the
-    (key, time) anti join is exact even with duplicates.
+    One pass and one exchange: both sides are stacked and dealt by
+    (key, time chunk), rows near a chunk's edge copied into the neighbour
+    chunk. In a chunk's time order the receipts of a pay are the range
+    [pay + lower, pay + upper], and a receipt without a pay in the mirrored
+    range is alone. A hot key is split by time; a range holds no more rows
+    than the pairs it gives. Rows without key or time match nothing.
+    ``bucket`` sets the chunk width (at least the longer bound).
     ``dedupe_tx=True`` first keeps the earliest pay and the earliest receipt
     of each key, so that a key matches one to one.
     """
+    lo, hi = to_micros(lower), to_micros(upper)
+    if hi < lo:
+        raise ValueError("upper bound below lower bound")
     if dedupe_tx:
         pays = pays.groupBy(on).agg(F.min(pay_ts).alias(pay_ts))
         receipts = receipts.groupBy(on).agg(F.min(receipt_ts).alias(receipt_ts))
-    matched = interval_join(pays, receipts, [on], pay_ts, receipt_ts, lower, upper, bucket)
-    m = matched.select(on, pay_ts, receipt_ts)
-    keys_p = m.select(on, pay_ts).distinct()
-    keys_r = m.select(on, receipt_ts).distinct()
-    lone_p = pays.join(keys_p, on=[on, pay_ts], how="left_anti")
-    lone_r = receipts.join(keys_r, on=[on, receipt_ts], how="left_anti")
-    null_ts = F.lit(None).cast(pays.schema[pay_ts].dataType)
-    null_rts = F.lit(None).cast(receipts.schema[receipt_ts].dataType)
-    return (m.select(on, F.lit("matched").alias("status"), pay_ts, receipt_ts)
-            .unionByName(lone_p.select(on, F.lit("paid_no_receipt").alias("status"), pay_ts,
-                                       null_rts.alias(receipt_ts)))
-            .unionByName(lone_r.select(on, F.lit("receipt_no_pay").alias("status"),
-                                       null_ts.alias(pay_ts), receipt_ts)))
+    no_pay = F.lit(None).cast(pays.schema[pay_ts].dataType)
+    no_receipt = F.lit(None).cast(receipts.schema[receipt_ts].dataType)
+    both = (pays.select(F.col(on).alias("_k"), epoch_micros(pays, pay_ts).alias(US), F.lit(True).alias("_pay"),
+                        F.col(pay_ts).alias("_p"), no_receipt.alias("_r"))
+            .unionByName(receipts.select(F.col(on).alias("_k"), epoch_micros(receipts, receipt_ts).alias(US),
+                                         F.lit(False).alias("_pay"), no_pay.alias("_p"),
+                                         F.col(receipt_ts).alias("_r"))))
+    reach = max(abs(lo), abs(hi))
+    width = chunk_width(reach, to_micros(bucket) if bucket is not None else max(4 * reach, to_micros("1 minute")))
+    here = Window.partitionBy("_k", CHUNK).orderBy(US)
+    known = F.col("_k").isNotNull() & F.col(US).isNotNull()
+    partners = F.collect_list(F.when(~F.col("_pay") & known, F.struct("_r"))).over(here.rangeBetween(lo, hi))
+    pays_near = F.count(F.when(F.col("_pay") & known, 1)).over(here.rangeBetween(-hi, -lo))
+
+    def row(status: str, receipt):
+        return F.struct(F.lit(status).alias("s"), receipt.alias("r"))
+
+    result = (F.when(F.col("_pay") & (F.size("_rs") > 0), F.transform("_rs", lambda x: row("matched", x["_r"])))
+              .when(F.col("_pay"), F.array(row("paid_no_receipt", no_receipt)))
+              .when(F.col("_np") == 0, F.array(row("receipt_no_pay", F.col("_r")))))
+    return (halo_copies(both, width, reach, reach)
+            .withColumn("_rs", partners).withColumn("_np", pays_near).where(OWN)
+            .select(F.col("_k").alias(on), F.col("_p").alias(pay_ts), F.explode(result).alias("_x"))
+            .select(on, F.col("_x.s").alias("status"), pay_ts, F.col("_x.r").alias(receipt_ts)))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from clickpulse.functions.timefn import micros_to_ts, is_ntz, to_micros
 from clickpulse.plans.chunks import CHUNK, OWN, US, chunk_width, with_halo
-from clickpulse.plans.iterate import cut_lineage
+from clickpulse.plans.chains import reached
 
 CHUNK_HINT = "1 minute"
 
@@ -154,15 +154,17 @@ def login_fail_bursts(logins: DataFrame, within="2 seconds", min_fails: int = 2,
     before it. Per fail, bounded-distance facts are computed on halo chunks:
     head flag, size and end of its would-be group, whether a success kills
     it, and ``jump`` = the first fail after its deadline in the same run.
-    The anchors (everything reachable from a head through ``jump``) are then
-    found by pointer doubling: O(log chain) distributed join rounds, no key
-    ever gathered in one task. ``seq`` must be unique within a key (it names
-    the chain nodes).
+    The anchors are everything reachable from a head through ``jump``
+    (``plans.chains.reached``): chains are followed inside each chunk, and
+    only what crosses chunks is followed across them, in a fixed number of
+    rounds. No job runs while the plan is built. ``seq`` must be unique
+    within a key (it names the chain nodes).
     """
     w_us = to_micros(within)
     ntz = is_ntz(logins, ts)
     base = logins.select(key, ts, seq, (F.col(type_col) == fail).alias("_fail"))
-    h = with_halo(base, ts, _chunk(2 * w_us, chunk), lookahead_us=2 * w_us, lookback_us=w_us)
+    width = _chunk(2 * w_us, chunk)
+    h = with_halo(base, ts, width, lookahead_us=2 * w_us, lookback_us=w_us)
     asc = Window.partitionBy(key, CHUNK).orderBy(US, seq)
     upto = asc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     after = (Window.partitionBy(key, CHUNK).orderBy(F.desc(US), F.desc(seq))
@@ -176,14 +178,13 @@ def login_fail_bursts(logins: DataFrame, within="2 seconds", min_fails: int = 2,
     fl = h.where("_fail")
     fw = Window.partitionBy(key, CHUNK).orderBy(US, seq)
     fl = (fl.withColumn("_fi", F.row_number().over(fw))
-          .withColumn("_nx", F.lead(F.struct(F.col(seq).alias("s"), F.col("_hc").alias("hc"))).over(fw)))
+          .withColumn("_nx", F.lead(F.struct(F.col(seq).alias("s"), F.col(US).alias("u"), F.col("_hc").alias("hc"))).over(fw)))
     # Each fail becomes a target row (at its own time) and, if owned by the
     # chunk, a probe row at time + within; a running "last target" at each
     # probe is the last fail up to its deadline. One explode instead of a
     # union keeps a single scan and shuffle.
     tgt = F.struct("_fi", F.col(US).alias("u"), "_nx")
-    src = F.struct(F.col(seq).alias("s"), F.col(ts).alias("t"), "_fi", "_hc", "_head", "_ns",
-                   F.col(US).alias("u"))
+    src = F.struct(F.col(seq).alias("s"), "_fi", "_hc", "_head", "_ns", F.col(US).alias("u"))
     no_tgt, no_src = F.when(F.lit(False), tgt), F.when(F.lit(False), src)
     rows = F.array(
         F.struct(F.col(US).alias("pos"), F.lit(1).alias("p"), F.col(seq).alias("q"),
@@ -197,40 +198,16 @@ def login_fail_bursts(logins: DataFrame, within="2 seconds", min_fails: int = 2,
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     u = u.withColumn("_last", F.last("_t", ignorenulls=True).over(pw)).where(F.col("_p") == 2)
     same_run = F.col("_last._nx").isNotNull() & (F.col("_last._nx.hc") == F.col("_src._hc"))
+    killed = F.col("_src._ns").isNotNull() & (F.col("_src._ns") <= F.col("_src.u") + F.lit(w_us))
     nodes = u.select(
-        key, F.col("_src.s").alias("_v"), F.col("_src.t").alias("first_ts"),
-        (F.col("_src._head") == 1).alias("_is_head"),
-        (F.col("_last._fi") - F.col("_src._fi") + 1).alias("n_fails"),
-        micros_to_ts(F.col("_last.u"), ntz).alias("last_ts"),
-        (F.col("_src._ns").isNotNull() & (F.col("_src._ns") <= F.col("_src.u") + F.lit(w_us)))
-        .alias("_killed"),
-        F.when(same_run, F.col("_last._nx.s")).alias("_to"))
-    nodes = cut_lineage(nodes)
-    anchors = _reachable(nodes, key)
-    found = nodes.join(anchors, on=[key, "_v"], how="inner")
-    return (found.where(~F.col("_killed") & (F.col("n_fails") >= F.lit(min_fails)))
-            .select(key, "first_ts", "last_ts", F.col("n_fails").cast("bigint").alias("n_fails")))
-
-
-def _reachable(nodes: DataFrame, key: str) -> DataFrame:
-    """Nodes reachable from heads along ``_to`` (pointer doubling).
-
-    J_0 = jump, J_{k+1} = J_k o J_k, keeping only nodes whose 2^k-step
-    successor exists (so the tables shrink every round) until none is left;
-    then, top-down, P_k = P_{k+1} + J_k(P_{k+1}) starting from the heads
-    yields every node at a multiple of 2^k steps from a head, down to k = 0.
-    """
-    jumps = [nodes.where(F.col("_to").isNotNull()).select(key, "_v", "_to")]
-    while jumps[-1].limit(1).count() > 0:
-        a = jumps[-1]
-        b = a.select(key, F.col("_v").alias("_to"), F.col("_to").alias("_to2"))
-        jumps.append(cut_lineage(a.join(b, on=[key, "_to"], how="inner")
-                                 .select(key, "_v", F.col("_to2").alias("_to"))))
-    reached = nodes.where("_is_head").select(key, "_v")
-    for i, j in enumerate(reversed(jumps[:-1])):
-        step = (reached.join(j, on=[key, "_v"], how="inner")
-                .select(key, F.col("_to").alias("_v")))
-        reached = reached.unionByName(step)
-        if i % 4 == 3:
-            reached = cut_lineage(reached)
-    return reached
+        key, CHUNK, F.col("_src.u").alias("us"), F.col("_src.s").cast("bigint").alias("v"),
+        F.when(same_run, F.col("_last._nx.u")).alias("to_us"),
+        F.when(same_run, F.col("_last._nx.s")).cast("bigint").alias("to_v"),
+        (F.col("_src._head") == 1).alias("flag"),
+        # what is reported of an anchor: nothing if a success kills its group
+        F.when(killed, F.lit(0)).otherwise(F.col("_last._fi") - F.col("_src._fi") + 1).cast("bigint").alias("n"),
+        F.col("_last.u").alias("last_us"))
+    anchors = reached(nodes, key, CHUNK, width, 2 * w_us)
+    return (anchors.where(F.col("n") >= F.greatest(F.lit(min_fails), F.lit(1)))
+            .select(key, micros_to_ts(F.col("us"), ntz).alias("first_ts"),
+                    micros_to_ts(F.col("last_us"), ntz).alias("last_ts"), F.col("n").alias("n_fails")))

@@ -41,9 +41,13 @@ def with_halo(df: DataFrame, ts: str, chunk_us: int, lookahead_us: int = 0,
     if it lies within ``lookahead_us`` of c's start, and into chunk c+1 if
     it lies within ``lookback_us`` of c's end.
     """
+    return halo_copies(df.withColumn(US, epoch_micros(df, ts)), chunk_us, lookahead_us, lookback_us)
+
+
+def halo_copies(base: DataFrame, chunk_us: int, lookahead_us: int = 0, lookback_us: int = 0) -> DataFrame:
+    """:func:`with_halo` for rows that already carry ``_us``. A row without time stays in a chunk of its own kind."""
     if chunk_us < max(lookahead_us, lookback_us):
         raise ValueError("chunk width must cover the halo distance")
-    base = df.withColumn(US, epoch_micros(df, ts))
     c = floor_div(F.col(US), chunk_us)
     off = F.col(US) - c * F.lit(chunk_us)
     copies = [F.struct(c.alias("c"), F.lit(True).alias("o"))]

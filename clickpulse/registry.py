@@ -34,6 +34,7 @@ AD_MAX_CLICKS_WIDE = 3                         # beside it, so that counts above
 BITMAP_CAP = 1 << 30                           # reference value
 HLL_LG_K = 12                                  # sketch registers: 2^12, error 1.04 / 64
 HLL_BOUND = 0.065                              # four standard errors
+SKETCH_PANE, SKETCH_WINDOW = "15 minutes", ("1 hour", "15 minutes")
 LOGIN_STRICT = "6 hours"                       # reference: 2 seconds
 LOGIN_RELAXED = "2 hours"                      # reference: 2 seconds
 LOGIN_RELAXED_WIDE = "3 hours"                 # reference: 3 seconds
@@ -105,6 +106,25 @@ def q_uv_hourly_hll(spark, d):
                        (off <= F.greatest(F.lit(1.0), F.col("uv") * HLL_BOUND)).alias("within_bound"))
 
 
+def q_uv_daily_bitmap_merged(spark, d):
+    """Days merged from the bitmaps of their hours."""
+    hours = op.bitmap_store(td.user_behavior(spark, d, pv_only=True), "1 hour", cap=BITMAP_CAP)
+    return op.uv_from_bitmaps(hours, "1 day")
+
+
+def q_uv_sliding_sketches(spark, d):
+    """Sliding windows estimated from the panes' sketches, held against the exact count."""
+    views = td.user_behavior(spark, d, pv_only=True)
+    panes = op.sketch_store(views, SKETCH_PANE, lg_config_k=HLL_LG_K)
+    est = op.uv_from_sketches(panes, *SKETCH_WINDOW, out="estimate").drop("window_end")
+    users = views.select(F.window("ts", *SKETCH_WINDOW).alias("w"), "user_id")
+    exact = users.groupBy(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end")).agg(
+        F.count_distinct("user_id").alias("uv"))
+    off = F.abs(F.col("estimate") - F.col("uv"))
+    return exact.join(est, "window_start").select(
+        "window_start", "window_end", "uv", (off <= F.greatest(F.lit(1.0), F.col("uv") * HLL_BOUND)).alias("within_bound"))
+
+
 def _passed(spark, d, most):
     # the limit comes before the geography: at most ``most`` rows of a user, ad and day meet the join
     return td.with_province(spark, d, op.clicks_passed(td.ad_clicks(spark, d), most))
@@ -197,6 +217,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "uv_hourly_bitmap": q_uv_hourly_bitmap,
     "uv_hourly_running": q_uv_hourly_running,
     "uv_hourly_hll": q_uv_hourly_hll,
+    "uv_daily_bitmap_merged": q_uv_daily_bitmap_merged,
+    "uv_sliding_sketches": q_uv_sliding_sketches,
     "ad_clicks_passed": q_ad_clicks_passed,
     "ad_clicks_passed_wide": q_ad_clicks_passed_wide,
     "ad_blacklist_warnings": q_ad_blacklist_warnings,
@@ -423,6 +445,15 @@ FROM events WHERE event_type = 'view' GROUP BY ALL""",
 SELECT make_timestamp({hour}) AS window_start, make_timestamp({hour} + {H}) AS window_end,
        count(DISTINCT user_id) AS uv, true AS within_bound
 FROM events WHERE event_type = 'view' GROUP BY ALL""",
+        "uv_daily_bitmap_merged": f"""
+SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end,
+       count(DISTINCT {_bitmap_sql('user_id', BITMAP_CAP)}) AS uv
+FROM events WHERE event_type = 'view' GROUP BY ALL""",
+        "uv_sliding_sketches": f"""
+WITH v AS (SELECT user_id, epoch_us(ts) // {H // 4} AS pane FROM events WHERE event_type = 'view'),
+e AS (SELECT user_id, unnest([pane - 3, pane - 2, pane - 1, pane]) * {H // 4} AS ws FROM v)
+SELECT make_timestamp(ws) AS window_start, make_timestamp(ws + {H}) AS window_end,
+       count(DISTINCT user_id) AS uv, true AS within_bound FROM e GROUP BY ALL""",
         "uv_hourly_running": f"""
 WITH v AS (SELECT event_id AS seq, ts, {hour} AS ws, {_bitmap_sql('user_id', 1 << 30)} AS m
            FROM events WHERE event_type = 'view'),

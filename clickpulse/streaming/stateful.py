@@ -15,7 +15,6 @@ behind the watermark.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +24,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import (
     ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues)
 
-from clickpulse.functions.timefn import interval_str, to_micros
+from clickpulse.functions.timefn import to_micros
+from clickpulse.streaming.chunked import fail_sequences_by_chunk, order_pay_by_chunk, order_states_by_chunk
+from clickpulse.streaming.panes import sliding_counts_stream
 from clickpulse.streaming.windows import ASCENDING, with_event_time
 
 DAY_US = 86_400_000_000
@@ -54,7 +55,7 @@ class EventOrderProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getListState("pending", "us long, seq long, kind int")
+        self.pending = handle.getListState("pending", "us long, seq long, kind long")
         self.wake = handle.getValueState("wake", "ms long")
         self.open_state(handle)
 
@@ -186,16 +187,9 @@ def blacklist_stream(clicks: DataFrame, max_clicks: int = 100, delay=ASCENDING,
 
 def ad_counts_by_province_stream(clicks: DataFrame, max_clicks: int = 100, size="1 hour",
                                  slide="5 seconds", delay=ASCENDING) -> DataFrame:
-    """A4 streaming: blacklist state, then sliding province counts, one query."""
+    """A4 streaming: blacklist state, then sliding province counts from one ring of panes per province, one query."""
     passed = blacklist_stream(clicks, max_clicks, delay).where(F.col("tag") == "passed")
-    size_us, slide_us = to_micros(size), to_micros(slide)
-    g = interval_str(math.gcd(size_us, slide_us))
-    panes = (passed.groupBy(F.window("ts", g).alias("_p"), "province")
-             .agg(F.count(F.lit(1)).alias("_c")))
-    w = F.window(F.window_time("_p"), interval_str(size_us), interval_str(slide_us))
-    return (panes.groupBy(w.alias("_w"), "province").agg(F.sum("_c").alias("cnt"))
-            .select("province", F.col("_w.start").alias("window_start"),
-                    F.col("_w.end").alias("window_end"), F.col("cnt").cast("bigint").alias("cnt")))
+    return sliding_counts_stream(passed.select("province", "ts"), "ts", ["province"], size, slide, delay=None)
 
 
 # ---------------------------------------------------------------------- F3
@@ -349,7 +343,10 @@ class OrderStateProcessor(EventOrderProcessor):
         return self.state.get()[0] + self.t_us if self.state.exists() else None
 
 
-def order_states_stream(orders: DataFrame, timeout="15 minutes", delay=ASCENDING) -> DataFrame:
+def order_states_stream(orders: DataFrame, timeout="15 minutes", delay=ASCENDING, chunk=None) -> DataFrame:
+    """F9 streaming; ``chunk`` keys the state by (order, time chunk) of at least the timeout (``streaming.chunked``)."""
+    if chunk is not None:
+        return order_states_by_chunk(orders, ORDER_SCHEMA, timeout, delay, chunk)
     ev = with_event_time(orders, "ts", delay)
     return ev.groupBy("order_id").transformWithStateInPandas(
         OrderStateProcessor(timeout), ORDER_SCHEMA, "Append", "EventTime")
@@ -431,7 +428,10 @@ class FailSequenceProcessor(EventOrderProcessor):
 
 
 def fail_sequence_stream(logins: DataFrame, n: int = 2, within="2 seconds",
-                         consecutive: bool = False, delay="5 seconds") -> DataFrame:
+                         consecutive: bool = False, delay="5 seconds", chunk=None) -> DataFrame:
+    """F4-F6 streaming; ``chunk`` keys the state by (user, time chunk) of at least ``within`` (``streaming.chunked``)."""
+    if chunk is not None:
+        return fail_sequences_by_chunk(logins, PAIRS_SCHEMA, n, within, consecutive, delay, chunk)
     ev = with_event_time(logins, "ts", delay)
     return ev.groupBy("user_id").transformWithStateInPandas(
         FailSequenceProcessor(n, within, consecutive), PAIRS_SCHEMA, "Append", "EventTime")
@@ -504,7 +504,10 @@ class OrderPayCepProcessor(EventOrderProcessor):
         return min(creates) + self.w_us if creates else None
 
 
-def order_pay_cep_stream(orders: DataFrame, within="15 minutes", delay=ASCENDING) -> DataFrame:
+def order_pay_cep_stream(orders: DataFrame, within="15 minutes", delay=ASCENDING, chunk=None) -> DataFrame:
+    """F7/F8 streaming; ``chunk`` keys the state by (order, time chunk) of at least ``within`` (``streaming.chunked``)."""
+    if chunk is not None:
+        return order_pay_by_chunk(orders, CEP_SCHEMA, within, delay, chunk)
     ev = with_event_time(orders, "ts", delay)
     return ev.groupBy("order_id").transformWithStateInPandas(
         OrderPayCepProcessor(within), CEP_SCHEMA, "Append", "EventTime")

@@ -14,8 +14,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickpulse.functions.hashing import bitmap_offset
 from clickpulse.functions.timefn import as_event_time, interval_str, to_micros
 from clickpulse.operators.topn import top_n
+from clickpulse.plans.sliding import floor_div
 
 
 # Watermark delay for ascending timestamps: watermark = max event time - 1 ms.
@@ -80,19 +82,35 @@ def top_n_sink(key_cols: list[str], n: int, sink: Callable[[DataFrame, int], Non
 def interval_join_stream(left: DataFrame, right: DataFrame, on: str, left_ts: str,
                          right_ts: str, lower="-3 seconds", upper="5 seconds",
                          how: str = "inner", left_delay=ASCENDING,
-                         right_delay=ASCENDING) -> DataFrame:
+                         right_delay=ASCENDING, bucket=None) -> DataFrame:
     """Stream-stream interval join; watermarks bound the buffered state.
 
     ``how='full_outer'`` emits unmatched rows once the watermark passes their
     bound (the J2 side outputs).
+
+    ``bucket`` (a width) puts a time bucket into the join key, so that a hot
+    key's state and partners spread over its buckets: a left row has one
+    bucket, a right row goes to each bucket its partners can be in. That is
+    exact for ``inner`` and ``left_outer``; the right side's unmatched rows
+    would come once per copy, so ``full_outer`` by buckets is
+    ``reconcile_stream(chunk=...)``.
     """
     lo, hi = to_micros(lower), to_micros(upper)
     lft = with_event_time(left, left_ts, left_delay).withColumnRenamed(on, "_lk")
     rgt = with_event_time(right, right_ts, right_delay)
-    cond = (F.col("_lk") == F.col(on)) & \
+    cond = F.col("_lk") == F.col(on)
+    if bucket is not None:
+        if how not in ("inner", "left_outer"):
+            raise ValueError(f"bucket= does not apply to how={how!r}")
+        b = max(to_micros(bucket), 1)
+        lft = lft.withColumn("_lb", floor_div(F.unix_micros(left_ts), b))
+        rgt = rgt.withColumn("_rb", F.explode(F.sequence(floor_div(F.unix_micros(right_ts) - F.lit(hi), b),
+                                                         floor_div(F.unix_micros(right_ts) - F.lit(lo), b))))
+        cond = cond & (F.col("_lb") == F.col("_rb"))
+    cond = cond & \
         (F.col(right_ts) >= F.col(left_ts) + F.expr(f"INTERVAL {lo} MICROSECONDS")) & \
         (F.col(right_ts) <= F.col(left_ts) + F.expr(f"INTERVAL {hi} MICROSECONDS"))
-    j = lft.join(rgt, cond, how)
+    j = lft.join(rgt, cond, how).drop("_lb", "_rb")
     return j.withColumn(on, F.coalesce(F.col("_lk"), F.col(on))).drop("_lk")
 
 
@@ -143,12 +161,18 @@ def uv_stream(stream: DataFrame, size="1 hour", user: str = "user_id", ts: str =
 def reconcile_stream(pays: DataFrame, receipts: DataFrame, on: str = "tx_id",
                      pay_ts: str = "pay_ts", receipt_ts: str = "receipt_ts",
                      lower="-3 seconds", upper="5 seconds", pay_delay=ASCENDING,
-                     receipt_delay=ASCENDING) -> DataFrame:
+                     receipt_delay=ASCENDING, chunk=None) -> DataFrame:
     """J2 streaming: full outer interval join, tagged like the batch ``reconcile``.
 
     Unmatched pays / receipts are emitted once the watermark passes the end
-    of their match range (the reference's timers).
+    of their match range (the reference's timers). ``chunk`` keys the state
+    by (key, time chunk) instead, so that a hot key spreads over its chunks;
+    every row is decided in the one chunk it belongs to, where copies of the
+    neighbours' rows stand for both sides (``streaming.chunked``).
     """
+    if chunk is not None:
+        from clickpulse.streaming.chunked import reconcile_by_chunk
+        return reconcile_by_chunk(pays, receipts, on, pay_ts, receipt_ts, lower, upper, pay_delay, receipt_delay, chunk)
     j = interval_join_stream(pays.select(on, pay_ts), receipts.select(on, receipt_ts), on,
                              pay_ts, receipt_ts, lower, upper, "full_outer",
                              pay_delay, receipt_delay)
@@ -232,3 +256,26 @@ def read_window_counts(spark, path: str, keys: list[str], out: str = "cnt") -> D
     final once the stream's watermark has passed its end."""
     return (spark.read.parquet(path).groupBy(*keys, "window_start", "window_end")
             .agg(F.sum(out).cast("bigint").alias(out)))
+
+
+def bitmap_store_stream(stream: DataFrame, size="1 hour", cap: int = 1 << 30, user: str = "user_id",
+                        ts: str = "ts", delay=ASCENDING) -> DataFrame:
+    """A7 streaming: the rows of ``operators.bitmap_store``, a window's once the watermark passes its end.
+
+    Written to a file sink, the parts of any number of streams and batches
+    are one store: ``operators.uv_from_bitmaps`` merges them.
+    """
+    ev = with_event_time(stream.select(bitmap_offset(F.col(user), cap).alias("_off"), ts), ts, delay)
+    agg = (ev.where(F.col("_off").isNotNull())
+           .groupBy(F.window(ts, interval_str(to_micros(size))).alias("_w"), F.bitmap_bucket_number("_off").alias("bucket"))
+           .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_off")).alias("bitmap")))
+    return agg.select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), "bucket", "bitmap")
+
+
+def sketch_store_stream(stream: DataFrame, pane="5 minutes", user: str = "user_id", ts: str = "ts", delay=ASCENDING,
+                        lg_config_k: int = 12) -> DataFrame:
+    """A9 streaming: one HLL sketch per pane, once the watermark passes its end (``operators.uv_from_sketches``)."""
+    ev = with_event_time(stream.select(user, ts), ts, delay)
+    agg = (ev.groupBy(F.window(ts, interval_str(to_micros(pane))).alias("_w"))
+           .agg(F.hll_sketch_agg(user, lg_config_k).alias("sketch")))
+    return agg.select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), "sketch")
