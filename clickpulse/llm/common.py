@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,3 +37,28 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = shared_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def shielded(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """An operator on rows whose working columns, all named ``__...``, cannot meet columns of its input.
+
+    Input columns named so go through under other names and get their own
+    back in the result; without such columns nothing changes.
+    """
+    @wraps(operator)
+    def run(docs: DataFrame, *args, **named) -> DataFrame:
+        taken = {c.lower() for c in docs.columns}
+        other: dict[str, str] = {}
+        for c in docs.columns:
+            if c.startswith("__"):
+                name = "kept" + c
+                while name.lower() in taken:
+                    name = "kept_" + name
+                taken.add(name.lower())
+                other[c] = name
+        if not other:
+            return operator(docs, *args, **named)
+        new = lambda v: other.get(v, v) if isinstance(v, str) else v
+        out = operator(docs.withColumnsRenamed(other), *map(new, args), **{k: new(v) for k, v in named.items()})
+        return out.withColumnsRenamed({name: c for c, name in other.items()})
+    return run

@@ -20,8 +20,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import _parse_datatype_string
 
-from clickpulse.llm.common import without
+from clickpulse.llm.common import shielded, without
 
 #: Alignment scores; an item's own score is MATCH times its words.
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -211,6 +213,7 @@ def _matches(docs: DataFrame, items: Items, item_type: str, text_col: str, thres
     texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     seeds = choose_seeds(items, count_words(texts, items), threshold)
     shared = docs.sparkSession.sparkContext.broadcast((items, seeds))
+    id_kind = _arrow_type(item_type)
 
     @F.arrow_udf(f"array<struct<item_id:{item_type},score:double,first_word:bigint,last_word:bigint>>")
     def match(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -223,7 +226,7 @@ def _matches(docs: DataFrame, items: Items, item_type: str, text_col: str, thres
                 hits = find_items(items.numbers(t.as_py()), items, seeds, threshold, scratch)
                 out.append([{"item_id": items.ids[k], "score": s, "first_word": x, "last_word": y}
                             for k, s, x, y in hits])
-            kind = kind or pa.list_(pa.struct([("item_id", _arrow_type(item_type)), ("score", pa.float64()),
+            kind = kind or pa.list_(pa.struct([("item_id", id_kind), ("score", pa.float64()),
                                                ("first_word", pa.int64()), ("last_word", pa.int64())]))
             yield pa.array(out, kind)
 
@@ -231,7 +234,8 @@ def _matches(docs: DataFrame, items: Items, item_type: str, text_col: str, thres
 
 
 def _arrow_type(name: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[name]
+    """The Arrow type of a Spark type's name (on the driver)."""
+    return to_arrow_type(_parse_datatype_string(name))
 
 
 def contaminated_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -257,6 +261,7 @@ def contaminated_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "
     return docs.sparkSession.createDataFrame([], schema) if out is None else out
 
 
+@shielded
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                   item_text: str = "text", threshold: float = THRESHOLD, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` without the rows in which a test item is found (no shuffle of the texts)."""

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickpulse.llm.common import WHITE, without
+from clickpulse.llm.common import WHITE, shielded, without
 
 #: Bits per row aimed for, and the largest filter that is broadcast (2^30 bits
 #: = 128 MiB): the bound of the broadcast, whatever the input size.
@@ -62,6 +62,7 @@ def repeated_filter(keys: DataFrame, key: str, bits: int) -> np.ndarray:
     return bitset
 
 
+@shielded
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 max_filter_bits: int = MAX_FILTER_BITS) -> DataFrame:
     """Every row of ``docs`` plus ``keep_id, group_size, kept, text_sha256``.
@@ -70,7 +71,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     smallest id of a group stays (``kept``). Defined edge cases: a null text
     equals the empty text; null ids sort last and such a row stays only if all
     ids of its group are null; rows repeating the smallest id: exactly one of
-    them stays (the others are dropped copies); an empty table gives an empty
+    them stays, the first by the hash of all columns (the others are dropped copies);
+    a very long text is only hashed; an empty table gives an empty
     result; input columns named like an output column are replaced.
     """
     spark = docs.sparkSession
@@ -98,7 +100,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     "text_sha256"))
 
     # rows that share key and id are numbered; (key, id) spreads a hot key over all tasks
-    w = Window.partitionBy("text_sha256", id_col).orderBy(F.lit(1))
+    w = Window.partitionBy("text_sha256", id_col).orderBy(F.xxhash64(*cols))
     many = asked.where("__maybe").withColumn("__copy", F.row_number().over(w))
     groups = many.groupBy("text_sha256").agg(
         F.min(id_col).alias("__keep"), F.count(F.lit(1)).alias("__size"))

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickpulse.llm.common import materialize, without
+from clickpulse.llm.common import materialize, shielded, without
 
 #: A block is template if at least this many distinct pages of the host have its
 #: slot and this share of them have its text there.
@@ -66,6 +66,7 @@ CLOSES = {      # an opening tag ends the open elements of these names, up to a
 _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*+>?"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)>", re.S)
+_OPEN_MARK = re.compile(r"<[!?]")            # after the last ">" it takes the rest
 _ATTR = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _NAME = re.compile(r"[a-z]+")
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>?", re.I) for t in RAW}
@@ -95,13 +96,16 @@ class Page:
 
     # -- building ------------------------------------------------------
     def _read(self, source: str) -> None:
-        pos, token = 0, _TOKEN
-        while m := token.search(source, pos):
+        # no tag can end after the last ">": a search beyond it would read the rest for every "<" in vain
+        pos, token, last = 0, _TOKEN, source.rfind(">") + 1
+        while pos < last and (m := token.search(source, pos, last)):
             if m.start() > pos:
                 self._add(source[pos:m.start()])
             pos = m.end()
             name = m.group(2)
             if name is None:
+                if pos == last and m.group().startswith("<!--") and not m.group().endswith("-->"):
+                    pos = len(source)               # an open comment takes the rest
                 continue
             name = name.lower()
             if m.group(1):
@@ -112,7 +116,9 @@ class Page:
                 end = _RAW_END[name].search(source, pos)
                 self._close(name)
                 pos = end.end() if end else len(source)
-        self._add(source[pos:])
+        rest = source[pos:]
+        mark = _OPEN_MARK.search(rest)
+        self._add(rest[:mark.start()] if mark else rest)
         self._flush()
 
     def _add(self, text: str) -> None:
@@ -380,6 +386,7 @@ def induce_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "htm
             .select("host", shape_hash("shape").alias("shape_hash"), "template"))
 
 
+@shielded
 def main_text(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Every row of ``pages`` plus ``text`` (empty if none) and ``n_chars`` (its code points).
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickpulse.llm.common import without
+from clickpulse.llm.common import shielded, without
 
 HIDDEN = 8
 #: Bytes per segment; the recurrent states start anew at each segment.
@@ -204,15 +204,24 @@ def train(texts: list[bytes], langs: list[str], steps: int = TRAIN_STEPS, seed:
 
 def training_rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str, learn,
                   per_lang: int = ROWS_PER_LANG) -> tuple[list[bytes], list[str]]:
-    """At most ``per_lang`` texts of each language, chosen by a hash of the text."""
-    w = Window.partitionBy("lang").orderBy("h", "text")
-    got = (docs.where(learn).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-           .where("lang IS NOT NULL AND length(text) BETWEEN 1 AND %d" % MAX_TRAIN_CHARS)
-           .withColumn("h", F.xxhash64("text")).withColumn("k", F.row_number().over(w))
-           .where(F.col("k") <= per_lang).orderBy("lang", "k").select("text", "lang").toArrow())
+    """At most ``per_lang`` texts of each language, those with the smallest hash; equal texts count once.
+
+    The hashes are ranked alone; the texts are then fetched by the chosen
+    ones, at most ``per_lang`` a language, so no text is shuffled to rank it.
+    """
+    w = Window.partitionBy("lang").orderBy("h")
+    rows = (docs.where(learn).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+            .where("lang IS NOT NULL AND length(text) BETWEEN 1 AND %d" % MAX_TRAIN_CHARS)
+            .withColumn("h", F.xxhash64("text")))
+    # equal hashes are one row: a text with many copies is combined before the exchange
+    chosen = (rows.groupBy("lang", "h").agg(F.lit(1).alias("one")).withColumn("k", F.row_number().over(w))
+              .where(F.col("k") <= per_lang).select("lang", "h", "k"))
+    got = (rows.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "k").agg(F.min("text").alias("text"))
+           .orderBy("lang", "k").select("text", "lang").toArrow())
     return [t.encode() for t in got.column("text").to_pylist()], got.column("lang").to_pylist()
 
 
+@shielded
 def identify(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
     """Every row of ``docs`` plus ``lang_pred, score``.
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from clickpulse.llm.common import WHITE, materialize, without
+from clickpulse.llm.common import WHITE, materialize, shielded, without
 
 #: Similarity threshold P / Q.
 P, Q = 4, 5
@@ -178,6 +178,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return out.groupBy("id", "hash").agg(F.sort_array(F.collect_set("line_no")).alias("removed"))
 
 
+@shielded
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every row of ``docs``, its text without the removed lines, plus ``n_lines, removed_lines``.
 

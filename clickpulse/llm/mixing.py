@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickpulse.llm.common import without
+from clickpulse.llm.common import shielded, without
 
 #: Rows per block, and the largest number of slots in a period (bounds the schedule).
 BLOCK_ROWS = 64
@@ -120,6 +120,7 @@ def _rank(docs: DataFrame, klass: str, order: str, n_rows: int) -> DataFrame:
             .withColumn("__rank", F.col("__before") + F.col("__i")).drop("__k", "__b", "__i", "__before", "__bucket"))
 
 
+@shielded
 def mix_sources(docs: DataFrame, weights: dict[str, float], id_col: str = "doc_id", source_col: str = "source",
                 block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Every row of ``docs`` plus ``mix_class, mix_phase, mix_block, mix_slot, mix_position``.

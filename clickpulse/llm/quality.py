@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from clickpulse.llm.common import without
+from clickpulse.llm.common import shielded, without
 
 #: Bounded sample of labelled rows: this many of each class, those with the smallest hash of the id.
 CLASS_ROWS = 4000
@@ -279,6 +279,7 @@ def train_on(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id",
     return train(x, rows.column("y").to_numpy().astype(float), sizes.get(1, 0) / max(1, sum(sizes.values())))
 
 
+@shielded
 def quality(docs: DataFrame, model: Model | None, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
     """Every row of ``docs`` plus ``score`` (0 to 1) and ``predicted`` (1 from ``threshold`` on).
 

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickpulse.llm.common import materialize
+from clickpulse.llm.common import materialize, shielded
 from clickpulse.llm.components import connected_components
 
 SEED = 42
@@ -163,6 +163,7 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "component", "component_id")
 
 
+@shielded
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   size: int = 3, max_bits: int = 3) -> DataFrame:
     """``docs`` with one row of each SimHash group: the one with the smallest id.

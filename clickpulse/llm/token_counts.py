@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickpulse.llm.common import without
+from clickpulse.llm.common import shielded, without
 
 #: Bytes encoded by one library call, and the part size of long texts (characters).
 BATCH_BYTES = 256 * 1024
@@ -141,6 +141,7 @@ def token_count_udf(path: str) -> Callable:
     return count
 
 
+@shielded
 def token_counts(docs: DataFrame, path: str, text_col: str = "text", limit: int = 4096) -> DataFrame:
     """Every row of ``docs`` plus ``n_bytes, n_tokens, over_limit``.
 

@@ -22,7 +22,7 @@ import zstandard as zstd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickpulse.llm.common import without
+from clickpulse.llm.common import shielded, without
 
 #: Bytes per window (cut at a space) and compression level.
 WINDOW = 128
@@ -195,6 +195,7 @@ def train_on(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id",
                  shares.get(1, 0) / max(1, sum(shares.values())))
 
 
+@shielded
 def toxicity(docs: DataFrame, model: Model | None, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
     """Every row of ``docs`` plus ``score`` (0 to 1) and ``predicted`` (1 from ``threshold`` on).
 
