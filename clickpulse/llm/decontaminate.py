@@ -15,6 +15,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +33,12 @@ THRESHOLD = 0.5
 #: Items are sent to the tasks in blocks of at most this many characters; a
 #: larger test set takes one pass over the texts per block.
 BLOCK_CHARS = 16 << 20
-_WORD = re.compile(r"\w+")
+_GAP = re.compile(r"[^\w\s]+")          # with white space, what stands between words
 
 
 def words(text: str | None) -> list[str]:
-    return _WORD.findall(text.lower()) if text else []
+    """The ``\\w+`` of the lower-cased text: cut at white space once the rest is white space, the faster way."""
+    return _GAP.sub(" ", text.lower()).split() if text else []
 
 
 @dataclass
@@ -60,8 +62,8 @@ class Items:
         return cls(ids, vocab, texts, [np.unique(a, return_counts=True) for a in texts])
 
     def numbers(self, text: str | None) -> np.ndarray:
-        get = self.vocab.get
-        return np.array([get(w, 0) for w in words(text)], np.int64)
+        found = words(text)
+        return np.fromiter(map(self.vocab.get, found, repeat(0)), np.int64, len(found))
 
 
 @dataclass
@@ -86,10 +88,10 @@ def count_words(texts: DataFrame, items: Items) -> np.ndarray:
     """Number of training texts that hold each word; at most one number per word comes back."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(len(items.vocab) + 1, np.int64)
+        known, number = frozenset(items.vocab), items.vocab.__getitem__
         for b in batches:
             for t in b.column(0):
-                held[np.unique(items.numbers(t.as_py()))] += 1
-        held[0] = 0
+                held[list(map(number, known.intersection(words(t.as_py()))))] += 1
         at = np.flatnonzero(held)
         yield pa.RecordBatch.from_pydict({"w": pa.array(at, pa.int64()), "n": pa.array(held[at], pa.int64())})
 
