@@ -24,8 +24,9 @@ TOKENIZER = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
 
 
-#: Target weights of the registered mix; ``*`` are all other sources together.
-MIX_WEIGHTS = {"src0": 20.0, "src1": 10.0, "src2": 10.0, "src3": 5.0, "src4": 5.0, "src5": 2.5, "*": 47.5}
+#: Target weights of the registered mix, in percent: each source has its own; ``*`` are sources beyond these.
+MIX_WEIGHTS = {"src0": 20.0, "src1": 10.0, "src2": 10.0, "src3": 5.0, "src4": 5.0, "src5": 2.5,
+               **{f"src{k}": 3.25 for k in range(6, 20)}, "*": 2.0}
 MIX_BLOCK_ROWS = 64
 
 
