@@ -22,6 +22,11 @@ from pyspark.sql import types as T
 
 from clickpulse.functions.timefn import millis_to_ts, seconds_to_ts
 
+#: The table of file blocks is broadcast up to this size; a row of it, hashed, takes about so many
+#: bytes. 128 MiB are 1.3 million blocks: 160 TB in blocks of 128 MB.
+BLOCKS_BYTES = 128 << 20
+BLOCK_BYTES = 100
+
 
 def _raw_csv(spark: SparkSession, path: str, names: list[str], stream: bool) -> DataFrame:
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
@@ -33,17 +38,35 @@ def _raw_csv(spark: SparkSession, path: str, names: list[str], stream: bool) ->
 def _with_seq(raw: DataFrame) -> DataFrame:
     """Number the lines over all files: a file block's first number comes from
     the line counts of the blocks before it (one row per block), a line's from
-    its place in the block."""
+    its place in the block.
+
+    A block's rows have consecutive ids, so its lines find it by a hash of path
+    and start and by lying within its ids (two blocks may share a hash). The
+    block table holds four numbers a row, no paths; it is sent to every task
+    while that stays under ``BLOCKS_BYTES``, so the lines are not shuffled. The
+    window below orders the blocks, one row each, in one task.
+    """
     rows = raw.select("*", F.col("_metadata.file_path").alias("_file"),
-                      F.col("_metadata.file_block_start").alias("_block"),
+                      F.col("_metadata.file_block_start").alias("_start"),
                       F.monotonically_increasing_id().alias("_row"))
-    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = (rows.groupBy("_file", "_block")
+    before = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = (rows.groupBy("_file", "_start")
               .agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
-              .select("_file", "_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
-    return (rows.join(blocks, ["_file", "_block"])
-            .withColumn("seq", F.col("_start") + F.col("_row") - F.col("_first"))
-            .drop("_file", "_block", "_row", "_first", "_start"))
+              .select(F.xxhash64("_file", "_start").alias("_block"), "_first", "_n",
+                      F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_lines")))
+    if _most_blocks(raw) * BLOCK_BYTES <= BLOCKS_BYTES:
+        blocks = F.broadcast(blocks)
+    place = F.col("_row") - F.col("_first")
+    return (rows.withColumn("_block", F.xxhash64("_file", "_start"))
+            .join(blocks, "_block").where((place >= 0) & (place < F.col("_n")))
+            .withColumn("seq", F.col("_lines") + place)
+            .drop("_file", "_start", "_row", "_block", "_first", "_n", "_lines"))
+
+
+def _most_blocks(raw: DataFrame) -> int:
+    """An upper bound of the scan's file blocks, from its plan alone: a block
+    either ends its file or fills a partition."""
+    return len(raw.inputFiles()) + raw.rdd.getNumPartitions()
 
 
 def _long(c: str):

@@ -123,6 +123,28 @@ def test_seq_follows_paths_and_lines_however_files_are_packed(spark):
     assert [r.url for r in got] == ["/a", *[f"/{k}" for k in range(20)]]
 
 
+def test_seq_beyond_the_broadcast_bound(spark, monkeypatch):
+    """Lines are numbered alike whether their block table is broadcast or too large for that."""
+    from clickpulse.sources import read_logins, readers
+    folder = tempfile.mkdtemp(prefix="clickpulse-seq-")
+    for k in range(5):
+        _write(folder, f"{k}.csv", [f"{100 * k + i},ip,fail,100" for i in range(40)])
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    # the threshold keeps Spark from broadcasting by its own estimate
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sent = read_logins(spark, folder)
+        assert "BroadcastHashJoin" in plan(sent) and "SortMergeJoin" not in plan(sent)
+        want = [(r.seq, r.user_id) for r in sent.orderBy("seq").collect()]
+        monkeypatch.setattr(readers, "BLOCKS_BYTES", 0)
+        dealt = read_logins(spark, folder)
+        assert "SortMergeJoin" in plan(dealt)
+        assert [(r.seq, r.user_id) for r in dealt.orderBy("seq").collect()] == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert [s for s, _ in want] == list(range(200))
+
+
 def test_reconcile_one_to_one(spark):
     at = lambda s: f"timestamp_ntz'2024-01-01 00:00:{s:02d}'"
     pays = spark.sql(f"SELECT * FROM VALUES ('a', {at(10)}), ('a', {at(12)}), ('b', {at(10)}) AS t(tx_id, pay_ts)")
