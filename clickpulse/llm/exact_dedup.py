@@ -1,10 +1,14 @@
 """Exact deduplication with a two-pass Bloom filter.
 
-Pass 1 turns every text into a SHA-256 key and counts the key's Bloom slots;
-slots hit at least twice form the filter of *possibly repeated* keys. Pass 2
-asks the filter at each row: rows it rejects are certainly unique and go
-straight to the output, only the others are shuffled by key and grouped. A
-false positive costs a shuffle of that row, never a wrong result.
+Pass 1 turns every text into a SHA-256 key, counts 64-bit hashes of the keys
+and sets the Bloom slots of those that occur at least twice: the filter of
+*possibly repeated* keys. Pass 2 asks the filter at each row: rows it rejects
+are certainly unique and go straight to the output, only the others are
+shuffled by key and grouped. A false positive costs a shuffle of that row,
+never a wrong result.
+
+The hashes are counted by a shuffle of one number a row, so pass 1 has no size
+limit; the filter holds one entry per repeated text, not per row.
 """
 
 from __future__ import annotations
@@ -14,11 +18,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickpulse.llm.common import WHITE, shielded, without
+from clickpulse.llm.common import WHITE, materialize, shielded, without
 
-#: Bits per row aimed for, and the largest filter that is broadcast (2^30 bits
-#: = 128 MiB): the bound of the broadcast, whatever the input size.
-BITS_PER_ROW = 16
+#: Bits per repeated text aimed for, and the largest filter that is broadcast
+#: (2^30 bits = 128 MiB): the bound of the broadcast, whatever the input size.
+BITS_PER_ENTRY = 16
 MAX_FILTER_BITS = 1 << 30
 _SEEDS = (11, 23)
 
@@ -32,27 +36,36 @@ def text_key(text: Column) -> Column:
     return F.sha2(normalized(text), 256)
 
 
-def _slots(key: Column, bits: int) -> list[Column]:
-    return [F.pmod(F.xxhash64(key, F.lit(s)), F.lit(bits)) for s in _SEEDS]
+def _hash(key: Column) -> Column:
+    return F.xxhash64(key)
 
 
-def filter_bits(rows: int, max_bits: int = MAX_FILTER_BITS) -> int:
+def _slots(hashed: Column, bits: int) -> list[Column]:
+    return [F.pmod(F.xxhash64(hashed, F.lit(s)), F.lit(bits)) for s in _SEEDS]
+
+
+def filter_bits(entries: int, max_bits: int = MAX_FILTER_BITS) -> int:
     """A power of two of at least 2^16 and at most ``max_bits`` bits."""
     want = 1 << 16
-    while want < rows * BITS_PER_ROW and want < max_bits:
+    while want < entries * BITS_PER_ENTRY and want < max_bits:
         want <<= 1
     return min(want, max_bits)
 
 
-def repeated_filter(keys: DataFrame, key: str, bits: int) -> np.ndarray:
-    """Bitset of the slots that two or more rows of ``keys`` fall into.
+def repeated_hashes(keys: DataFrame, key: str) -> DataFrame:
+    """(h): the hashes that two or more rows of ``keys`` share, counted with map-side partial sums."""
+    return (keys.groupBy(_hash(F.col(key)).alias("h")).agg(F.count(F.lit(1)).alias("n"))
+            .where("n >= 2").select("h"))
+
+
+def bloom_filter(hashes: DataFrame, bits: int) -> np.ndarray:
+    """Bitset of the slots of ``hashes`` (h).
 
-    Slots are counted with map-side partial sums and packed into 64-bit words
-    by Spark; the driver receives at most ``bits / 64`` words.
+    Spark packs the slots into 64-bit words; the driver receives at most
+    ``bits / 64`` of them.
     """
-    slots = keys.select(F.explode(F.array(*_slots(F.col(key), bits))).alias("s"))
-    words = (slots.groupBy("s").agg(F.count(F.lit(1)).alias("n")).where("n >= 2")
-             .groupBy(F.shiftright("s", 6).alias("w"))
+    slots = hashes.select(F.explode(F.array(*_slots(F.col("h"), bits))).alias("s"))
+    words = (slots.groupBy(F.shiftright("s", 6).alias("w"))
              .agg(F.expr("bit_or(shiftleft(1L, cast(s & 63 as int)))").alias("b")))
     got = words.toArrow()
     bitset = np.zeros(bits // 64, dtype=np.uint64)
@@ -79,8 +92,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     docs = without(docs, "keep_id", "group_size", "kept", "text_sha256")
     cols = docs.columns
     keyed = docs.withColumn("text_sha256", text_key(F.col(text_col)))
-    bits = filter_bits(docs.count(), max_filter_bits)
-    bitset = spark.sparkContext.broadcast(repeated_filter(keyed, "text_sha256", bits))
+    hashes = materialize(repeated_hashes(keyed, "text_sha256"), "repeated-hashes")
+    bits = filter_bits(hashes.count(), max_filter_bits)
+    bitset = spark.sparkContext.broadcast(bloom_filter(hashes, bits))
 
     @F.pandas_udf("boolean")
     def possibly_repeated(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -91,7 +105,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     & np.uint64(1)).astype(bool)
         return pd.Series(hit)
 
-    asked = keyed.withColumn("__maybe", possibly_repeated(*_slots(F.col("text_sha256"), bits)))
+    asked = keyed.withColumn("__maybe", possibly_repeated(*_slots(_hash(F.col("text_sha256")), bits)))
     id_type = docs.schema[id_col].dataType
     out = [F.col(f"d.`{c}`") for c in cols]
     once = (asked.where("NOT __maybe").alias("d")
