@@ -1,12 +1,17 @@
-"""Benchmark decontamination: rare words as seeds, then Smith-Waterman alignment.
-
-An alignment that reaches the threshold matches at least a known number of an
-item's words, so of enough positions of the item one is sure to be matched.
-The words of the test items are counted over all training texts, and just
-enough positions with the rarest words become seeds: no passage that reaches
-the threshold is missed, however it is edited. Seeds join passages of the
-training texts to items; passages that two upper bounds of the score leave
-over are aligned with the item word by word and scored against its length.
+"""Benchmark decontamination: rare n-grams as seeds, then Smith-Waterman alignment.
+
+The n-grams are pairs of words with at most one edit between them: one or two
+places apart in the item, one or two in the text. An alignment of M matched
+words and E edits scores 2 M - E; if that is at least 2 t m (share t of an item
+of m words), then E / 2 <= M - t m. At most E / 2 of the M - 1 steps from a
+matched word to the next have two edits or more, so at least t m - 1 steps are
+such pairs, each from another position of the item. The pairs of all items are
+counted over all training texts, and just enough positions with the rarest
+pairs become seeds that one of them is sure to be met: no passage that reaches
+the threshold is missed, however it is edited. Items too short for a sure pair
+are sought by their words. Seeds join passages of the training texts to items;
+passages that two upper bounds of the score leave over are aligned with the
+item word by word and scored against its length.
 """
 
 from __future__ import annotations
@@ -26,7 +31,8 @@ from pyspark.sql.types import _parse_datatype_string
 
 from clickpulse.llm.common import shielded, without
 
-#: Alignment scores; an item's own score is MATCH times its words.
+#: Alignment scores; an item's own score is MATCH times its words. The seeds
+#: rest on a match being worth two edits.
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Share of the item's own score from which a passage is contaminated.
 THRESHOLD = 0.5
@@ -66,56 +72,100 @@ class Items:
         return np.fromiter(map(self.vocab.get, found, repeat(0)), np.int64, len(found))
 
 
+class Grams:
+    """Numbered n-grams: pairs of words, and single words (a pair with 0)."""
+
+    def __init__(self, keys: np.ndarray, base: int):
+        self.keys, self.base = np.unique(keys), base
+        first, second = np.divmod(self.keys, base)
+        self.alone, self.starts, self.ends = np.zeros((3, base), bool)
+        self.alone[first[second == 0]] = True
+        self.starts[first[second > 0]] = True
+        self.ends[second[second > 0]] = True
+
+    def find(self, a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(number, place of the first word) of every n-gram in a text, pairs one or two places apart."""
+        places = [np.flatnonzero(self.alone[a])]
+        keys = [a[places[0]] * self.base]
+        for step in (1, 2):
+            at = np.flatnonzero(self.starts[a[:-step]] & self.ends[a[step:]])
+            places.append(at)
+            keys.append(a[at] * self.base + a[at + step])
+        key, place = np.concatenate(keys), np.concatenate(places)
+        number = np.searchsorted(self.keys, key)
+        held = np.flatnonzero(number < len(self.keys))
+        held = held[self.keys[number[held]] == key[held]]
+        return number[held], place[held]
+
+
 @dataclass
 class Seeds:
-    """Seeds of word w: item ``item[k]`` at position ``at[k]`` for k in ``first[w]:first[w + 1]``."""
+    """Seeds of n-gram g: item ``item[k]`` at position ``at[k]`` for k in ``first[g]:first[g + 1]``."""
+    grams: Grams
     first: np.ndarray
     item: np.ndarray
     at: np.ndarray
 
     def hits(self, a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(item, position in the text minus position in the item) of every seed in the text, by item."""
-        size = self.first[a + 1] - self.first[a]
-        where = np.flatnonzero(size)
-        size = size[where]
-        k = np.repeat(self.first[a[where]] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        gram, where = self.grams.find(a)
+        size = self.first[gram + 1] - self.first[gram]
+        k = np.repeat(self.first[gram] - np.cumsum(size) + size, size) + np.arange(size.sum())
         item, diagonal = self.item[k], np.repeat(where, size) - self.at[k]
         order = np.lexsort((diagonal, item))
         return item[order], diagonal[order]
 
 
-def count_words(texts: DataFrame, items: Items) -> np.ndarray:
-    """Number of training texts that hold each word; at most one number per word comes back."""
+def item_grams(items: Items, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(key, item, position, how many positions of the item are seeds) of every n-gram an item can be sought by."""
+    base = len(items.vocab) + 1
+    found = [np.zeros((4, 0), np.int64)]
+    for k, a in enumerate(items.texts):
+        m = len(a)
+        sure = math.ceil(threshold * m - 1e-9) - 1
+        if sure < 1:
+            parts = [(a * base, np.arange(m), m)]
+        else:               # of m - 1 first positions, so many that fewer than ``sure`` are left
+            parts = [(a[:-step] * base + a[step:], np.arange(m - step), m - sure) for step in (1, 2)]
+        found += [np.stack([key, np.full(len(at), k), at, np.full(len(at), n)]) for key, at, n in parts]
+    return tuple(np.concatenate(found, axis=1))
+
+
+def count_grams(texts: DataFrame, items: Items, grams: Grams) -> np.ndarray:
+    """Number of training texts that hold each n-gram; at most one number per n-gram comes back."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros(len(items.vocab) + 1, np.int64)
-        known, number = frozenset(items.vocab), items.vocab.__getitem__
+        held = np.zeros(len(grams.keys), np.int64)
         for b in batches:
             for t in b.column(0):
-                held[list(map(number, known.intersection(words(t.as_py()))))] += 1
+                held[np.unique(grams.find(items.numbers(t.as_py()))[0])] += 1
         at = np.flatnonzero(held)
-        yield pa.RecordBatch.from_pydict({"w": pa.array(at, pa.int64()), "n": pa.array(held[at], pa.int64())})
+        yield pa.RecordBatch.from_pydict({"g": pa.array(at, pa.int64()), "n": pa.array(held[at], pa.int64())})
 
-    rows = texts.mapInArrow(count, "w bigint, n bigint").groupBy("w").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(len(items.vocab) + 1, np.int64)
-    counts[rows.column("w").to_numpy()] = rows.column("n").to_numpy()
+    rows = texts.mapInArrow(count, "g bigint, n bigint").groupBy("g").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(len(grams.keys), np.int64)
+    counts[rows.column("g").to_numpy()] = rows.column("n").to_numpy()
     return counts
 
 
-def choose_seeds(items: Items, counts: np.ndarray, threshold: float) -> Seeds:
-    """The rarest positions of every item, one more than a passage at the threshold can leave unmatched.
+def choose_seeds(texts: DataFrame, items: Items, threshold: float) -> Seeds:
+    """The n-grams at the rarest positions of every item, as many as no passage at the threshold can miss.
 
-    Positions whose word no training text holds are counted but need no seed.
+    A position is as frequent as its n-grams together. N-grams that no
+    training text holds take part in the choice but need no seed.
     """
-    found = []
-    for k, a in enumerate(items.texts):
-        matched = max(1, math.ceil(threshold * len(a)))
-        rarest = np.argsort(counts[a], kind="stable")[:max(0, len(a) - matched + 1)]
-        rarest = rarest[counts[a[rarest]] > 0]
-        found.append(np.stack([a[rarest], np.full(len(rarest), k), rarest]))
-    word, item, at = np.concatenate(found, axis=1)
-    order = np.argsort(word, kind="stable")
-    first = np.searchsorted(word[order], np.arange(len(items.vocab) + 2))
-    return Seeds(first, item[order], at[order])
+    key, item, at, most = item_grams(items, threshold)
+    grams = Grams(key, len(items.vocab) + 1)
+    counts = count_grams(texts, items, grams)[np.searchsorted(grams.keys, key)]
+    places, of = np.unique(item * (at.max() + 1) + at, return_inverse=True)
+    weight, owner = np.bincount(of, weights=counts), places // (at.max() + 1)
+    order = np.lexsort((weight, owner))                         # an item's positions, rarest first
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order)) - np.searchsorted(owner, owner)
+    seed = np.flatnonzero((rank[of] < most) & (counts > 0))
+    seed = seed[np.argsort(key[seed], kind="stable")]
+    chosen = Grams(key[seed], len(items.vocab) + 1)
+    return Seeds(chosen, np.searchsorted(key[seed], np.append(chosen.keys, np.iinfo(np.int64).max)),
+                 item[seed], at[seed])
 
 
 def bound(gains: np.ndarray) -> int:
@@ -213,7 +263,7 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_chars: int
 def _matches(docs: DataFrame, items: Items, item_type: str, text_col: str, threshold: float):
     """Column of the contaminated items of each text: array<struct<item_id, score, first_word, last_word>>."""
     texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    seeds = choose_seeds(items, count_words(texts, items), threshold)
+    seeds = choose_seeds(texts, items, threshold)
     shared = docs.sparkSession.sparkContext.broadcast((items, seeds))
     id_kind = _arrow_type(item_type)
 

@@ -271,6 +271,37 @@ def test_evenly_edited_copies_are_found(spark):
     assert {(r.doc_id, r.item_id): r.score for r in got} == pytest.approx(want)
 
 
+def test_seeds_leave_few_candidates(spark):
+    """Pairs of texts and items that share a seed, and that every contaminated pair is among them."""
+    docs, bench = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
+    items = next(dc._blocks(bench, "item_id", "text", dc.BLOCK_CHARS))
+    texts = docs.selectExpr("coalesce(text, '') AS t")
+    seeds = dc.choose_seeds(texts, items, dc.THRESHOLD)
+    met = {(r.doc_id, items.ids[k]) for r in docs.select("doc_id", "text").collect()
+           for k in seeds.hits(items.numbers(r.text))[0].tolist()}
+    found = {(r.doc_id, r.item_id) for r in dc.contaminated_passages(docs, bench).collect()}
+    assert found and found <= met
+    assert len(met) < 0.01 * docs.count() * len(items.ids) + len(found)
+
+
+def test_short_items_and_other_thresholds(spark):
+    """Items of one to seven words, sought by words or by pairs, at several thresholds."""
+    rng = random.Random(15)
+    words = vocabulary(rng, 12)
+    items = [(k, prose(rng, words, k % 7 + 1)) for k in range(21)]
+    rows = [(i, prose(rng, words, rng.randint(1, 14))) for i in range(40)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    for threshold in (0.2, 0.5, 0.75, 1.0):
+        want = {}
+        for i, t in rows:
+            for k, q in items:
+                a, b = dc.words(q), dc.words(t)
+                if (s := align_brute(a, b)) >= threshold * dc.MATCH * len(a):
+                    want[i, k] = s / (dc.MATCH * len(a))
+        got = dc.contaminated_passages(documents(spark, rows), bench, threshold=threshold).collect()
+        assert {(r.doc_id, r.item_id): r.score for r in got} == pytest.approx(want)
+
+
 def test_decontamination_edges(spark):
     bench = spark.createDataFrame([(None, "one two three four five six")], "item_id bigint, text string")
     docs = documents(spark, [(1, None), (2, ""), (None, "x one two three four five six"), (3, "x" * 200_000),
