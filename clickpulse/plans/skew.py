@@ -1,4 +1,4 @@
-"""Aggregation and join helpers for skewed keys and bounded dimensions."""
+"""Aggregation helpers for skewed keys."""
 
 from __future__ import annotations
 
@@ -19,21 +19,3 @@ def salted_count(df: DataFrame, keys: list[str], salt_by: str, buckets: int = 8,
     part = (df.groupBy(salt(F.col(salt_by), buckets).alias("_salt"), *keys)
             .agg(F.count(F.lit(1)).alias("_c")))
     return part.groupBy(*keys).agg(F.sum("_c").cast("bigint").alias(out))
-
-
-# Dimensions whose size is fixed by their definition, not by the data volume:
-# TPC-H nation has 25 rows and region 5 at every scale factor.
-BOUNDED_DIMENSIONS = {"nation": 25, "region": 5}
-
-
-def join_bounded(fact: DataFrame, dim: DataFrame, dim_name: str, on, how: str = "inner") -> DataFrame:
-    """Broadcast-join a dimension whose row count is bounded by definition.
-
-    Anything not listed in ``BOUNDED_DIMENSIONS`` is joined without a hint,
-    so the planner (and AQE at run time, against
-    ``spark.sql.adaptive.autoBroadcastJoinThreshold``) picks broadcast only
-    when the measured size allows and falls back to a shuffle join.
-    """
-    if dim_name in BOUNDED_DIMENSIONS:
-        return fact.join(F.broadcast(dim), on=on, how=how)
-    return fact.join(dim, on=on, how=how)

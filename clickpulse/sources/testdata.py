@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpulse.plans.skew import join_bounded
 
 # The four marketing channels named by the reference's generator.
 CHANNELS = ["app store", "wechat", "weibo", "tieba"]
@@ -72,7 +71,7 @@ def with_province(spark, sf_dir, clicks: DataFrame) -> DataFrame:
     cust = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), "c_nationkey")
     nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"),
                                                    F.col("n_name").alias("province"))
-    geo = join_bounded(cust, nation, "nation", on="c_nationkey").select("user_id", "province")
+    geo = cust.join(nation, "c_nationkey").select("user_id", "province")
     return clicks.join(geo, on="user_id", how="inner")
 
 
