@@ -53,8 +53,8 @@ def segments(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         parts.append(t.ljust(n * STEP, b"\0"))
         lens += [STEP] * (n - 1) + [len(t) - (n - 1) * STEP] if n else []
         owner += [k] * n
-    x = np.frombuffer(b"".join(parts), np.uint8).reshape(-1, STEP).T.astype(np.int64)
-    return np.ascontiguousarray(x), np.array(lens, np.int64), np.array(owner, np.int64)
+    x = np.frombuffer(b"".join(parts), np.uint8).reshape(-1, STEP).T     # one byte each; widened block by block
+    return x, np.array(lens, np.int64), np.array(owner, np.int64)
 
 
 def _run(x: np.ndarray, w: np.ndarray, u: np.ndarray, backward: bool) -> np.ndarray:
@@ -102,7 +102,7 @@ def pooled(m: Model, texts: list[bytes], block: int = 1024) -> np.ndarray:
     sums = np.zeros((len(texts), len(m.langs)))
     for a in range(0, x.shape[1], block):
         n = lens[a:a + block]
-        p = position_probabilities(m, np.ascontiguousarray(x[:, a:a + block]))
+        p = position_probabilities(m, np.ascontiguousarray(x[:, a:a + block], np.int64))
         full = p.sum(axis=1, dtype=np.float64)              # [C, S]
         for k in np.flatnonzero(n < STEP):                  # padding has no say
             full[:, k] = p[:, :n[k], k].sum(axis=1)
@@ -167,6 +167,7 @@ def train(texts: list[bytes], langs: list[str], steps: int = TRAIN_STEPS, seed:
                 cut.append(t[a:a + STEP])
                 y.append(names.index(l))
     x, lens, owner = segments(cut)
+    x = np.ascontiguousarray(x, np.int64)
     y = np.array(y)[owner]
     per = [np.flatnonzero(y == k) for k in range(len(names))]
     per = [p for p in per if len(p)]
@@ -227,7 +228,9 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text") -> Da
 
     ``und`` with score 0 if the text is null, empty or has no letter (or the
     model learned nothing). Equal texts get equal results; repeated rows are
-    answered each; input columns named like an output column are replaced.
+    answered each; a very long text is read whole, in blocks of segments; an
+    empty table gives an empty result; input columns named like an output
+    column are replaced.
     """
     docs = without(docs, "lang_pred", "score")
     kind = "struct<lang_pred:string,score:double>"

@@ -180,6 +180,19 @@ def test_fast_states_equal_training_states():
         assert np.allclose(li._run(x, w, u, back), li._forward_pass(x, w, u, back)[0], atol=1e-4)
 
 
+def test_language_of_a_very_long_text_takes_little_memory():
+    import tracemalloc
+    model = li.train([b"abc abd " * 20, b"xyz xyw " * 20] * 4, ["ab", "xy"] * 4)
+    text = b"xyz xyw " * (1 << 18)                  # 2 MB
+    tracemalloc.start()
+    whole = li.pooled(model, [text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert int(whole[0].argmax()) == model.langs.index("xy")
+    blocks = peak - 4 * len(text)                   # the text in segments, and working blocks of fixed size
+    assert blocks < 40 << 20
+
+
 def test_segments_and_pooling_cover_every_byte():
     texts = [b"", b"a" * 5, b"b" * li.STEP, b"c" * (3 * li.STEP + 1)]
     x, lens, owner = li.segments(texts)
