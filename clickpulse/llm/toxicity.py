@@ -201,7 +201,9 @@ def toxicity(docs: DataFrame, model: Model | None, text_col: str = "text", thres
 
     Whole texts are scored, a null text like an empty one (no window saves
     anything). Without a model (a class had no rows) every score is 0. Equal
-    texts get equal scores; input columns named like an output are replaced.
+    texts get equal scores, repeated rows are answered each; a very long text
+    is scored window by window; an empty table gives an empty result; input
+    columns named like an output are replaced.
     """
     docs = without(docs, "score", "predicted")
     shared = docs.sparkSession.sparkContext.broadcast(model)
