@@ -10,6 +10,9 @@ candidates are verified on the words themselves. Before that, every set is
 verified against the earliest set of each prefix word; the sets which that
 decides ask no more, so a large group of near copies does not meet pair by
 pair.
+
+The job runs in steps, each written to the shared folder; the shuffle files
+of a step go when it ends, so no two steps' files are on disk at once.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from clickpulse.llm.common import WHITE, materialize, shielded, without
+from clickpulse.llm.common import WHITE, materialize, shielded, short_shuffles, without
 
 #: Similarity threshold P / Q.
 P, Q = 4, 5
@@ -32,34 +35,37 @@ BUCKETS = 1 << 20
 _CLASSES = 62
 #: The lists of removed lines are sent to every task up to this size.
 BROADCAST_BYTES = 64 << 20
+#: So are the numbers of the sets to verify, as many as this; more are shuffled to meet the sets.
+BROADCAST_SETS = 1 << 20
+#: Sets of this many words have parity bits that say little; their pairs must share ``_SHARED`` prefix words.
+_LONG, _SHARED = 60, 4
 _BREAK = "\n"
 
 
-def _words(text: Column) -> Column:
-    """Words of a text without line feeds that has some, repeats included.
-
-    A text whose words stand one space apart is cut at the spaces, any other
-    one is trimmed and cut by the pattern: the same words, the first way faster.
-    """
+def _spaced(text: Column) -> Column:
+    """``text``, a line that has words, with its words one space apart and nothing around them."""
     odd = F.lit(False)
     for gap in ("\t", "\x0b", "\x0c", "\r", "  "):
         odd = odd | F.contains(text, F.lit(gap))
     odd = odd | F.startswith(text, F.lit(" ")) | F.endswith(text, F.lit(" "))
-    trimmed = F.btrim(text, F.lit(" \t\x0b\x0c\r"))
-    return F.when(odd, F.split(trimmed, WHITE)).otherwise(F.split(text, " "))
+    return F.when(odd, F.btrim(F.regexp_replace(text, WHITE, " "), F.lit(" "))).otherwise(text)
+
 
+def _words(line: Column) -> Column:
+    """Words of a ``_spaced`` line, repeats included."""
+    return F.split(line, " ")
 
-def rarity_table(docs: DataFrame, text_col: str) -> DataFrame:
-    """One row: the frequency class of every word bucket, over all words of all texts."""
-    flat = F.replace(F.col(text_col), F.lit(_BREAK), F.lit(" "))
-    word = docs.select(F.explode(_words(flat)).alias("w")).where("w <> ''")
+
+def rarity_table(sets: DataFrame) -> DataFrame:
+    """One row: the frequency class of every word bucket, over all words of the ``line`` of all sets."""
+    word = sets.select(F.explode(_words(F.col("line"))).alias("w"))
     counts = (word.groupBy(F.xxhash64("w").bitwiseAND(BUCKETS - 1).cast("int").alias("b"))
               .agg(F.count(F.lit(1)).alias("n")).toArrow())
     n = np.zeros(BUCKETS)
     n[counts.column("b").to_numpy()] = counts.column("n").to_numpy()
     top = math.log2(max(2.0, n.max()))
     classes = np.minimum(_CLASSES, np.log2(1 + n) / top * _CLASSES).astype(np.int8)
-    return docs.sparkSession.createDataFrame(pa.table({"classes": pa.array([classes])}))
+    return sets.sparkSession.createDataFrame(pa.table({"classes": pa.array([classes])}))
 
 
 def _keys(sets: DataFrame, rarity: DataFrame) -> DataFrame:
@@ -67,26 +73,32 @@ def _keys(sets: DataFrame, rarity: DataFrame) -> DataFrame:
 
     A key is the frequency class above 57 bits of the word's hash.
     """
-    def key(w: Column) -> Column:
-        h = F.xxhash64(w)
+    def key(h: Column) -> Column:
         # never null, so that Spark sorts plain numbers
         rank = F.get(F.col("__table"), h.bitwiseAND(BUCKETS - 1).cast("int")).cast("bigint")
         return F.coalesce(F.shiftleft(rank, 57).bitwiseOR(F.shiftrightunsigned(h, 7)), F.lit(0))
 
+    hashes = F.transform(_words(F.col("line")), lambda w: F.xxhash64(w))
     return (sets.withColumn("__table", rarity.scalar())
-            .withColumn("k", F.sort_array(F.array_distinct(F.transform(_words(F.col("line")), key)))).drop("__table")
+            .withColumn("k", F.sort_array(F.array_distinct(F.transform(hashes, key)))).drop("__table")
             .withColumn("n", F.coalesce(F.size("k"), F.lit(0))))
 
 
+def _shared(n: str) -> str:
+    """How many prefix words a set of ``n`` words shares with any similar set that has as many or more."""
+    return f"(CASE WHEN {n} >= {_LONG} THEN {_SHARED} ELSE 1 END)"
+
+
 def _alike(a: str, b: str) -> Column:
     """Length, positional and parity filter of two prefix words, for rows ``a`` and ``b`` with n, i, x.
 
     ``x`` has bit j set if an odd number of the set's words fall on j: two
-    sets differ in at least as many words as their ``x`` differ in bits.
+    sets differ in at least as many words as their ``x`` differ in bits. The
+    word may be any of the first ``_shared`` words that the sets have in common.
     """
     need = f"((({a}n + {b}n) * {P} + {P + Q - 1}) div {P + Q})"
     return F.expr(f"{Q} * least({a}n, {b}n) >= {P} * greatest({a}n, {b}n) "
-                  f"AND least({a}n - {a}i, {b}n - {b}i) >= {need} "
+                  f"AND least({a}n - {a}i, {b}n - {b}i) >= {need} - {_shared(f'least({a}n, {b}n)')} + 1 "
                   f"AND bit_count({a}x ^ {b}x) <= {a}n + {b}n - 2 * {need}")
 
 
@@ -105,69 +117,75 @@ def _place(prefix: str = "") -> Column:
                     c("line_no").alias("line_no"))
 
 
-def _asked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The sets (s, place, line) that pairs (a, b) name, dealt by ``s`` once for all that read them."""
-    named = pairs.select(F.explode(F.array("a", "b")).alias("s")).distinct()
-    # a partition count of its own, else Spark drops the exchange and finds the sets anew for every use
-    parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")) + 1
-    return sets.join(named, "s", "left_semi").repartition(parts, "s")
+def _named(sets: DataFrame, few: DataFrame) -> DataFrame:
+    """The rows of ``sets`` whose ``s`` is in the written table ``few``."""
+    return sets.join(F.broadcast(few) if few.count() <= BROADCAST_SETS else few, "s", "left_semi")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(s, line): the later sets of the pairs (a, b) whose Jaccard similarity reaches P / Q."""
-    one = pairs.join(sets.select(F.col("s").alias("a"), F.col("place").alias("pa"), F.col("line").alias("la")), "a")
-    two = one.join(sets.select(F.col("s").alias("b"), F.col("place").alias("pb"), F.col("line").alias("lb")), "b")
-    wa, wb = F.array_distinct(_words(F.col("la"))), F.array_distinct(_words(F.col("lb")))
-    return (two.where((P + Q) * F.size(F.array_intersect(wa, wb)) >= P * (F.size(wa) + F.size(wb)))
-            .select(F.when(F.col("pa") > F.col("pb"), F.col("a")).otherwise(F.col("b")).alias("s"),
-                    F.when(F.col("pa") > F.col("pb"), F.col("la")).otherwise(F.col("lb")).alias("line"))
-            .groupBy("s").agg(F.min("line").alias("line")))
-
-
-def similar_later(sets: DataFrame, rarity: DataFrame) -> DataFrame:
+    """(s): the later sets of the pairs (a, b) whose Jaccard similarity reaches P / Q."""
+    # a partition count of its own, else Spark drops the exchange and finds the sets anew for every use
+    parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")) + 1
+    asked = (_named(sets, materialize(pairs.select(F.explode(F.array("a", "b")).alias("s")).distinct(), "named-sets"))
+             .select("s", "place", "line").repartition(parts, "s"))
+    one = pairs.join(asked.select(F.col("s").alias("a"), F.col("place").alias("pa"), F.col("line").alias("la")), "a")
+    two = one.join(asked.select(F.col("s").alias("b"), F.col("place").alias("pb"), F.col("line").alias("lb")), "b")
+    # the words are bound in a lambda: named twice in a plain filter, they would be cut twice
+    words = F.array(F.struct(F.array_distinct(_words(F.col("la"))).alias("a"),
+                             F.array_distinct(_words(F.col("lb"))).alias("b")))
+    alike = F.exists(words, lambda w: (P + Q) * F.size(F.array_intersect(w["a"], w["b"]))
+                     >= P * (F.size(w["a"]) + F.size(w["b"])))
+    return two.where(alike).select(F.when(F.col("pa") > F.col("pb"), F.col("a")).otherwise(F.col("b")).alias("s"))
+
+
+def similar_later(sets: DataFrame) -> DataFrame:
     """(s): the sets for which an earlier similar set exists; ``sets`` is (s, place, line), one row per line."""
     place_id = F.col("place.id")
     # integer ids order the lines already in the joins; other ids leave that to the verification
     integral = isinstance(sets.schema["place"].dataType["id"].dataType, IntegralType)
     order = F.coalesce(place_id.cast("bigint"), F.lit((1 << 63) - 1)) if integral else F.lit(0).cast("bigint")
-    prefix = F.slice("k", F.lit(1), F.expr(f"n - (({P} * n + {Q - 1}) div {Q}) + 1"))
+    prefix = F.slice("k", F.lit(1), F.expr(f"least(n, n - (({P} * n + {Q - 1}) div {Q}) + {_shared('n')})"))
     # numbers that cannot be null leave the join nothing to filter before the exchange
     parity = F.coalesce(F.aggregate("k", F.lit(0).cast("bigint"),
                                     lambda x, k: x.bitwiseXOR(F.call_function(
                                         "shiftleft", F.lit(1).cast("bigint"), k.bitwiseAND(63).cast("int")))), F.lit(0))
     # 32 bits of a word are enough to meet: a chance meeting only adds a candidate
-    word = F.expr("cast((w & 4294967295) - 2147483648 as int)")
-    entries = (_keys(sets.select("s", order.alias("o"), "line"), rarity)
-               .withColumn("x", parity)        # below the explode: once per set
-               .select("s", "o", "n", "x", F.posexplode(prefix).alias("i", "w"))
-               .select(word.alias("w"), "s", "o", "x", F.expr("shiftleft(cast(n as bigint), 31) | i").alias("ni"))
+    word = F.transform(prefix, lambda k: (k.bitwiseAND(4294967295) - 2147483648).cast("int"))
+    keyed = materialize(_keys(sets.select("s", order.alias("o"), "line"), rarity_table(sets))
+                        .select("s", "o", "n", parity.alias("x"), word.alias("words")), "keyed-sets")
+    entries = (keyed.select("s", "o", "x", "n", F.posexplode("words").alias("i", "w"))
+               .select(*(F.coalesce(c, F.lit(0)).alias(c) for c in ("w", "s", "o", "x")),
+                       F.expr("coalesce(shiftleft(cast(n as bigint), 31) | i, 0)").alias("ni"))
                .repartition("w").select("w", "s", "o", "x", F.expr("shiftrightunsigned(ni, 31)").alias("n"),
                                         F.expr("ni & 2147483647").alias("i")))
 
-    w = Window.partitionBy("w").orderBy("o", "s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    led = entries.withColumn("l", F.first(F.struct("s", "n", "i", "x")).over(w))
-    to_leader = (led.where("s <> l.s").where(_alike("", "l."))
-                 .select(F.col("s").alias("a"), F.col("l.s").alias("b")).distinct())
-    decided = _verified(to_leader, _asked(to_leader, sets))
+    led = entries.withColumn("l", F.min(F.struct("o", "s", "n", "i", "x")).over(Window.partitionBy("w")))
+    to_leader = materialize(led.where("s <> l.s").where(_alike("", "l."))
+                            .select(F.col("s").alias("a"), F.col("l.s").alias("b")).distinct(), "leader-pairs")
+    decided = materialize(_verified(to_leader, sets).distinct(), "decided-sets")
 
     # the prefix words of the decided sets, met word by word so that the entries need not move again
-    known = (_keys(decided, rarity)
-             .select(F.col("s").alias("ds"), F.explode(prefix).alias("w")).select("ds", word.alias("dw")))
+    known = (_named(keyed, decided)
+             .select(F.col("s").alias("ds"), F.explode("words").alias("dw")))
     asking = entries.join(known, (F.col("w") == F.col("dw")) & (F.col("s").bitwiseXOR(F.col("ds")) == 0), "left_anti")
     x, y = asking.alias("x"), entries.alias("y")
     pairs = (x.join(y, (F.col("x.w") == F.col("y.w")) & (F.col("x.s") != F.col("y.s"))
                     & (F.col("x.o") >= F.col("y.o")) & _alike("x.", "y."))
-             .select(F.least("x.s", "y.s").alias("a"), F.greatest("x.s", "y.s").alias("b")).distinct())
-    return decided.unionByName(_verified(pairs, _asked(pairs, sets))).select("s").distinct()
+             .select(F.least("x.s", "y.s").alias("a"), F.greatest("x.s", "y.s").alias("b"),
+                     F.when(F.col("x.s") < F.col("y.s"), F.col("x.i")).otherwise(F.col("y.i")).alias("i"),
+                     F.expr(_shared("least(x.n, y.n)")).alias("shared")))
+    # places in one set are counted: words that share 32 bits by chance never make too few
+    pairs = materialize(pairs.groupBy("a", "b", "shared").agg(F.size(F.collect_set("i")).alias("met"))
+                        .where("met >= shared").select("a", "b"), "line-pairs")
+    return decided.unionByName(_verified(pairs, sets)).distinct()
 
 
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, hash, removed): the sorted numbers (from 0) of the lines that go, per text that loses any."""
-    rarity = rarity_table(docs, text_col)
     lines = _lines(docs, id_col, text_col)
-    sets = (lines.groupBy("s").agg(F.min(F.struct(_place().alias("place"), "s2", "line")).alias("f"))
-            .select("s", "f.place", "f.s2", "f.line"))
-    gone = similar_later(sets.select("s", "place", "line"), rarity).withColumn("gone", F.lit(True))
+    sets = materialize(lines.groupBy("s").agg(F.min(F.struct(_place().alias("place"), "s2", "line")).alias("f"))
+                       .select("s", "f.place", "f.s2", _spaced(F.col("f.line")).alias("line")), "line-sets", "zstd")
+    gone = similar_later(sets.select("s", "place", "line")).withColumn("gone", F.lit(True))
     verdict = (sets.select("s", "place", "s2").join(gone, "s", "left")
                .select(F.col("s").alias("vs"), F.col("place").alias("first"), F.col("s2").alias("v2"), "gone"))
     # a line whose second hash differs only shares the first by chance: it stays
@@ -190,8 +208,9 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     result; input columns named like an output column are replaced.
     """
     docs = without(docs, "n_lines", "removed_lines")
-    gone = materialize(removed_lines(docs.select(id_col, text_col), id_col, text_col), "removed-lines")
-    size = gone.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("removed")).alias("lines")).first()
+    with short_shuffles(docs.sparkSession):
+        gone = materialize(removed_lines(docs.select(id_col, text_col), id_col, text_col), "removed-lines")
+        size = gone.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("removed")).alias("lines")).first()
     if 40 * size.rows + 4 * (size.lines or 0) <= BROADCAST_BYTES:
         gone = F.broadcast(gone)        # else the texts are shuffled to meet their lists
     hashed = (docs.withColumn("__hash", F.xxhash64(text_col))

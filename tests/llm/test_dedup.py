@@ -3,6 +3,8 @@
 import hashlib
 import random
 import re
+import time
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -249,6 +251,40 @@ def test_line_dedup_group_of_near_copies(spark):
     assert {i: v for i, v in got.items() if v} == want
 
 
+def test_line_dedup_long_lines_against_brute_force(spark):
+    """Lines around the length from which pairs must share several prefix words, edited around the threshold."""
+    rng = random.Random(9)
+    words = vocabulary(rng, 3000)
+    rows = []
+    for g in range(60):
+        base = prose(rng, words, rng.randint(50, 130)).split()
+        for c in range(3):
+            ws = list(base)
+            for _ in range(round(len(ws) * rng.choice([0.05, 0.08, 0.1, 0.11, 0.12, 0.15]))):
+                k = rng.randrange(len(ws))
+                ws[k:k + 1] = rng.choice([[], [rng.choice(words)], [ws[k], rng.choice(words)]])
+            rows.append((g + 60 * c, rng.choice([" ", " ", "\t", "\r\x0b"]).join(ws)))
+    want = lines_brute(rows)
+    got = {r.doc_id: list(r.removed_lines) for r in line_dedup(documents(spark, rows)).collect()}
+    assert {i: v for i, v in got.items() if v} == want
+    assert 20 < len(want) < 110
+
+
+def test_line_dedup_keeps_no_shuffle_files(spark):
+    """What a step has shuffled goes with the step, and the session's setting stays as it was."""
+    local = Path(spark.sparkContext.getConf().get("spark.local.dir"))
+    shuffled = lambda: {f.name for f in local.rglob("shuffle_*.data")}
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, set_to = shuffled(), spark.conf.get(key, None)
+    line_dedup(documents(spark, line_rows(6)))
+    for _ in range(100):            # executors remove files in the background
+        if not shuffled() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffled() - before
+    assert spark.conf.get(key, None) == set_to
+
+
 def test_line_dedup_edges(spark):
     assert line_dedup(documents(spark, [])).count() == 0
     docs = documents(spark, [(1, "a b\n\n  \na b"), (1, "a b\n\n  \na b"), (2, None), (3, ""), (None, "a b\nnew line"),
