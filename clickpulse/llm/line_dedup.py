@@ -12,12 +12,13 @@ decides ask no more, so a large group of near copies does not meet pair by
 pair.
 
 The job runs in steps, each written to the shared folder; the shuffle files
-of a step go when it ends, so no two steps' files are on disk at once.
+of a step go when it ends, and no plan holds the steps before it.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,8 @@ _CLASSES = 62
 BROADCAST_BYTES = 64 << 20
 #: So are the numbers of the sets to verify, as many as this; more are shuffled to meet the sets.
 BROADCAST_SETS = 1 << 20
-#: Sets of this many words have parity bits that say little; their pairs must share ``_SHARED`` prefix words.
-_LONG, _SHARED = 60, 4
+#: Sets of this many words have 128 parity bits instead of 64, which say little about them.
+_LONG = 60
 _BREAK = "\n"
 
 
@@ -84,22 +85,25 @@ def _keys(sets: DataFrame, rarity: DataFrame) -> DataFrame:
             .withColumn("n", F.coalesce(F.size("k"), F.lit(0))))
 
 
-def _shared(n: str) -> str:
-    """How many prefix words a set of ``n`` words shares with any similar set that has as many or more."""
-    return f"(CASE WHEN {n} >= {_LONG} THEN {_SHARED} ELSE 1 END)"
-
-
 def _alike(a: str, b: str) -> Column:
-    """Length, positional and parity filter of two prefix words, for rows ``a`` and ``b`` with n, i, x.
+    """Length, positional and parity filter of two prefix words, for rows ``a`` and ``b`` with n, i, x, y.
 
     ``x`` has bit j set if an odd number of the set's words fall on j: two
-    sets differ in at least as many words as their ``x`` differ in bits. The
-    word may be any of the first ``_shared`` words that the sets have in common.
+    sets differ in at least as many words as their ``x`` differ in bits. Of
+    long sets ``y`` has the half of the words that ``x ^ y`` then lacks.
     """
     need = f"((({a}n + {b}n) * {P} + {P + Q - 1}) div {P + Q})"
+    bits = (f"CASE WHEN least({a}n, {b}n) >= {_LONG} THEN bit_count({a}x ^ {a}y ^ {b}x ^ {b}y) + bit_count({a}y ^ {b}y) "
+            f"ELSE bit_count({a}x ^ {b}x) END")
     return F.expr(f"{Q} * least({a}n, {b}n) >= {P} * greatest({a}n, {b}n) "
-                  f"AND least({a}n - {a}i, {b}n - {b}i) >= {need} - {_shared(f'least({a}n, {b}n)')} + 1 "
-                  f"AND bit_count({a}x ^ {b}x) <= {a}n + {b}n - 2 * {need}")
+                  f"AND least({a}n - {a}i, {b}n - {b}i) >= {need} "
+                  f"AND {bits} <= {a}n + {b}n - 2 * {need}")
+
+
+def _parity(bit: Callable[[Column], Column]) -> Column:
+    """64 bits, word ``k`` of the set flips bit k & 63 if ``bit(k)`` is 1; never null, so that a join has no filter."""
+    return F.coalesce(F.aggregate("k", F.lit(0).cast("bigint"), lambda x, k: x.bitwiseXOR(
+        F.call_function("shiftleft", bit(k), k.bitwiseAND(63).cast("int")))), F.lit(0))
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -144,22 +148,21 @@ def similar_later(sets: DataFrame) -> DataFrame:
     # integer ids order the lines already in the joins; other ids leave that to the verification
     integral = isinstance(sets.schema["place"].dataType["id"].dataType, IntegralType)
     order = F.coalesce(place_id.cast("bigint"), F.lit((1 << 63) - 1)) if integral else F.lit(0).cast("bigint")
-    prefix = F.slice("k", F.lit(1), F.expr(f"least(n, n - (({P} * n + {Q - 1}) div {Q}) + {_shared('n')})"))
-    # numbers that cannot be null leave the join nothing to filter before the exchange
-    parity = F.coalesce(F.aggregate("k", F.lit(0).cast("bigint"),
-                                    lambda x, k: x.bitwiseXOR(F.call_function(
-                                        "shiftleft", F.lit(1).cast("bigint"), k.bitwiseAND(63).cast("int")))), F.lit(0))
+    prefix = F.slice("k", F.lit(1), F.expr(f"n - (({P} * n + {Q - 1}) div {Q}) + 1"))
+    x = _parity(lambda k: F.lit(1).cast("bigint"))
+    y = F.when(F.col("n") >= _LONG, _parity(lambda k: F.shiftrightunsigned(k, 6).bitwiseAND(1))).otherwise(F.lit(0))
     # 32 bits of a word are enough to meet: a chance meeting only adds a candidate
     word = F.transform(prefix, lambda k: (k.bitwiseAND(4294967295) - 2147483648).cast("int"))
     keyed = materialize(_keys(sets.select("s", order.alias("o"), "line"), rarity_table(sets))
-                        .select("s", "o", "n", parity.alias("x"), word.alias("words")), "keyed-sets")
-    entries = (keyed.select("s", "o", "x", "n", F.posexplode("words").alias("i", "w"))
-               .select(*(F.coalesce(c, F.lit(0)).alias(c) for c in ("w", "s", "o", "x")),
+                        .select("s", "o", "n", x.alias("x"), y.alias("y"), word.alias("words")), "keyed-sets")
+    entries = (keyed.select("s", "o", "x", "y", "n", F.posexplode("words").alias("i", "w"))
+               # numbers that cannot be null leave the join nothing to filter before the exchange
+               .select(*(F.coalesce(c, F.lit(0)).alias(c) for c in ("w", "s", "o", "x", "y")),
                        F.expr("coalesce(shiftleft(cast(n as bigint), 31) | i, 0)").alias("ni"))
-               .repartition("w").select("w", "s", "o", "x", F.expr("shiftrightunsigned(ni, 31)").alias("n"),
+               .repartition("w").select("w", "s", "o", "x", "y", F.expr("shiftrightunsigned(ni, 31)").alias("n"),
                                         F.expr("ni & 2147483647").alias("i")))
 
-    led = entries.withColumn("l", F.min(F.struct("o", "s", "n", "i", "x")).over(Window.partitionBy("w")))
+    led = entries.withColumn("l", F.min(F.struct("o", "s", "n", "i", "x", "y")).over(Window.partitionBy("w")))
     to_leader = materialize(led.where("s <> l.s").where(_alike("", "l."))
                             .select(F.col("s").alias("a"), F.col("l.s").alias("b")).distinct(), "leader-pairs")
     decided = materialize(_verified(to_leader, sets).distinct(), "decided-sets")
@@ -171,12 +174,8 @@ def similar_later(sets: DataFrame) -> DataFrame:
     x, y = asking.alias("x"), entries.alias("y")
     pairs = (x.join(y, (F.col("x.w") == F.col("y.w")) & (F.col("x.s") != F.col("y.s"))
                     & (F.col("x.o") >= F.col("y.o")) & _alike("x.", "y."))
-             .select(F.least("x.s", "y.s").alias("a"), F.greatest("x.s", "y.s").alias("b"),
-                     F.when(F.col("x.s") < F.col("y.s"), F.col("x.i")).otherwise(F.col("y.i")).alias("i"),
-                     F.expr(_shared("least(x.n, y.n)")).alias("shared")))
-    # places in one set are counted: words that share 32 bits by chance never make too few
-    pairs = materialize(pairs.groupBy("a", "b", "shared").agg(F.size(F.collect_set("i")).alias("met"))
-                        .where("met >= shared").select("a", "b"), "line-pairs")
+             .select(F.least("x.s", "y.s").alias("a"), F.greatest("x.s", "y.s").alias("b")).distinct())
+    pairs = materialize(pairs, "line-pairs")
     return decided.unionByName(_verified(pairs, sets)).distinct()
 
 

@@ -11,7 +11,9 @@ import pytest
 import xxhash
 
 from clickpulse.llm import exact_dedup as ed
+from clickpulse.llm import line_dedup as ld
 from clickpulse.llm import queries
+from clickpulse.llm.common import materialize
 from clickpulse.llm.components import connected_components
 from clickpulse.llm.exact_dedup import exact_dedup
 from clickpulse.llm.line_dedup import line_dedup
@@ -252,7 +254,7 @@ def test_line_dedup_group_of_near_copies(spark):
 
 
 def test_line_dedup_long_lines_against_brute_force(spark):
-    """Lines around the length from which pairs must share several prefix words, edited around the threshold."""
+    """Lines around the length from which sets have 128 parity bits, edited around the threshold."""
     rng = random.Random(9)
     words = vocabulary(rng, 3000)
     rows = []
@@ -285,6 +287,19 @@ def test_line_dedup_keeps_no_shuffle_files(spark):
     assert spark.conf.get(key, None) == set_to
 
 
+def test_line_dedup_plans_stay_small(spark, monkeypatch):
+    """No step repeats the plans of the steps before it, which filled the driver's memory."""
+    sizes = []
+
+    def spy(df, *args, **named):
+        sizes.append(df._jdf.queryExecution().executedPlan().toString().count("Exchange"))
+        return materialize(df, *args, **named)
+
+    monkeypatch.setattr(ld, "materialize", spy)
+    line_dedup(documents(spark, line_rows(7)))
+    assert sizes and max(sizes) <= 20
+
+
 def test_line_dedup_edges(spark):
     assert line_dedup(documents(spark, [])).count() == 0
     docs = documents(spark, [(1, "a b\n\n  \na b"), (1, "a b\n\n  \na b"), (2, None), (3, ""), (None, "a b\nnew line"),
