@@ -29,14 +29,14 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared folder and read it back.
+def materialize(df: DataFrame, label: str, compression: str | None = None, **options: str) -> DataFrame:
+    """Write ``df`` once as Parquet in the shared folder and read it back; ``options`` go to the writer.
 
     Cuts the lineage like a reliable checkpoint, but compressed and columnar,
     so later passes read only the columns they need.
     """
     path = shared_folder(df.sparkSession, label)
-    df.write.parquet(path, compression=compression)
+    df.write.options(**options).parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

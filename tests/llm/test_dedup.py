@@ -300,6 +300,40 @@ def test_line_dedup_plans_stay_small(spark, monkeypatch):
     assert sizes and max(sizes) <= 20
 
 
+def test_line_dedup_cuts_words_once(spark, monkeypatch):
+    """Counts and keys read the kept hashes of the words; one side of the pair join is the shorter prefix."""
+    plans = {}
+
+    def spy(df, label, *args, **named):
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return materialize(df, label, *args, **named)
+
+    monkeypatch.setattr(ld, "materialize", spy)
+    line_dedup(documents(spark, line_rows(7)))
+    assert "InMemoryRelation" in plans["keyed-sets"]
+    assert "MONOTONICALLY_INCREASING_ID" in plans["line-pairs"].upper()
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_line_dedup_lines_of_different_length_against_brute_force(spark):
+    """Lines that add words to another line or drop some, around the threshold, in either order."""
+    rng = random.Random(10)
+    words = vocabulary(rng, 2000)
+    rows = []
+    for g in range(80):
+        base = prose(rng, words[:300], rng.randint(8, 90)).split()
+        longer = list(base)
+        for _ in range(round(len(set(base)) * rng.choice([0.1, 0.2, 0.24, 0.25, 0.26, 0.3]))):
+            longer.insert(rng.randrange(len(longer)), rng.choice(words[300:]))
+        pair = [" ".join(base), " ".join(longer)]
+        rng.shuffle(pair)
+        rows += [(g, pair[0]), (g + 80, pair[1])]
+    want = lines_brute(rows)
+    got = {r.doc_id: list(r.removed_lines) for r in line_dedup(documents(spark, rows)).collect()}
+    assert {i: v for i, v in got.items() if v} == want
+    assert 20 < len(want) < 80
+
+
 def test_line_dedup_edges(spark):
     assert line_dedup(documents(spark, [])).count() == 0
     docs = documents(spark, [(1, "a b\n\n  \na b"), (1, "a b\n\n  \na b"), (2, None), (3, ""), (None, "a b\nnew line"),
